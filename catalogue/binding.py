@@ -20,8 +20,9 @@ from stallkeeper import session
 from stallkeeper.operators import fold, merge, parse
 from stallkeeper.sources import landing
 
-BATCH_TS = 1_706_745_600_000  # 2024-02-01, the write time of the whole feed
-GENERATION_TS = 1_706_832_000_000  # a day later, the stamp of reconciliation
+GENERATION_TS = 1_706_832_000_000  # 2024-02-02, after the feed: the stamp of reconciliation
+# The feed is written once a day, at the end of the day.
+DAILY = "(ord_time div 86400000 + 1) * 86400000"
 EVENTS_PER_MESSAGE = 10
 EVENTS_PER_PAGE = 200  # bounds a snapshot page, whatever the size of the table
 TOPIC = "listings"
@@ -237,7 +238,7 @@ def _tables(spark: SparkSession, application: str, sf_dir: str) -> Tables:
 
     raw = keep(messages(spark, sf_dir), "messages")
     events = parse.listing_events(parse.parse_listing_messages(raw))
-    changes = fold.fold(fold.table_events(events, F.lit(BATCH_TS)))
+    changes = fold.fold(fold.table_events(events, c(DAILY)))
     listings = keep(merge.first_state(changes), "listings")
     return Tables(
         messages=raw,

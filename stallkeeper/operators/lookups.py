@@ -26,6 +26,14 @@ def for_items(listings: DataFrame, items: DataFrame) -> DataFrame:
     return listings.join(keys, list(ITEM_KEY), "left_semi")
 
 
+def relevant_to(listings: DataFrame, requests: DataFrame) -> DataFrame:
+    """Rows a batch of requests can look at: those of their items, or named by them."""
+    items = requests.select(*ITEM_KEY).distinct().withColumn("of_item", F.lit(True))
+    ids = requests.select(F.col("listing_id").alias("id")).distinct().withColumn("is_named", F.lit(True))
+    found = listings.join(items, list(ITEM_KEY), "left").join(ids, "id", "left")
+    return found.where(F.col("of_item") | F.col("is_named")).select(*listings.columns)
+
+
 def latest_market_names(listings: DataFrame) -> DataFrame:
     """Most recently updated market name per item, deleted rows included."""
     named = listings.where(F.col("market_name").isNotNull())

@@ -19,152 +19,124 @@ ARRAY_READS_AS_NULL = "arrayReadsAsNull"
 # Any JSON is tolerated here; nothing reads it, so it is kept as text.
 OPAQUE = "opaque"
 
-_PRICE = (
-    "currency string, short string, long string, raw double, value double, "
-    "valueHigh double, usd double, updatedAt bigint, difference double"
-)
-_PRICES = f"steam struct<{_PRICE}>, community struct<{_PRICE}>, suggested struct<{_PRICE}>"
-
-PRICE = T.StructType.fromDDL(_PRICE)
-ITEM_PRICE = T.StructType.fromDDL(_PRICES)
-
-
-
-def _marked(struct: T.StructType, mark: str, *names: str) -> T.StructType:
-    """Same type with ``mark`` set on the named fields."""
-    return T.StructType(
-        [T.StructField(f.name, f.dataType, True, {mark: True}) if f.name in names else f for f in struct.fields]
-    )
-
-
-_KILL_EATER = _marked(T.StructType.fromDDL("id int, name string, item string"), OPAQUE, "item")
-
-# killEater.item repeats the whole item, so the recursion is cut there.
-_ITEM = T.StructType.fromDDL(
-    f"""
-    appid int, baseName string, defindex int, id string, imageUrl string,
-    marketName string, name string, origin struct<id: int, name: string>,
-    originalId string, quality struct<id: int, name: string, color: string>,
-    summary string, price struct<{_PRICES}>, level int,
-    equipped array<struct<class: int, slot: int>>,
-    spells array<struct<id: string, spellId: string, name: string, type: string,
-                        defindex: int, color: string>>,
-    class array<string>, slot string,
-    particle struct<id: int, name: string, shortName: string, imageUrl: string, type: string>,
-    style struct<name: string>, paint struct<id: int, name: string, color: string>,
-    paintSecondaryHex string, tradable boolean, craftable boolean, priceindex string,
-    tag string
-    """
+_SCALARS = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "float": T.FloatType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+    "binary": T.BinaryType(),
+    "texts": T.ArrayType(T.StringType()),
+    "opaque": T.StringType(),
+}
+
+
+def record(scalars: str, *nested: T.StructField) -> T.StructType:
+    """Struct of ``name type`` pairs, followed by nested fields."""
+    fields = []
+    for pair in scalars.split(","):
+        name, kind = pair.split()
+        fields.append(T.StructField(name, _SCALARS[kind], True, {OPAQUE: True} if kind == "opaque" else None))
+    return T.StructType([*fields, *nested])
+
+
+def part(name: str, dtype: T.DataType, **marks: bool) -> T.StructField:
+    return T.StructField(name, dtype, True, marks)
+
+
+def parts(name: str, element: T.DataType) -> T.StructField:
+    return T.StructField(name, T.ArrayType(element))
+
+
+PRICE = record(
+    "currency string, short string, long string, raw double, value double, valueHigh double, usd double, "
+    "updatedAt bigint, difference double"
 )
-ITEM = _marked(_marked(_ITEM, ARRAY_READS_AS_NULL, "price"), OPAQUE, "tag").add(
-    "strangeParts",
-    T.ArrayType(T.StructType([T.StructField("score", T.IntegerType()), T.StructField("killEater", _KILL_EATER)])),
+_PRICES = (part("steam", PRICE), part("community", PRICE), part("suggested", PRICE))
+ITEM_PRICE = T.StructType(list(_PRICES))
+
+ITEM = record(
+    "appid int, baseName string, defindex int, id string, imageUrl string, marketName string, name string, "
+    "originalId string, summary string, level int, slot string, paintSecondaryHex string, tradable boolean, "
+    "craftable boolean, priceindex string, tag opaque, class texts",
+    part("origin", record("id int, name string")),
+    part("quality", record("id int, name string, color string")),
+    part("price", ITEM_PRICE, arrayReadsAsNull=True),
+    parts("equipped", record("class int, slot int")),
+    # A counter's item repeats the whole item, so the recursion is cut there.
+    parts("strangeParts", record("score int", part("killEater", record("id int, name string, item opaque")))),
+    parts("spells", record("id string, spellId string, name string, type string, defindex int, color string")),
+    part("particle", record("id int, name string, shortName string, imageUrl string, type string")),
+    part("style", record("name string")),
+    part("paint", record("id int, name string, color string")),
 )
 
-PAYLOAD = (
-    T.StructType.fromDDL(
-        f"""
-        id string, steamid string, appid int,
-        currencies struct<metal: double, keys: bigint>,
-        value struct<raw: double, short: string, long: string, {_PRICES}>,
-        tradeOffersPreferred boolean, buyoutOnly boolean, details string,
-        listedAt bigint, bumpedAt bigint, intent string, count int, status string,
-        source string
-        """
-    )
-    .add("item", ITEM)
-    .add("userAgent", T.StructType.fromDDL("client string, lastPulse bigint"))
-    .add(
+PAYLOAD = record(
+    "id string, steamid string, appid int, tradeOffersPreferred boolean, buyoutOnly boolean, details string, "
+    "listedAt bigint, bumpedAt bigint, intent string, count int, status string, source string",
+    part("currencies", record("metal double, keys bigint")),
+    part("value", record("raw double, short string, long string", *_PRICES)),
+    part("item", ITEM),
+    part("userAgent", record("client string, lastPulse bigint")),
+    part(
         "user",
-        _marked(
-            T.StructType.fromDDL(
-                """
-                id string, name string, avatar string, avatarFull string, premium boolean,
-                online boolean, banned boolean, customNameStyle string, style string,
-                role string, tradeOfferUrl string, bans string
-                """
-            ),
-            OPAQUE,
-            "role",
-            "bans",
+        record(
+            "id string, name string, avatar string, avatarFull string, premium boolean, online boolean, "
+            "banned boolean, customNameStyle string, style string, role opaque, tradeOfferUrl string, bans opaque"
         ),
-    )
+    ),
 )
 
-LISTING_UPDATE = (
-    T.StructType.fromDDL("id string, event string")
-    .add("payload", PAYLOAD)
-    .add("generation_timestamp", T.LongType())
-)
+LISTING_UPDATE = record("id string, event string, generation_timestamp bigint", part("payload", PAYLOAD))
 
 # Fields of both envelopes besides `data`.
-ENVELOPE = T.StructType.fromDDL("timestamp string, messageId string, source string")
+ENVELOPE = record("timestamp string, messageId string, source string")
 
-REQUEST = T.StructType.fromDDL(
+REQUEST = record(
     "item_defindex int, item_quality_id int, request_type string, listing_id string, max_inventory_size int"
 )
 
-SNAPSHOT_LISTING = T.StructType.fromDDL(
-    """
-    steamid string, offers int, buyout int, details string, intent string,
-    timestamp bigint, price double,
-    currencies struct<keys: bigint, metal: double>, bump bigint,
-    userAgent struct<lastPulse: bigint, client: string>
-    """
-).add(
-    "item",
-    _marked(
-        T.StructType.fromDDL("defindex int, quality int, attributes string, quantity string"), OPAQUE, "attributes"
-    ),
-)
-SNAPSHOT = (
-    T.StructType()
-    .add("listings", T.ArrayType(SNAPSHOT_LISTING))
-    .add("appid", T.IntegerType())
-    .add("sku", T.StringType())
-    .add("createdAt", T.LongType())
+SNAPSHOT_LISTING = record(
+    "steamid string, offers int, buyout int, details string, intent string, timestamp bigint, price double, bump bigint",
+    part("item", record("defindex int, quality int, attributes opaque, quantity string")),
+    part("currencies", record("keys bigint, metal double")),
+    part("userAgent", record("lastPulse bigint, client string")),
 )
+SNAPSHOT = record("appid int, sku string, createdAt bigint", parts("listings", SNAPSHOT_LISTING))
 
-INVENTORY_ITEM = T.StructType.fromDDL(
-    """
-    id bigint, original_id bigint, defindex int, level int, quality int, inventory bigint,
-    quantity int, origin int, flag_cannot_trade boolean, flag_cannot_craft boolean,
-    attributes array<struct<defindex: int, value: string, float_value: float>>
-    """
-)
-INVENTORY = T.StructType().add(
-    "result",
-    T.StructType().add("status", T.IntegerType()).add("items", T.ArrayType(INVENTORY_ITEM)),
+INVENTORY_ITEM = record(
+    "id bigint, original_id bigint, defindex int, level int, quality int, inventory bigint, quantity int, origin int, "
+    "flag_cannot_trade boolean, flag_cannot_craft boolean",
+    parts("attributes", record("defindex int, value string, float_value float")),
 )
+INVENTORY = T.StructType([part("result", record("status int", parts("items", INVENTORY_ITEM)))])
 
 # Listings table: key first, then the fields an upsert replaces, then bookkeeping.
-LISTING_FIELDS = T.StructType.fromDDL(
-    """
-    steamid string, item_defindex int, item_quality_id int, intent string, appid int,
-    metal double, keys bigint, raw_value double, short_value string, long_value string,
-    details string, listed_at bigint, market_name string, status string,
-    user_agent_client string, user_name string, user_premium boolean, user_online boolean,
-    user_banned boolean, user_trade_offer_url string, item_tradable boolean,
-    item_craftable boolean, item_quality_color string, item_particle_name string,
-    item_particle_type string, bumped_at bigint, spell_ids array<string>,
-    strange_part_ids array<string>, paint_id int, paint_name string, paint_color string,
-    paint_secondary_hex string
-    """
+LISTING_FIELDS = record(
+    "steamid string, item_defindex int, item_quality_id int, intent string, appid int, metal double, keys bigint, "
+    "raw_value double, short_value string, long_value string, details string, listed_at bigint, market_name string, "
+    "status string, user_agent_client string, user_name string, user_premium boolean, user_online boolean, "
+    "user_banned boolean, user_trade_offer_url string, item_tradable boolean, item_craftable boolean, "
+    "item_quality_color string, item_particle_name string, item_particle_type string, bumped_at bigint, "
+    "spell_ids texts, strange_part_ids texts, paint_id int, paint_name string, paint_color string, "
+    "paint_secondary_hex string"
 )
 LISTINGS = T.StructType(
-    [T.StructField("id", T.StringType())]
-    + LISTING_FIELDS.fields
-    + T.StructType.fromDDL("is_deleted boolean, created_at bigint, updated_at bigint").fields
+    [
+        *record("id string").fields,
+        *LISTING_FIELDS.fields,
+        *record("is_deleted boolean, created_at bigint, updated_at bigint").fields,
+    ]
 )
 
 # Shape of a message as a log source delivers it.
-RAW_MESSAGE = T.StructType.fromDDL(
+RAW_MESSAGE = record(
     "key binary, value string, topic string, partition int, offset bigint, timestamp timestamp"
 )
 
-REQUEST_TABLE = T.StructType.fromDDL(
-    """
-    request_id string, request_type string, item_defindex int, item_quality_id int,
-    listing_id string, max_inventory_size int, generation_timestamp bigint
-    """
+REQUEST_TABLE = record(
+    "request_id string, request_type string, item_defindex int, item_quality_id int, listing_id string, "
+    "max_inventory_size int, generation_timestamp bigint"
 )
