@@ -514,4 +514,9 @@ def catalogue() -> dict[str, Query]:
         "single_id": _of_type("SINGLE_ID"), "buy_only": _of_type("BUY_ONLY"), "sell_only": _of_type("SELL_ONLY"),
         "full_backfill": _of_type("FULL"),
     }
-    return {q.__name__: q for q in plain} | typed
+    named = {q.__name__: q for q in plain} | typed
+    return {name: _configured(query) for name, query in named.items()}
+
+
+def _configured(query: Query) -> Query:
+    return lambda spark, sf_dir: query(session.configure(spark), sf_dir)

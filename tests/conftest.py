@@ -1,0 +1,40 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    from stallkeeper import session
+
+    builder = (
+        SparkSession.builder.master("local[4]")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+    )
+    spark = session.configure(builder.getOrCreate())
+    spark.sparkContext.setLogLevel("ERROR")
+    yield spark
+    spark.stop()
+
+
+@pytest.fixture(scope="session")
+def raw_messages(spark):
+    """Messages from texts, in order, in the shape of a log."""
+
+    def build(texts, topic="listings", partition=0):
+        rows = [(text, topic, partition, i, i) for i, text in enumerate(texts)]
+        df = spark.createDataFrame(rows, "value string, topic string, partition int, offset bigint, at bigint")
+        return df.selectExpr("value", "topic", "partition", "offset", "timestamp_millis(at) as timestamp")
+
+    return build
