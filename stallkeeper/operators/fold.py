@@ -61,13 +61,29 @@ def fold(events: DataFrame) -> DataFrame:
     )
 
 
-def refold(changes: DataFrame) -> DataFrame:
-    """One change per listing from the changes of several batches."""
-    return changes.groupBy("id").agg(
-        F.max_by("fields", "update_order").alias("fields"),
-        F.max("update_order").alias("update_order"),
-        F.max_by("ends_live", "event_order").alias("ends_live"),
-        F.max("event_order").alias("event_order"),
+def refold(changes: DataFrame, *before: str) -> DataFrame:
+    """One change per listing from the changes of several batches.
+
+    ``before`` names columns that order changes ahead of their events' own
+    order; a batch number there makes a later batch win whatever its events'
+    times, as it would if batches were merged one by one.
+    """
+    update_order = F.when(F.col("fields").isNotNull(), F.struct(*before, "update_order"))
+    event_order = F.struct(*before, "event_order")
+    folded = changes.groupBy("id").agg(
+        F.max_by("fields", update_order).alias("fields"),
+        F.max(update_order).alias("update"),
+        F.max_by("ends_live", event_order).alias("ends_live"),
+        F.max(event_order).alias("event"),
         F.min("first_update_at").alias("first_update_at"),
         F.max("touched_at").alias("touched_at"),
     )
+    return folded.select(
+        "id",
+        "fields",
+        F.col("update.update_order").alias("update_order"),
+        "ends_live",
+        F.col("event.event_order").alias("event_order"),
+        "first_update_at",
+        "touched_at",
+    )

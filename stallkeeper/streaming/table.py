@@ -23,6 +23,7 @@ from stallkeeper.schemas import LISTING_FIELDS, LISTINGS, record
 _ORDER = record("ord_time bigint, ord_partition int, ord_offset bigint, ord_pos bigint")
 CHANGES = (
     T.StructType()
+    .add("batch", T.LongType())
     .add("id", T.StringType())
     .add("fields", LISTING_FIELDS)
     .add("update_order", _ORDER)
@@ -41,7 +42,8 @@ class ListingTable:
 
     def append(self, changes: DataFrame, batch_id: int) -> None:
         """Write one batch's folded changes; again is the same as once."""
-        changes.select(*CHANGES.names).write.mode("overwrite").parquet(self._changes_path(batch_id))
+        numbered = changes.withColumn("batch", F.lit(batch_id).cast("bigint"))
+        numbered.select(*CHANGES.names).write.mode("overwrite").parquet(self._changes_path(batch_id))
 
     def read(self) -> DataFrame:
         """Current state."""
@@ -52,8 +54,8 @@ class ListingTable:
         base_id, base = self._base()
         changes = self.outstanding(base_id, before_batch)
         if base is None:
-            return merge.first_state(fold.refold(changes)) if changes is not None else merge.empty_table(self.spark)
-        return merge.merge(base, fold.refold(changes)) if changes is not None else base
+            return merge.first_state(fold.refold(changes, "batch")) if changes is not None else merge.empty_table(self.spark)
+        return merge.merge(base, fold.refold(changes, "batch")) if changes is not None else base
 
     def outstanding(self, base_id: int, before_batch: int | None = None) -> DataFrame | None:
         """Changes of published batches after a base."""
