@@ -207,7 +207,8 @@ def requests(spark: SparkSession, sf_dir: str, listings: DataFrame) -> DataFrame
         ),
         F.col("k").alias("item_defindex"),
         F.col("quality").alias("item_quality_id"),
-        c("case when k % 4 <> 3 then null when k = 15 then 'none_1' when k = 7 then found_id else stale_id end").alias(
+        c("case when k % 4 <> 3 then null when k = 15 then 'none_1'"
+            " else coalesce(if(k = 7, found_id, stale_id), concat('none_', k)) end").alias(
             "listing_id"
         ),
         c("case when k % 5 = 0 then 1 when k in (8, 18) then 0 end").alias("max_inventory_size"),

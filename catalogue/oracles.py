@@ -150,7 +150,8 @@ MARKET = STORED + f""", market as (
         select k, min(id) as found_id from market where not gone group by k
     ), single as (
         select n.request_id, n.k,
-               case when n.k = 15 then 'none_1' when n.k = 7 then f.found_id else s.stale_id end as listing_id
+               case when n.k = 15 then 'none_1'
+                    else coalesce(case when n.k = 7 then f.found_id else s.stale_id end, 'none_' || n.k) end as listing_id
         from named n left join stale_pick s using (k) left join found_pick f using (k)
         where n.effective_type = 'SINGLE_ID'
     ), single_event as (
