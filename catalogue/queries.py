@@ -116,7 +116,7 @@ def reject_previews(spark, sf_dir):
 
 def json_round_trip(spark, sf_dir):
     written = _events(spark, sf_dir).select(parse.to_json(F.struct("id", "event", "payload", "generation_timestamp")).alias("j"))
-    again = wire.Reader(LISTING_UPDATE).read(written.select(wire.parse(F.col("j")).alias("d")), "d", "u").select("u.*")
+    again = wire.Reader(LISTING_UPDATE).read(written, "j", "u").select("u.*")
     return again.select(
         F.col("id").alias("event_key"), "event", F.col("payload.id").alias("listing_id"), "payload.steamid",
         "payload.currencies.metal", "payload.value.raw", F.col("payload.listedAt").alias("listed_at"),

@@ -4,10 +4,11 @@ Scalars are coerced (a quoted number is a number, a fraction is cut to an
 integer, any scalar is a string); a value that cannot be coerced makes the whole
 document unusable.
 
-A :class:`Reader` extracts a document once, with integers and booleans as text,
-and casts that text to the real types.  If casting back gives the same text and
-nothing else looks odd, which is the normal case, the document is sound.  Only
-an odd document is checked value by value and read a second time.
+A :class:`Reader` reads a document once, with integers and booleans as text, and
+casts that text to the real types.  If nothing was lost, casting back gives the
+same text and no text looks like a container, which is the normal case, the
+document is sound.  Only an odd document is parsed again as a variant, checked
+value by value, and read from there.
 
 The expressions are generated as SQL text from the type: one text per reader is
 much cheaper to build than thousands of Column calls.
@@ -15,8 +16,6 @@ much cheaper to build than thousands of Column calls.
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +28,10 @@ BOOLEAN_TEXTS = ("true", "True", "TRUE", "false", "False", "FALSE")
 
 SOUND, ODD, BAD = 0, 1, 2
 
+_VARIANTS_BY_NAME = "map<string,variant>"
+_CORRUPT = "_unread"
+_LIKE_CONTAINER = "coalesce(substring({0}, 1, 1) in ('{{', '['), false)"
+
 
 def parse(text: Column) -> Column:
     """JSON text to variant; null when it is not JSON."""
@@ -71,44 +74,45 @@ def _is_opaque(field: T.StructField) -> bool:
 
 
 class Reader:
-    """Reads values of one type found at one path of a variant column."""
+    """Reads JSON documents of one object type."""
 
-    def __init__(self, dtype: T.DataType, path: str = "$"):
-        self.dtype, self.path = dtype, path
+    def __init__(self, dtype: T.StructType):
+        self.dtype = dtype
         self.loose_type = _loose(dtype)
 
-    def read(self, df: DataFrame, document: str, into: str) -> DataFrame:
-        """Adds ``into`` (the typed value) and ``{into}_fit``: sound, odd or bad.
+    def read(self, df: DataFrame, text: str, into: str) -> DataFrame:
+        """Adds ``into`` (the typed document), ``{into}_fit`` and ``{into}_variant``.
 
-        The fit is null where the value is missing or of another JSON kind.
+        The fit is sound, odd (usable) or bad, and null where the text is no
+        JSON object.  The variant is only there when the document is not sound.
         """
-        loose, fit = f"{into}_loose", f"{into}_fit"
-        steps = df.withColumn(loose, read(F.col(document), self.path, self.loose_type))
-        steps = steps.withColumn(fit, F.expr(self._fit_sql.format(document=document, loose=loose)))
-        again = read(F.col(document), self.path, self.dtype)
-        return steps.withColumn(
-            into, F.when(F.col(fit) > SOUND, again).otherwise(F.col(loose).try_cast(self.dtype))
-        ).drop(loose)
-
-    @cached_property
-    def _fit_sql(self) -> str:
-        if not isinstance(self.dtype, T.ArrayType):
-            fit = self._value_fit("{document}", self.path, "{loose}", self.dtype)
-            return "case when {loose} is not null then " + fit + " end"
-        element = self._value_fit("e", "$", "l", self.dtype.elementType)
-        values = f"try_variant_get({{document}}, '{self.path}', 'array<variant>')"
-        return f"coalesce(array_max(zip_with({values}, {{loose}}, (e, l) -> {element})), if({{loose}} is null, null, {SOUND}))"
-
-    def _value_fit(self, document: str, path: str, loose: str, dtype: T.DataType) -> str:
-        typed, text = dtype.simpleString(), self._loose_text(dtype)
-        same = f"(cast(try_cast({loose} as {typed}) as {text}) <=> {loose})"
-        odd = _odd(document, path, loose, dtype, None)
-        bad = _misfit(_node(document, path), dtype)
-        return f"case when {same} and not {odd} then {SOUND} when {bad} then {BAD} else {ODD} end"
-
-    @staticmethod
-    def _loose_text(dtype: T.DataType) -> str:
-        return _loose(dtype).simpleString()
+        loose, typed, sound = f"{into}_loose", f"{into}_typed", f"{into}_sound"
+        fit, variant = f"{into}_fit", f"{into}_variant"
+        schema = T.StructType([*self.loose_type.fields, T.StructField(_CORRUPT, T.StringType())])
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+        root = "named_struct(" + ", ".join(f"'{f}', {loose}.`{f}`" for f in self.loose_type.names) + ")"
+        same = f"cast({typed} as {self.loose_type.simpleString()}) <=> {root}"
+        steps = df.withColumn(loose, F.from_json(F.col(text), schema, options))
+        steps = steps.withColumn(typed, F.expr(f"try_cast({root} as {self.dtype.simpleString()})"))
+        steps = steps.withColumn(
+            sound,
+            F.expr(
+                f"{loose} is not null and {loose}.{_CORRUPT} is null and {same}"
+                f" and not {_holds_container_text(loose, self.dtype)}"
+            ),
+        )
+        steps = steps.withColumn(variant, F.when(~F.col(sound), parse(F.col(text))))
+        fits = (
+            f"case when {sound} then {SOUND} when {_kind_of(variant, '$')} not like 'OBJECT%' then null"
+            f" when {variant} is null then null when {misfit(variant, self.dtype)} then {BAD} else {ODD} end"
+        )
+        again = read(F.col(variant), "$", self.dtype)
+        return steps.select(
+            *df.columns,
+            F.when(F.col(sound), F.col(typed)).otherwise(again).alias(into),
+            F.expr(fits).alias(fit),
+            variant,
+        )
 
 
 def _loose(dtype: T.DataType) -> T.DataType:
@@ -119,38 +123,25 @@ def _loose(dtype: T.DataType) -> T.DataType:
     return dtype if _is_real(dtype) else T.StringType()
 
 
-def _odd(document: str, path: str, loose: str, dtype: T.DataType, field: T.StructField | None, depth: int = 0) -> str:
-    """Oddities the cast there and back does not show: values lost because they
-    are of another kind, and containers turned into text."""
-    lost = present(document, path)
+def _holds_container_text(loose: str, dtype: T.DataType, depth: int = 0) -> str:
+    """SQL: some text below ``loose`` starts like an object or a list."""
     if isinstance(dtype, T.ArrayType):
-        value, part = f"v{depth}", f"p{depth}"
-        inside = _odd(value, "$", part, dtype.elementType, None, depth + 1)
-        values = f"try_variant_get({document}, '{path}', 'array<variant>')"
-        found = f"exists(zip_with({values}, {loose}, ({value}, {part}) -> {inside}), f -> f)"
-        return f"(case when {loose} is null then {lost} when size({loose}) = 0 then false else {found} end)"
+        element = f"e{depth}"
+        inside = _holds_container_text(element, dtype.elementType, depth + 1)
+        return "false" if inside == "false" else f"coalesce(exists({loose}, {element} -> {inside}), false)"
     if isinstance(dtype, T.StructType):
-        conditions, texts = [], []
+        texts, conditions = [], []
         for f in dtype.fields:
-            part = f"{loose}.`{f.name}`"
+            field = f"{loose}.`{f.name}`"
             if isinstance(f.dataType, T.StringType):
-                texts += [] if _is_opaque(f) else [part]
-            elif isinstance(f.dataType, (T.StructType, T.ArrayType)) or _is_real(f.dataType):
-                conditions.append(_odd(document, f"{path}.{f.name}", part, f.dataType, f, depth))
+                texts += [] if _is_opaque(f) else [field]
+            elif isinstance(f.dataType, (T.StructType, T.ArrayType)):
+                inside = _holds_container_text(field, f.dataType, depth)
+                conditions += [] if inside == "false" else [f"({field} is not null and {inside})"]
         if texts:
-            conditions.insert(0, f"exists(array({', '.join(texts)}), t -> {_like_container('t')})")
-        if field is not None and field.metadata.get(ARRAY_READS_AS_NULL):
-            lost = f"({lost} and {_kind_of(document, path)} not like 'ARRAY%')"
-        return f"(case when {loose} is null then {lost} else {_any(conditions)} end)"
-    if _is_real(dtype):
-        # Only 0 and 1 can stem from a JSON boolean.
-        from_boolean = f"{loose} in (0.0D, 1.0D) and {_kind_of(document, path)} = 'BOOLEAN'"
-        return f"(case when {loose} is null then {lost} else {from_boolean} end)"
-    return f"(case when {loose} is null then {lost} else {_like_container(loose)} end)"
-
-
-def _like_container(text: str) -> str:
-    return f"coalesce(substring({text}, 1, 1) in ('{{{{', '['), false)"
+            conditions.insert(0, f"exists(array({', '.join(texts)}), t -> {_LIKE_CONTAINER.format('t')})")
+        return "(" + " or ".join(conditions) + ")" if conditions else "false"
+    return _LIKE_CONTAINER.format(loose) if isinstance(dtype, T.StringType) else "false"
 
 
 def _kind_wanted(field: T.StructField) -> str:
@@ -167,7 +158,7 @@ def _objects(path: str, dtype: T.StructType):
             yield from _objects(f"{path}.{f.name}", f.dataType)
 
 
-def _misfit(value: str, dtype: T.DataType, depth: int = 0) -> str:
+def misfit(value: str, dtype: T.DataType, depth: int = 0) -> str:
     """SQL: the variant ``value`` holds something ``dtype`` cannot take.
 
     The check of one scalar is written once and run over (name, wanted kind)
@@ -178,44 +169,47 @@ def _misfit(value: str, dtype: T.DataType, depth: int = 0) -> str:
     if isinstance(dtype, T.ArrayType):
         inner = f"a{depth}"
         elements = f"try_variant_get({value}, '$', 'array<variant>')"
-        found = f"exists({elements}, {inner} -> {_misfit(inner, dtype.elementType, depth + 1)})"
+        found = f"exists({elements}, {inner} -> {misfit(inner, dtype.elementType, depth + 1)})"
         return f"coalesce({given} and ({kind} not like 'ARRAY%' or {found}), false)"
     if not isinstance(dtype, T.StructType):
-        return _scalar_misfit(value, f"'{dtype.simpleString()}'")
+        return _scalar_misfit(f"struct({value} as v, {kind} as k, '{dtype.simpleString()}' as w)")
 
     checks, arrays = [], []
     for path, struct in _objects("$", dtype):
         fields = [f for f in struct.fields if not _is_opaque(f)]
-        specs = ", ".join(f"struct('{f.name}' as name, '{_kind_wanted(f)}' as kind)" for f in fields)
-        checks.append(f"struct(try_variant_get({value}, '{path}', 'map<string,variant>') as vals, array({specs}) as specs)")
+        specs = ", ".join(f"struct('{f.name}' as name, '{_kind_wanted(f)}' as w)" for f in fields)
+        checks.append(f"struct(try_variant_get({value}, '{path}', '{_VARIANTS_BY_NAME}') as vals, array({specs}) as specs)")
         arrays += [
-            _misfit(_node(value, f"{path}.{f.name}"), f.dataType, depth + 1)
+            misfit(_node(value, f"{path}.{f.name}"), f.dataType, depth + 1)
             for f in fields
             if isinstance(f.dataType, T.ArrayType)
         ]
-    scalar = _scalar_misfit("try_element_at(o.vals, s.name)", "s.kind")
-    fields_bad = f"exists(array({', '.join(checks)}), o -> exists(o.specs, s -> {scalar}))"
+    # Values present in an object, each with its kind, looked at once.
+    values = "filter(transform(o.specs, s -> struct(try_element_at(o.vals, s.name) as v, s.w as w)), x -> x.v is not null)"
+    kinds = f"transform({values}, x -> struct(x.v as v, schema_of_variant(x.v) as k, x.w as w))"
+    fields_bad = f"exists(filter(array({', '.join(checks)}), o -> o.vals is not null), o -> exists({kinds}, f -> {_scalar_misfit('f')}))"
     return f"coalesce({given} and ({kind} not like 'OBJECT%' or {fields_bad} or {_any(arrays)}), false)"
 
 
-def _scalar_misfit(value: str, wanted: str) -> str:
-    kind, text = f"schema_of_variant({value})", f"try_variant_get({value}, '$', 'string')"
+def _scalar_misfit(f: str) -> str:
+    """SQL: value ``f.v`` of JSON kind ``f.k`` cannot be read as ``f.w``."""
+    text = f"try_variant_get({f}.v, '$', 'string')"
 
     def lost(dtype: str) -> str:
-        return f"try_variant_get({value}, '$', '{dtype}') is null"
+        return f"try_variant_get({f}.v, '$', '{dtype}') is null"
 
-    is_object, is_array = f"{kind} like 'OBJECT%'", f"{kind} like 'ARRAY%'"
+    is_object, is_array = f"{f}.k like 'OBJECT%'", f"{f}.k like 'ARRAY%'"
     return f"""
-        case when {value} is null or is_variant_null({value}) then false
-             when {wanted} = 'object' then not {is_object}
-             when {wanted} = 'array' then not {is_array}
-             when {wanted} = 'object or array' then not ({is_object} or {is_array})
+        case when {f}.k is null or {f}.k = 'VOID' then false
+             when {f}.w = 'object' then not {is_object}
+             when {f}.w = 'array' then not {is_array}
+             when {f}.w = 'object or array' then not ({is_object} or {is_array})
              when {is_object} or {is_array} then true
-             when {wanted} = 'string' then false
-             when {kind} = 'BOOLEAN' then {wanted} <> 'boolean'
-             when {kind} = 'STRING' and trim({text}) in ({_quoted(EMPTY_TEXTS)}) then false
-             when {wanted} = 'boolean'
-               then not ({kind} = 'BIGINT' or ({kind} = 'STRING' and {text} in ({_quoted(BOOLEAN_TEXTS)})))
-             when {wanted} = 'int' then {lost('int')}
-             when {wanted} = 'bigint' then {lost('bigint')}
+             when {f}.w = 'string' then false
+             when {f}.k = 'BOOLEAN' then {f}.w <> 'boolean'
+             when {f}.k = 'STRING' and trim({text}) in ({_quoted(EMPTY_TEXTS)}) then false
+             when {f}.w = 'boolean'
+               then not ({f}.k = 'BIGINT' or ({f}.k = 'STRING' and {text} in ({_quoted(BOOLEAN_TEXTS)})))
+             when {f}.w = 'int' then {lost('int')}
+             when {f}.w = 'bigint' then {lost('bigint')}
              else {lost('double')} end"""

@@ -23,11 +23,11 @@ from stallkeeper.schemas import (
     PRICE,
     REQUEST,
     REQUEST_TYPES,
+    part,
 )
 
-_ENVELOPE = Reader(ENVELOPE)
-_UPDATES = Reader(T.ArrayType(LISTING_UPDATE), "$.data")
-_REQUEST = Reader(REQUEST, "$.data")
+_FEED = Reader(T.StructType([*ENVELOPE.fields, part("data", T.ArrayType(LISTING_UPDATE))]))
+_REQUESTS = Reader(T.StructType([*ENVELOPE.fields, part("data", REQUEST)]))
 
 SOURCE_COLUMNS = ("topic", "partition", "offset", "timestamp")
 
@@ -36,25 +36,32 @@ def _coordinates(raw: DataFrame) -> list[str]:
     return [c for c in SOURCE_COLUMNS if c in raw.columns]
 
 
-def _documents(raw: DataFrame, coordinates: list[str]) -> DataFrame:
+def _read(raw: DataFrame, coordinates: list[str], reader: Reader) -> DataFrame:
     text = raw.select(*coordinates, F.col("value").cast("string").alias("value"))
-    return _ENVELOPE.read(text.withColumn("document", wire.parse(F.col("value"))), "document", "envelope")
+    return reader.read(text, "value", "document")
 
 
 def _envelope_reason() -> Column:
     """Reject reason from the envelope alone; null when it is sound."""
-    value, document, fit = F.col("value"), F.col("document"), F.col("envelope_fit")
-    return (
-        F.when(value.isNull(), "no_value")
+    value, variant, fit = F.col("value"), F.col("document_variant"), F.col("document_fit")
+    bad_envelope = F.expr(wire.misfit("document_variant", ENVELOPE))
+    return F.when(
+        fit != wire.SOUND,
+        F.when(bad_envelope, "bad_envelope_field").when(~F.expr(wire.present("document_variant", "$.data")), "no_data"),
+    ).otherwise(
+        F.when(fit == wire.SOUND, F.when(F.col("document.data").isNull(), "no_data"))
+        .when(value.isNull(), "no_value")
         .when(~nonblank(value), "blank")
-        .when(document.isNull(), "malformed_json")
-        .when(F.is_variant_null(document), "null_document")
-        .when(fit.isNull(), "not_an_object")
-        .when(fit == wire.BAD, "bad_envelope_field")
-        .when(~F.expr(wire.present("document", "$.data")), "no_data")
+        .when(variant.isNull(), "malformed_json")
+        .when(F.is_variant_null(variant), "null_document")
+        .otherwise("not_an_object")
     )
 
 
+def _is_list(path: str) -> Column:
+    return F.expr(f"schema_of_variant(try_variant_get(document_variant, '{path}', 'variant')) like 'ARRAY%'")
+
+
 def _exploded(checked: DataFrame, coordinates: list[str], items: str, item: str) -> DataFrame:
     rows = checked.select(
         *coordinates, "value", "reason", F.posexplode_outer(F.when(F.col("reason").isNull(), F.col(items))).alias("pos", item)
@@ -76,10 +83,11 @@ def parse_listing_messages(raw: DataFrame) -> DataFrame:
     with any unreadable part yields one reject row and no event.
     """
     coordinates = _coordinates(raw)
-    read = _UPDATES.read(_documents(raw, coordinates), "document", "updates")
-    fit = F.col("updates_fit")
-    data_reason = F.when(fit.isNull(), "data_not_an_array").when(fit == wire.BAD, "bad_field")
-    checked = read.withColumn("reason", F.coalesce(_envelope_reason(), data_reason))
+    read = _read(raw, coordinates, _FEED)
+    data_reason = F.when(F.col("document_fit") == wire.BAD, F.when(_is_list("$.data"), "bad_field").otherwise("data_not_an_array"))
+    checked = read.withColumn("reason", F.coalesce(_envelope_reason(), data_reason)).withColumn(
+        "updates", F.col("document.data")
+    )
     return _exploded(checked, coordinates, "updates", "update")
 
 
@@ -109,11 +117,11 @@ def rejects(parsed: DataFrame) -> DataFrame:
 def parse_request_messages(raw: DataFrame) -> DataFrame:
     """Rows ``coordinates, pos, request, reject_reason, reject_preview``."""
     coordinates = _coordinates(raw)
-    read = _REQUEST.read(_documents(raw, coordinates), "document", "data")
-    data, fit = F.col("data"), F.col("data_fit")
+    read = _read(raw, coordinates, _REQUESTS)
+    data, fit = F.col("document.data"), F.col("document_fit")
     kind = request_type(data["request_type"])
     data_reason = (
-        F.when(fit.isNull() | (fit == wire.BAD), "bad_field")
+        F.when(fit == wire.BAD, "bad_field")
         .when(data["request_type"].isNotNull() & kind.isNull(), "unknown_request_type")
         .when(data["item_defindex"] <= 0, "item_defindex_not_positive")
         .when(data["item_quality_id"] <= 0, "item_quality_id_not_positive")

@@ -43,8 +43,8 @@ def latest(landed: DataFrame, *key: str) -> DataFrame:
 
 def _document(landed: DataFrame, body: str, reader: Reader) -> DataFrame:
     """Adds ``document`` (typed) and ``state``."""
-    read = reader.read(landed.withColumn("variant", wire.parse(F.col(body))), "variant", "document")
-    given, fit, variant = outcome(F.col("http_status")), F.col("document_fit"), F.col("variant")
+    read = reader.read(landed, body, "document")
+    given, fit, variant = outcome(F.col("http_status")), F.col("document_fit"), F.col("document_variant")
     is_null = F.coalesce(F.is_variant_null(variant), F.lit(False))
     unreadable = (fit.isNull() & ~is_null) | (fit == wire.BAD)
     return read.select(

@@ -72,14 +72,17 @@ class ListingTable:
         Run it from the writing query, or while none is running.  Earlier bases
         and changes stay for readers that started on them.
         """
-        base_id, _ = self._base()
+        base_id, base = self._base()
         pending = [b for b in self._published_batches() if b > base_id]
         if not pending:
             return base_id
         last = max(pending)
+        state = self.read_until(last + 1)
+        if base is None:
+            # One task per bucket, as a join with a bucketed base gives anyway.
+            state = state.repartition(self.buckets, "id")
         (
-            self.read_until(last + 1)
-            .write.mode("overwrite")
+            state.write.mode("overwrite")
             .format("parquet")
             .bucketBy(self.buckets, "id")
             .sortBy("id")

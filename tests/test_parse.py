@@ -174,7 +174,7 @@ def test_round_trip(spark, raw_messages):
     events = parse.listing_events(parse.parse_listing_messages(raw_messages([envelope(FULL_PAYLOAD)])))
     update = F.struct(*LISTING_UPDATE.names)
     text = events.select(update.alias("u"), parse.to_json(update).alias("j"))
-    again = wire.Reader(LISTING_UPDATE).read(text.select("u", wire.parse(F.col("j")).alias("d")), "d", "v")
+    again = wire.Reader(LISTING_UPDATE).read(text, "j", "v")
     row = again.first()
     assert row["u"].asDict(True) == row["v"].asDict(True)
     assert row["v_fit"] == wire.SOUND
