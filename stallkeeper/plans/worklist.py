@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stallkeeper.functions.text import url_encoded
 from stallkeeper.plans.reconcile import Steps
+from stallkeeper.session import Cut, no_cut
 
 # Seconds between two calls of an endpoint.
 PACE_SECONDS = {"snapshot": 10, "inventory": 10, "detail": 1}
@@ -48,16 +49,18 @@ def settled(snapshots: DataFrame, inventories: DataFrame, details: DataFrame) ->
     return reduce(DataFrame.unionByName, parts)
 
 
-def worklist(needed: DataFrame, landed: DataFrame | None = None) -> DataFrame:
+def worklist(needed: DataFrame, landed: DataFrame | None = None, cut: Cut = no_cut) -> DataFrame:
     """Open keys with a call slot per endpoint and its earliest start in seconds.
 
     Slots follow the order of the keys' hashes.  They are numbered within hash
     buckets, and shifted by the sizes of the buckets before; only the bucket
-    sizes, a bounded number of rows, are ever ordered in one task.
+    sizes, a bounded number of rows, are ever ordered in one task.  The open
+    keys are read twice; ``cut`` has them worked out once.
     """
     open_keys = needed.select("endpoint", "key").distinct()
     if landed is not None:
         open_keys = open_keys.join(landed, ["endpoint", "key"], "left_anti")
+    open_keys = cut(open_keys, "open_keys")
     digest = F.md5(F.col("key").cast("binary"))
     hashed = open_keys.select(
         "endpoint", "key", digest.alias("digest"), F.substring(digest, 1, BUCKET_DIGITS).alias("bucket")
