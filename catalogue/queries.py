@@ -491,7 +491,8 @@ def fetch_worklist(spark, sf_dir):
     steps, t = reconciled(spark, sf_dir)[0], tables(spark, sf_dir)
     no_details = landing.details(t.details.where(F.lit(False)))
     landed = worklist.settled(landing.snapshot_entries(t.snapshots), landing.inventories(t.inventories), no_details)
-    return worklist.worklist(worklist.needs(steps), landed, session.table_cut(spark))
+    cut = session.table_cut(spark)
+    return worklist.worklist(worklist.needs(steps), cut(landed, "landed"), cut)
 
 
 def fetch_budget(spark, sf_dir):

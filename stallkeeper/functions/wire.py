@@ -177,15 +177,18 @@ def misfit(value: str, dtype: T.DataType, depth: int = 0) -> str:
     checks, arrays = [], []
     for path, struct in _objects("$", dtype):
         fields = [f for f in struct.fields if not _is_opaque(f)]
-        specs = ", ".join(f"struct('{f.name}' as name, '{_kind_wanted(f)}' as w)" for f in fields)
-        checks.append(f"struct(try_variant_get({value}, '{path}', '{_VARIANTS_BY_NAME}') as vals, array({specs}) as specs)")
+        specs = ",".join(f"{f.name}:{_kind_wanted(f)}" for f in fields)
+        checks.append(
+            f"struct(try_variant_get({value}, '{path}', '{_VARIANTS_BY_NAME}') as vals,"
+            f" map_entries(str_to_map('{specs}')) as specs)"
+        )
         arrays += [
             misfit(_node(value, f"{path}.{f.name}"), f.dataType, depth + 1)
             for f in fields
             if isinstance(f.dataType, T.ArrayType)
         ]
     # Values present in an object, each with its kind, looked at once.
-    values = "filter(transform(o.specs, s -> struct(try_element_at(o.vals, s.name) as v, s.w as w)), x -> x.v is not null)"
+    values = "filter(transform(o.specs, s -> struct(try_element_at(o.vals, s.key) as v, s.value as w)), x -> x.v is not null)"
     kinds = f"transform({values}, x -> struct(x.v as v, schema_of_variant(x.v) as k, x.w as w))"
     fields_bad = f"exists(filter(array({', '.join(checks)}), o -> o.vals is not null), o -> exists({kinds}, f -> {_scalar_misfit('f')}))"
     return f"coalesce({given} and ({kind} not like 'OBJECT%' or {fields_bad} or {_any(arrays)}), false)"
