@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from catalogue import queries as catalogue_queries
 from check_oracles import TABLES, rows_of
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -24,11 +25,15 @@ def duck():
     return con
 
 
+NAMES = sorted(catalogue_queries.catalogue())
+
+
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(NAMES) <= set(entry.queries())
+    assert set(NAMES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF_DIR)
     cursor = duck.execute(entry.oracle_sql()[name])
