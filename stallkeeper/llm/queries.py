@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallkeeper import session
-from stallkeeper.llm import line_dedup
+from stallkeeper.llm import bpe, line_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,8 +48,27 @@ from judged group by doc_id
 """
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded with a word vocabulary."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json")).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every text under a byte-level vocabulary."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
+    "op4_bpe": op4_bpe,
+    "op10_token_counts": op10_token_counts,
 }
 
 SQL: dict[str, str] = {
