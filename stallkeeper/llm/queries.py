@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallkeeper import session
-from stallkeeper.llm import bpe, line_dedup, token_counts
+from stallkeeper.llm import bpe, decontamination, line_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,18 +59,72 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every text inside windows of benchmark items."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every text under a byte-level vocabulary."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+# Words by the rule that operators 5 and 8 share, as a SQL expression of a column.
+WORDS_SQL = r"""regexp_extract_all(
+    translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP5_SQL = f"""
+with docs as (
+    select doc_id, {WORDS_SQL.format("text")} as words from documents
+), items as (
+    select cast(item_id as varchar) as item, {WORDS_SQL.format("text")} as words from benchmark
+), starts as (
+    select item, words, least(len(words), 13) as size, unnest(range(1, len(words) - least(len(words), 13) + 2)) as i
+    from items where len(words) > 0
+), windows as (
+    select distinct item, size, array_to_string(list_slice(words, i, i + size - 1), ' ') as win from starts
+), sizes as (
+    select distinct size from windows
+), places as (
+    select doc_id, words, size, unnest(range(1, len(words) - size + 2)) as i
+    from docs, sizes where len(words) >= size
+), found as (
+    select p.doc_id, p.i, p.size, w.item
+    from (select *, array_to_string(list_slice(words, i, i + size - 1), ' ') as win from places) p
+    join windows w on p.win = w.win and p.size = w.size
+), hit as (
+    select doc_id, count(distinct pos) as n_hit
+    from (select doc_id, unnest(range(i, i + size)) as pos from found) group by doc_id
+), named as (
+    select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as names
+    from (select distinct doc_id, item from found) group by doc_id
+)
+select d.doc_id, len(d.words) as n_words, coalesce(h.n_hit, 0) as n_hit, coalesce(n.n_items, 0) as n_items,
+       sha256(coalesce(n.names, '')) as items_sha256,
+       coalesce(h.n_hit, 0) > 0 and 20 * coalesce(h.n_hit, 0) >= len(d.words) as contaminated
+from docs d left join hit h on d.doc_id = h.doc_id left join named n on d.doc_id = n.doc_id
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op4_bpe": op4_bpe,
+    "op5_decontamination": op5_decontamination,
     "op10_token_counts": op10_token_counts,
 }
 
 SQL: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
+    "op5_decontamination": OP5_SQL,
 }
