@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallkeeper import session
-from stallkeeper.llm import bpe, decontamination, line_dedup, token_counts
+from stallkeeper.llm import bpe, decontamination, fingerprints, line_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +48,20 @@ from judged group by doc_id
 """
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, and how near they and the next document are."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return fingerprints.neighbour_fingerprints(docs).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded with a word vocabulary."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -119,6 +133,7 @@ from docs d left join hit h on d.doc_id = h.doc_id left join named n on d.doc_id
 
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_fingerprints": op3_fingerprints,
     "op4_bpe": op4_bpe,
     "op5_decontamination": op5_decontamination,
     "op10_token_counts": op10_token_counts,
