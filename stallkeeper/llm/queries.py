@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallkeeper import session
-from stallkeeper.llm import bpe, decontamination, fingerprints, line_dedup, token_counts
+from stallkeeper.llm import bpe, decontamination, fingerprints, line_dedup, quality, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +87,22 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Texts that score at least this much are predicted to have label 1.
+QUALITY_LINE = 0.3
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of every text, learnt from labels of other rows than the held-out ones."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.scored(docs, model, carry=["doc_id"]).select(
+        "row.doc_id",
+        quality.held_out(F.col("row.doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_LINE).cast("int").alias("predicted"),
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every text under a byte-level vocabulary."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -136,6 +152,7 @@ QUERIES: dict[str, Query] = {
     "op3_fingerprints": op3_fingerprints,
     "op4_bpe": op4_bpe,
     "op5_decontamination": op5_decontamination,
+    "op6_quality": op6_quality,
     "op10_token_counts": op10_token_counts,
 }
 
