@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallkeeper import session
-from stallkeeper.llm import bpe, decontamination, fingerprints, line_dedup, quality, token_counts
+from stallkeeper.llm import bpe, decontamination, fingerprints, licenses, line_dedup, quality, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +103,14 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every text."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return licenses.scan_licenses(docs).withColumns(
+        {"base_labels": F.array_join("base_labels", ","), "labels": F.array_join("labels", ",")}
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every text under a byte-level vocabulary."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -147,16 +155,59 @@ from docs d left join hit h on d.doc_id = h.doc_id left join named n on d.doc_id
 """
 
 
+def _values(rows: list[tuple]) -> str:
+    return ", ".join("(" + ", ".join(repr(x) for x in row) + ")" for row in rows)
+
+
+OP8_SQL = f"""
+with docs as (
+    select doc_id, {WORDS_SQL.format("text")} as words from documents
+), phrases as (
+    select label, string_split(phrase, ' ') as phrase from (values {_values(list(licenses.PHRASES.items()))}) t(phrase, label)
+), places as (
+    select doc_id, label, i - 1 as pos
+    from (select doc_id, words, label, phrase, unnest(range(1, len(words) - len(phrase) + 2)) as i
+          from docs, phrases where len(words) >= len(phrase))
+    where list_slice(words, i, i + len(phrase) - 1) = phrase
+), base as (
+    select doc_id, count(*) as n_base, min(pos) as first_word, max(pos) as last_word from places group by doc_id
+), templates as (
+    select label, list_distinct({WORDS_SQL.format("text")}) as words
+    from (values {_values(licenses.TEMPLATES)}) t(label, text)
+), blocks as (
+    select doc_id, list_slice(words, i, i + {licenses.BLOCK - 1}) as words
+    from (select doc_id, words, unnest(range(1, len(words) + 1, {licenses.BLOCK // 2})) as i from docs)
+), contained as (
+    select doc_id, label, len(list_intersect(b.words, t.words)) as overlap, len(t.words) as size
+    from blocks b, templates t
+), matched as (
+    select doc_id, label, max(overlap / size) as best from contained
+    where overlap >= ceil({licenses.THRESHOLD} * size) group by doc_id, label
+), based as (
+    select doc_id, string_agg(label, ',' order by label) as labels from (select distinct doc_id, label from places) group by doc_id
+), every as (
+    select doc_id, string_agg(label, ',' order by label) as labels
+    from (select doc_id, label from places union select doc_id, label from matched) group by doc_id
+)
+select d.doc_id, len(d.words) as n_words, coalesce(b.n_base, 0) as n_base, b.first_word, b.last_word,
+       coalesce(n.labels, '') as base_labels, coalesce(e.labels, '') as labels,
+       case when b.n_base > 0 then 1.0::double else coalesce((select max(best) from matched m where m.doc_id = d.doc_id), 0.0) end as score
+from docs d left join base b on d.doc_id = b.doc_id left join based n on d.doc_id = n.doc_id left join every e on d.doc_id = e.doc_id
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_fingerprints": op3_fingerprints,
     "op4_bpe": op4_bpe,
     "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
+    "op8_licenses": op8_licenses,
     "op10_token_counts": op10_token_counts,
 }
 
 SQL: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
     "op5_decontamination": OP5_SQL,
+    "op8_licenses": OP8_SQL,
 }
