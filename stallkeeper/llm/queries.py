@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallkeeper import session
-from stallkeeper.llm import bpe, decontamination, fingerprints, licenses, line_dedup, quality, token_counts
+from stallkeeper.llm import bpe, decontamination, fingerprints, licenses, line_dedup, quality, secrets, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,6 +111,22 @@ def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of secrets in every text."""
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents", "doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"] < len(secrets.FORMS))
+
+    def of(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[of(k).alias(f"n_{form[0]}") for k, form in enumerate(secrets.FORMS)],
+        F.sha2(secrets.spans_text(base), 256).alias("base_sha256"),
+        secrets.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every text under a byte-level vocabulary."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -203,6 +219,7 @@ QUERIES: dict[str, Query] = {
     "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
     "op8_licenses": op8_licenses,
+    "op9_secrets": op9_secrets,
     "op10_token_counts": op10_token_counts,
 }
 
