@@ -81,17 +81,11 @@ def _found(rows: DataFrame) -> DataFrame:
     )
 
 
-def _pair(text: Column, i: Column) -> Column:
-    """The number of the character pair at place ``i`` (from 1)."""
-    first = F.ascii(F.substring(text, i, F.lit(1))) - FIRST
-    second = F.ascii(F.substring(text, i + 1, F.lit(1))) - FIRST
-    return first * CODES + second
-
-
 def _pairs(text: Column) -> Column:
-    return F.when(
-        F.length(text) > 1, F.transform(F.sequence(F.lit(1), F.length(text) - 1), lambda i: _pair(text, i))
-    ).otherwise(F.array().cast("array<int>"))
+    """The number of each pair of neighbouring characters."""
+    codes = F.transform(F.split(text, ""), lambda c: F.ascii(c) - FIRST)
+    n = F.greatest(F.size(codes) - 1, F.lit(0))
+    return F.zip_with(F.slice(codes, 1, n), F.slice(codes, 2, n), lambda a, b: a * CODES + b)
 
 
 def log_ratios(secrets: DataFrame, ordinary: DataFrame) -> list[float]:
