@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallkeeper import session
-from stallkeeper.llm import bpe, decontamination, fingerprints, licenses, line_dedup, quality, secrets, token_counts
+from stallkeeper.llm import bpe, decontamination, fingerprints, licenses, line_dedup, near_duplicates, quality, secrets, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +103,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class, copies and number of links of every document."""
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "class_id", "copy_id", "n_links")
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices of every text."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -218,6 +224,7 @@ QUERIES: dict[str, Query] = {
     "op4_bpe": op4_bpe,
     "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_licenses": op8_licenses,
     "op9_secrets": op9_secrets,
     "op10_token_counts": op10_token_counts,
