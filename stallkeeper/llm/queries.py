@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallkeeper import session
-from stallkeeper.llm import bpe, decontamination, fingerprints, licenses, line_dedup, near_duplicates, quality, secrets, token_counts
+from stallkeeper.llm import bpe, decontamination, fingerprints, licenses, line_dedup, near_duplicates, quality, secrets, token_counts, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +48,15 @@ from judged group by doc_id
 """
 
 
+# The rules that the query is stated with.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every url."""
+    return url_filters.judge_urls(table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and its edited text, and how near they and the next document are."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -220,6 +229,7 @@ from docs d left join base b on d.doc_id = b.doc_id left join based n on d.doc_i
 
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_url_filters": op2_url_filters,
     "op3_fingerprints": op3_fingerprints,
     "op4_bpe": op4_bpe,
     "op5_decontamination": op5_decontamination,
