@@ -30,6 +30,8 @@ IDENTIFIER = r"(?<![A-Za-z0-9+/_-])[A-Za-z][A-Za-z_-]{5,}(?![A-Za-z0-9+/_-])"
 SAMPLE_DOCS = 5_000
 # Least mean log-likelihood ratio of a character pair.
 LIMIT = 0.5
+# Weight of a character's overall chance in its chance after another.
+BACK = 5.0
 # Character codes that candidates are made of lie in this range.
 FIRST, CODES = 43, 80
 
@@ -91,19 +93,19 @@ def _pairs(text: Column) -> Column:
 def log_ratios(secrets: DataFrame, ordinary: DataFrame) -> list[float]:
     """Log-likelihood ratio of each character pair under the two models, from columns named ``value``.
 
-    Each model is the chance of a character after another, smoothed by one; the table's size is fixed.
+    Each model is the chance of a character after another, smoothed towards the character's chance after
+    any; the table's size is fixed.
     """
     both = secrets.select(F.lit(0).alias("model"), "value").unionByName(ordinary.select(F.lit(1).alias("model"), "value"))
     counted = both.select("model", F.explode(_pairs(F.col("value"))).alias("pair")).groupBy("model", "pair").agg(F.count("*").alias("n"))
     counts = {(r["model"], r["pair"]): r["n"] for r in counted.collect()}
-    out = [0.0] * (CODES * CODES)
-    for first in range(CODES):
-        totals = [sum(counts.get((m, first * CODES + k), 0) for k in range(CODES)) for m in (0, 1)]
-        for second in range(CODES):
-            pair = first * CODES + second
-            chance = [(counts.get((m, pair), 0) + 1) / (totals[m] + CODES) for m in (0, 1)]
-            out[pair] = math.log(chance[0] / chance[1])
-    return out
+    chances = []
+    for model in (0, 1):
+        table = [[counts.get((model, a * CODES + b), 0) for b in range(CODES)] for a in range(CODES)]
+        total = sum(map(sum, table))
+        after = [(sum(row[b] for row in table) + 1) / (total + CODES) for b in range(CODES)]
+        chances.append([(n + BACK * after[b]) / (sum(row) + BACK) for row in table for b, n in enumerate(row)])
+    return [math.log(secret / word) for secret, word in zip(*chances, strict=True)]
 
 
 def ratio(value: Column, ratios: list[float]) -> Column:
