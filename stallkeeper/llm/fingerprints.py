@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
@@ -29,7 +30,9 @@ from stallkeeper.llm.text import slices
 # Cells of the smallest sketch, which is the fingerprint; each digest is added to one cell of each third.
 CELLS = 24
 HASHES = 3
-CHARS_AT_ONCE = 1_500_000
+# Cells for each digest of a pair beyond which larger sketches are not tried.
+HOPELESS = 8
+BYTES_AT_ONCE = 1_000_000
 # Documents of one id range, and most ranges.
 RANGE_ROWS = 2_000
 RANGES = 20_000
@@ -48,8 +51,9 @@ def digests(text: str) -> list[int]:
     seen: dict[str, int] = {}
     out = []
     for piece in pieces:
-        seen[piece] = seen.get(piece, -1) + 1
-        out.append(digest(piece, seen[piece]))
+        seen[piece] = count = seen.get(piece, -1) + 1
+        # Not the count as a seed: short pieces with seeds that differ a little can have equal digests.
+        out.append((digest(piece) + count * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
     return out
 
 
@@ -125,6 +129,11 @@ def differing(old: list[np.ndarray], new: list[np.ndarray]) -> np.ndarray:
     least = 1.5 * np.abs(sizes[:, 0] - sizes[:, 1])
     cells, todo = CELLS, np.arange(len(old))
     while len(todo):
+        # Sketches that large can fail only if two digests share all cells; then the sets are compared.
+        hopeless = cells > HOPELESS * np.maximum(sizes[todo].sum(axis=1), CELLS)
+        for i in todo[hopeless]:
+            out[i] = len(np.setxor1d(old[i], new[i]))
+        todo = todo[~hopeless]
         ready = least[todo] <= cells
         now, todo = todo[ready], todo[~ready]
         if len(now):
@@ -161,10 +170,12 @@ def _ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by range, in order; each range ends with guards that only serve as the next row."""
     held: list[tuple[object, bool, str]] = []
     for batch in batches:
-        ids, guards, texts = (batch.column(c).to_pylist() for c in ("id", "guard", "text"))
-        rows = [*held, *((i, g, t or "") for i, g, t in zip(ids, guards, texts, strict=True))]
-        for start, end in slices([len(r[2]) for r in rows[:-1]], CHARS_AT_ONCE):
-            pairs = [(rows[k], rows[k + 1][2]) for k in range(start, end) if not rows[k][1]]
+        sizes = pc.binary_length(batch.column("text")).to_pylist()
+        for start, end in slices([n or 0 for n in sizes], BYTES_AT_ONCE):
+            ids, guards, texts = (batch.column(c).slice(start, end - start).to_pylist() for c in ("id", "guard", "text"))
+            rows = [*held, *((i, g, t or "") for i, g, t in zip(ids, guards, texts, strict=True))]
+            held = rows[-1:]
+            pairs = [(row, after[2]) for row, after in zip(rows, rows[1:], strict=False) if not row[1]]
             if pairs:
                 columns = compared([r[2] for r, _ in pairs], [after for _, after in pairs])
                 yield pa.RecordBatch.from_arrays(
@@ -175,7 +186,6 @@ def _ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     ],
                     ["id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
                 )
-        held = rows[-1:]
 
 
 def neighbour_fingerprints(
