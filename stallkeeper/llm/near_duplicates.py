@@ -334,7 +334,8 @@ def _blocks(rows: DataFrame, size: Column, block: int, node: Column) -> DataFram
 
 
 def _in_groups(rows: DataFrame, key: list[str], work: Callable, schema: str) -> DataFrame:
-    return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(work, schema)
+    """Groups one after another, each in the order of its nodes: buckets of one class then agree on its root."""
+    return rows.repartition(*key).sortWithinPartitions(*key, "node").mapInArrow(work, schema)
 
 
 def near_duplicates(
