@@ -382,8 +382,9 @@ def near_duplicates(
     sizes = cut(components.groupBy("component").agg(F.count("*").alias("size")), "sizes")
     wanted = components.join(sizes, "component").join(nodes.select("node", "first", "copies"), "node")
     wanted = cut(wanted.select("component", "size", "node", "copies", "first.id", "first.version"), "wanted")
+    # Merged at every size: what is wanted grows with the corpus.
     chosen = rows.join(
-        wanted.withColumnsRenamed({"id": "of", "version": "of_version"}),
+        wanted.withColumnsRenamed({"id": "of", "version": "of_version"}).hint("merge"),
         F.col("id").eqNullSafe(F.col("of")) & (F.col("version") == F.col("of_version")),
     )
     chosen = _blocks(chosen, F.col("size"), GROUP_BLOCK, F.col("node"))
