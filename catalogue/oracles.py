@@ -217,17 +217,23 @@ def sql() -> dict[str, str]:
               440 as appid, value as metal, user_id % 5 as keys, epoch_us(ts) // 1000000 as listed_at,
               case when event_id % 5 = 0 then 2 else 0 end as spells, event_id % 2 = 0 as tradable from ev""",
         "parse_rejects": FEED
-        + """, broken as (select distinct msg, msg % 4 as p, msg // 4 as o, msg % 11 as how from ev),
+        + """, broken as (select distinct msg, msg % 4 as p, msg // 4 as o, msg % 13 as how from ev),
              n as (select msg, count(*) as n from ev group by msg)
              select p as partition, o as "offset",
                case how when 1 then 'malformed_json' when 2 then 'bad_field' when 3 then 'no_data' when 4 then 'not_an_object'
                         when 5 then 'blank' when 6 then 'null_document' when 8 then 'bad_field'
-                        when 9 then 'bad_envelope_field' when 10 then 'no_value' end as reject_reason,
+                        when 9 then 'bad_envelope_field' when 10 then 'no_value' when 11 then 'malformed_json' when 12 then 'malformed_json' end as reject_reason,
                case when how in (0, 7) then n else 0 end as events
              from broken join n using (msg)""",
         "reject_previews": """
-            select 'documents' as topic, doc_id as "offset", substr(text, 1, 500) as reject_preview from documents
-            union all select 'pages', page_id, substr(html, 1, 500) from pages""",
+            select 'documents' as topic, doc_id as "offset", substr(text, 1, 500) as reject_preview, text as reject_value from documents
+            union all select 'pages', page_id, substr(html, 1, 500), html from pages""",
+        "unwritable_changes": FEED
+        + """, lost as (select *, msg % 5 as how from ev where event <> 'listing-other'),
+             judged as (select *, case when how = 3 then 'no_id'
+                    when event = 'listing-update' and how = 2 then 'no_seller'
+                    when event = 'listing-update' and how = 1 and intent = 'buy' then 'no_intent' end as defect from lost)
+             select 'e' || event_id as event_key, event, defect from judged where defect is not null""",
         "json_round_trip": FEED
         + """ select 'e' || event_id as event_key, event, id as listing_id, steamid, value as metal,
               case when event_id % 4 = 0 then null else value * 2 end as raw, epoch_us(ts) // 1000000 as listed_at,
@@ -328,7 +334,7 @@ def sql() -> dict[str, str]:
         "snapshot_sell": MARKET + " select request_id, page, pos, steamid from sell_row",
         "body_clean": """
             select page_id,
-                   case when length(x) >= 10 then x end as cleaned
+                   case when x <> '' then x end as cleaned
             from (select page_id, case when strpos(html, '{') > 0 and length(html) - strpos(reverse(html), '}') + 1 > strpos(html, '{')
                        and strpos(html, '}') > 0
                        then substr(html, strpos(html, '{'), length(html) - strpos(reverse(html), '}') - strpos(html, '{') + 2)
@@ -388,7 +394,7 @@ def sql() -> dict[str, str]:
               union all select 'snapshot', 'ok', count(distinct (market, page)) from market""",
         "fetch_worklist": MARKET
         + """, open as (select distinct endpoint, key from need
-                        where endpoint = 'detail' or (endpoint = 'inventory' and key in (select steamid from market where unreadable))),
+                        where (endpoint = 'detail' and key not in (select id from market)) or (endpoint = 'inventory' and key in (select steamid from market where unreadable))),
              slots as (select *, row_number() over (partition by endpoint order by md5(key), key) - 1 as slot from open)
              select endpoint, key, replace(url_encode(key), '%20', '+') as encoded_key, slot,
                     slot * case endpoint when 'detail' then 1 else 10 end as start_second from slots""",

@@ -33,20 +33,15 @@ def _changes(events: DataFrame) -> DataFrame:
     return fold.fold(fold.table_events(events, c(DAILY)))
 
 
-def market(spark: SparkSession, sf_dir: str, cut: session.Cut = session.no_cut) -> reconcile.Market:
+def market(spark: SparkSession, sf_dir: str) -> reconcile.Market:
     t = tables(spark, sf_dir)
-    return reconcile.Market(
-        listings=t.listings,
-        snapshots=cut(landing.snapshot_entries(t.snapshots), "snapshots"),
-        details=landing.details(t.details),
-        inventories=landing.inventories(t.inventories),
-    )
+    return reconcile.Market(listings=t.listings, snapshots=t.snapshots, details=t.details, inventories=t.inventories)
 
 
 def run_reconciliation(spark: SparkSession, sf_dir: str) -> tuple[reconcile.Steps, DataFrame]:
     """All requests, from the landed bodies to the events."""
     cut = session.table_cut(spark)
-    m = market(spark, sf_dir, cut)
+    m = market(spark, sf_dir)
     steps = reconcile.prepare(tables(spark, sf_dir).requests, m, COMPLETE, cut=cut)
     return steps, cut(reconcile.events(steps, m.listings), "events")
 
@@ -76,10 +71,10 @@ def parse_fanout(spark, sf_dir):
 
 
 def broken_messages(spark, sf_dir):
-    """The whole feed, most of its messages damaged in one of ten ways."""
+    """The whole feed, most of its messages damaged in one of twelve ways."""
     damaged = c(
         """
-        case (offset * 4 + partition) % 11
+        case (offset * 4 + partition) % 13
           when 1 then left(value, length(value) div 2)
           when 2 then replace(value, '"tradable":', '"level":"x","tradable":')
           when 3 then replace(value, '{"data":[', '{"data":null,"rest":[')
@@ -90,6 +85,8 @@ def broken_messages(spark, sf_dir):
           when 8 then replace(value, '"details":"trade', '"details":{"a":1},"x":"trade')
           when 9 then replace(value, '"source":"feed"', '"source":[1]')
           when 10 then null
+          when 11 then replace(value, '"', '\\'')
+          when 12 then replace(value, '"metal":', '"metal":NaN,"rest":')
           else value end
         """
     )
@@ -111,7 +108,23 @@ def reject_previews(spark, sf_dir):
         )
 
     texts = raw("documents", "doc_id", "text").unionByName(raw("pages", "page_id", "html"))
-    return parse.rejects(parse.parse_listing_messages(texts)).select("topic", "offset", "reject_preview")
+    return parse.rejects(parse.parse_listing_messages(texts)).select("topic", "offset", "reject_preview", "reject_value")
+
+
+def unwritable_changes(spark, sf_dir):
+    """Updates and deletes that cannot change the table, in a feed where parts of some are missing."""
+    damaged = c(
+        """
+        case (offset * 4 + partition) % 5
+          when 1 then replace(value, '"intent":"buy",', '')
+          when 2 then replace(value, '"steamid":', '"seller":')
+          when 3 then replace(value, '"payload":{"id":', '"payload":{"key":')
+          else value end
+        """
+    )
+    raw = tables(spark, sf_dir).messages.withColumn("value", damaged)
+    events = parse.listing_events(parse.parse_listing_messages(raw))
+    return fold.unwritable(events).select(F.col("id").alias("event_key"), "event", "defect")
 
 
 def json_round_trip(spark, sf_dir):
@@ -208,20 +221,28 @@ def _flat(listings):
 MID_MONTH_MS = 1_705_363_200_000  # 2024-01-16
 
 
+def _slices(messages, *bounds):
+    """Consecutive parts of the feed, cut by the messages' own time, so each is a filter on the scan."""
+    edges = [None, *bounds, None]
+    for low, high in zip(edges, edges[1:]):
+        part = messages if low is None else feeds.since(messages, low)
+        yield part if high is None else part.where(F.col("timestamp") < F.timestamp_millis(F.lit(high)))
+
+
+def _parsed(messages):
+    return parse.listing_events(parse.parse_listing_messages(messages))
+
+
 def merge_state(spark, sf_dir):
     """The feed's first half as the stored table, the second half merged into it."""
-    early = F.col("ord_time") < MID_MONTH_MS
-    events = _events(spark, sf_dir)
-    current = merge.first_state(_changes(events.where(early)))
-    return _flat(merge.merge(current, _changes(events.where(~early))))
+    first, second = [_changes(_parsed(part)) for part in _slices(tables(spark, sf_dir).messages, MID_MONTH_MS)]
+    return _flat(merge.merge(merge.first_state(first), second))
 
 
 def refold_state(spark, sf_dir):
     """Changes of three consecutive batches folded together."""
-    events, t = _events(spark, sf_dir), F.col("ord_time")
-    day = times.DAY_MS
-    batches = [t < MID_MONTH_MS - 7 * day, (t >= MID_MONTH_MS - 7 * day) & (t < MID_MONTH_MS), t >= MID_MONTH_MS]
-    first, second, third = [_changes(events.where(b)) for b in batches]
+    parts = _slices(tables(spark, sf_dir).messages, MID_MONTH_MS - 7 * times.DAY_MS, MID_MONTH_MS)
+    first, second, third = [_changes(_parsed(part)) for part in parts]
     changes = fold.refold(first.unionByName(second).unionByName(third))
     return merge.first_state(changes).select("id", "details", "is_deleted", "created_at", "updated_at")
 
@@ -236,18 +257,14 @@ def merge_reconciled(spark, sf_dir):
 
 
 def stream_state(spark, sf_dir):
-    """The feed through the streaming job, in several batches with a compaction."""
+    """The feed through the streaming job: it runs three times as messages arrive, with a compaction."""
     root = f"{session.shared_dir(spark)}/stream/{uuid.uuid4().hex}"
-    raw, day = tables(spark, sf_dir).messages, times.DAY_MS
-    bounds = [None, MID_MONTH_MS - 7 * day, MID_MONTH_MS, None]
-    for low, high in zip(bounds, bounds[1:]):
-        part = raw if low is None else feeds.since(raw, low)
-        part = part if high is None else part.where(F.col("timestamp") < F.timestamp_millis(F.lit(high)))
-        part.coalesce(1).write.mode("append").parquet(f"{root}/messages")
     table = ListingTable(spark, f"{root}/table", buckets=8)
     job = Job(table, touched_at=c(DAILY), compact_every=2)
-    stream = feeds.file_stream(spark, f"{root}/messages", max_files_per_trigger=1)
-    job.start(stream, f"{root}/checkpoint", interval=None).awaitTermination()
+    for part in _slices(tables(spark, sf_dir).messages, MID_MONTH_MS - 7 * times.DAY_MS, MID_MONTH_MS):
+        part.write.mode("append").parquet(f"{root}/messages")
+        stream = feeds.file_stream(spark, f"{root}/messages")
+        job.start(stream, f"{root}/checkpoint", interval=None).awaitTermination()
     return table.read().select("id", "details", "is_deleted", "created_at", "updated_at")
 
 
@@ -386,7 +403,7 @@ def snapshot_explode(spark, sf_dir):
 def snapshot_states(spark, sf_dir):
     entries = landing.snapshot_entries(tables(spark, sf_dir).snapshots)
     counts = entries.groupBy("market_name", "appid").agg(F.count("pos").alias("listings"))
-    return landing.snapshot_states(entries).join(counts, ["market_name", "appid"]).drop("appid")
+    return landing.snapshot_states(entries).join(counts, ["market_name", "appid"]).drop("appid", "snapshot_fetched_at")
 
 
 def body_clean(spark, sf_dir):
@@ -487,10 +504,11 @@ def handler_metrics(spark, sf_dir):
 
 
 def fetch_worklist(spark, sf_dir):
-    """What a first fetch of the details, and a retry of unreadable inventories, has to call."""
+    """What has to be called: details that have not landed, and unreadable inventories again."""
     steps, t = reconciled(spark, sf_dir)[0], tables(spark, sf_dir)
-    no_details = landing.details(t.details.where(F.lit(False)))
-    landed = worklist.settled(landing.snapshot_entries(t.snapshots), landing.inventories(t.inventories), no_details)
+    landed = worklist.settled(
+        landing.snapshot_entries(t.snapshots), landing.inventories(t.inventories), landing.details(t.details)
+    )
     cut = session.table_cut(spark)
     return worklist.worklist(worklist.needs(steps), cut(landed, "landed"), cut)
 
@@ -502,7 +520,7 @@ def fetch_budget(spark, sf_dir):
 def catalogue() -> dict[str, Query]:
     """All queries by name."""
     plain = [
-        parse_fanout, parse_rejects, reject_previews, json_round_trip, price_polymorphism, price_list, route_updates,
+        parse_fanout, parse_rejects, reject_previews, unwritable_changes, json_round_trip, price_polymorphism, price_list, route_updates,
         route_deletes, event_counts, write_origins, union_events, latest_state, merge_state, refold_state,
         merge_reconciled, stream_state, listing_ids, id_class, url_values, market_name_latest, existing_listings,
         listing_by_seller, live_listings_for_item, listing_by_id, report_activity, report_by_item, price_ladder, browse,

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Characters a response body is cleaned of, the shortest body
-# that can be JSON, and the length of a rejected message's preview.
+# Characters a response body is cleaned of, and the length of a
+# rejected message's preview.
 CONTROL_CHARACTERS = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
-SHORTEST_BODY = 10
 PREVIEW_LENGTH = 500
 REPLACEMENT = "�"
 
@@ -25,9 +24,9 @@ def preview(c: Column) -> Column:
 
 def clean_json_body(c: Column) -> Column:
     """JSON object inside a noisy body: control characters dropped, then the
-    outermost braces; null when there is none or it is too short."""
+    outermost braces; null when there is none."""
     inner = F.regexp_extract(F.regexp_replace(c, CONTROL_CHARACTERS, ""), r"(?s)\{.*\}", 0)
-    return F.when(F.length(inner) >= SHORTEST_BODY, inner)
+    return F.when(inner != "", inner)
 
 
 def url_encoded(c: Column) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stallkeeper.schemas import ARRAY_READS_AS_NULL, OPAQUE
+from stallkeeper.schemas import ARRAY_READS_AS_NULL, CHECKED_AS, CHECKED_TYPES, OPAQUE
 
 # Texts read as a missing scalar, and texts read as a boolean.
 EMPTY_TEXTS = ("", "null")
@@ -28,6 +28,8 @@ BOOLEAN_TEXTS = ("true", "True", "TRUE", "false", "False", "FALSE")
 
 SOUND, ODD, BAD = 0, 1, 2
 
+# Only standard JSON: no single quotes, no bare NaN or Infinity.
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 _VARIANTS_BY_NAME = "map<string,variant>"
 _CORRUPT = "_unread"
 _LIKE_CONTAINER = "coalesce(substring({0}, 1, 1) in ('{{', '['), false)"
@@ -73,6 +75,11 @@ def _is_opaque(field: T.StructField) -> bool:
     return bool(field.metadata.get(OPAQUE))
 
 
+def _checked_as(field: T.StructField) -> T.StructType | None:
+    """Type that an opaque field's value is checked against, though it is kept as text."""
+    return CHECKED_TYPES.get(field.metadata.get(CHECKED_AS))
+
+
 class Reader:
     """Reads JSON documents of one object type."""
 
@@ -89,7 +96,7 @@ class Reader:
         loose, typed, sound = f"{into}_loose", f"{into}_typed", f"{into}_sound"
         fit, variant = f"{into}_fit", f"{into}_variant"
         schema = T.StructType([*self.loose_type.fields, T.StructField(_CORRUPT, T.StringType())])
-        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, **_STRICT}
         root = "named_struct(" + ", ".join(f"'{f}', {loose}.`{f}`" for f in self.loose_type.names) + ")"
         same = f"cast({typed} as {self.loose_type.simpleString()}) <=> {root}"
         steps = df.withColumn(loose, F.from_json(F.col(text), schema, options))
@@ -135,6 +142,7 @@ def _holds_container_text(loose: str, dtype: T.DataType, depth: int = 0) -> str:
             field = f"{loose}.`{f.name}`"
             if isinstance(f.dataType, T.StringType):
                 texts += [] if _is_opaque(f) else [field]
+                conditions += [f"{field} is not null"] if _checked_as(f) else []
             elif isinstance(f.dataType, (T.StructType, T.ArrayType)):
                 inside = _holds_container_text(field, f.dataType, depth)
                 conditions += [] if inside == "false" else [f"({field} is not null and {inside})"]
@@ -158,18 +166,20 @@ def _objects(path: str, dtype: T.StructType):
             yield from _objects(f"{path}.{f.name}", f.dataType)
 
 
-def misfit(value: str, dtype: T.DataType, depth: int = 0) -> str:
+def misfit(value: str, dtype: T.DataType, depth: int = 0, inner_values: bool = True) -> str:
     """SQL: the variant ``value`` holds something ``dtype`` cannot take.
 
     The check of one scalar is written once and run over (name, wanted kind)
-    lists, one per object.
+    lists, one per object.  ``inner_values``: opaque fields with a type of their
+    own are checked too; inside of such a field they are not, so a type that
+    holds itself is checked one level down.
     """
     kind = f"schema_of_variant({value})"
     given = f"{value} is not null and not is_variant_null({value})"
     if isinstance(dtype, T.ArrayType):
         inner = f"a{depth}"
         elements = f"try_variant_get({value}, '$', 'array<variant>')"
-        found = f"exists({elements}, {inner} -> {misfit(inner, dtype.elementType, depth + 1)})"
+        found = f"exists({elements}, {inner} -> {misfit(inner, dtype.elementType, depth + 1, inner_values)})"
         return f"coalesce({given} and ({kind} not like 'ARRAY%' or {found}), false)"
     if not isinstance(dtype, T.StructType):
         return _scalar_misfit(f"struct({value} as v, {kind} as k, '{dtype.simpleString()}' as w)")
@@ -183,10 +193,17 @@ def misfit(value: str, dtype: T.DataType, depth: int = 0) -> str:
             f" map_entries(str_to_map('{specs}')) as specs)"
         )
         arrays += [
-            misfit(_node(value, f"{path}.{f.name}"), f.dataType, depth + 1)
+            misfit(_node(value, f"{path}.{f.name}"), f.dataType, depth + 1, inner_values)
             for f in fields
             if isinstance(f.dataType, T.ArrayType)
         ]
+        # A text stands for such a value where a parsed document was written as JSON again.
+        arrays += [
+            f"({_kind_of(value, f'{path}.{f.name}')} <> 'STRING'"
+            f" and {misfit(_node(value, f'{path}.{f.name}'), _checked_as(f), depth + 1, False)})"
+            for f in struct.fields
+            if inner_values and _checked_as(f)
+        ]
     # Values present in an object, each with its kind, looked at once.
     values = "filter(transform(o.specs, s -> struct(try_element_at(o.vals, s.key) as v, s.value as w)), x -> x.v is not null)"
     kinds = f"transform({values}, x -> struct(x.v as v, schema_of_variant(x.v) as k, x.w as w))"

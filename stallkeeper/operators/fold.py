@@ -22,8 +22,8 @@ ORDER_COLUMNS = ("ord_time", "ord_partition", "ord_offset", "ord_pos")
 def table_events(events: DataFrame, touched_at: Column) -> DataFrame:
     """Flattened updates and deletes, each with its order and write time.
 
-    Other kinds are dropped, as are updates that cannot become a row (see
-    :func:`unwritable_updates`) and deletes without an identifier.
+    Other kinds are dropped.  Updates that cannot become a row and deletes
+    without an identifier are left out; :func:`unwritable` has them.
     """
     p = F.col("payload")
     is_update = F.col("event") == UPDATE_EVENT
@@ -39,13 +39,13 @@ def table_events(events: DataFrame, touched_at: Column) -> DataFrame:
     )
 
 
-def unwritable_updates(events: DataFrame) -> DataFrame:
-    """Updates left out of the table, with the reason."""
-    return (
-        events.where(F.col("event") == UPDATE_EVENT)
-        .withColumn("defect", row_defect(F.col("payload")))
-        .where(F.col("defect").isNotNull())
+def unwritable(events: DataFrame) -> DataFrame:
+    """Updates and deletes left out of the table, with the reason in ``defect``."""
+    p = F.col("payload")
+    defect = F.when(F.col("event") == UPDATE_EVENT, row_defect(p)).when(
+        (F.col("event") == DELETE_EVENT) & p["id"].isNull(), "no_id"
     )
+    return events.withColumn("defect", defect).where(F.col("defect").isNotNull())
 
 
 def fold(events: DataFrame) -> DataFrame:

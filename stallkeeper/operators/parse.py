@@ -73,11 +73,12 @@ def _exploded(checked: DataFrame, coordinates: list[str], items: str, item: str)
         item,
         reason.alias("reject_reason"),
         F.when(reason.isNotNull(), preview(F.col("value"))).alias("reject_preview"),
+        F.when(reason.isNotNull(), F.col("value")).alias("reject_value"),
     ).where(F.col(item).isNotNull() | F.col("reject_reason").isNotNull())
 
 
 def parse_listing_messages(raw: DataFrame) -> DataFrame:
-    """Rows ``coordinates, pos, update, reject_reason, reject_preview``.
+    """Rows ``coordinates, pos, update, reject_reason, reject_preview, reject_value``.
 
     An event has ``update`` set; a null array element yields nothing; a message
     with any unreadable part yields one reject row and no event.
@@ -108,18 +109,21 @@ def source_order() -> list[Column]:
 
 
 def rejects(parsed: DataFrame) -> DataFrame:
-    """Rejected messages with their reason and a printable preview."""
+    """Rejected messages with their reason, a printable preview and the whole text, to be replayed."""
     return parsed.where(F.col("reject_reason").isNotNull()).select(
-        *_coordinates(parsed), "reject_reason", "reject_preview"
+        *_coordinates(parsed), "reject_reason", "reject_preview", "reject_value"
     )
 
 
-def parse_request_messages(raw: DataFrame) -> DataFrame:
-    """Rows ``coordinates, pos, request, reject_reason, reject_preview``."""
+def parse_request_messages(raw: DataFrame, added_types: tuple[str, ...] = ()) -> DataFrame:
+    """Rows ``coordinates, pos, request, reject_reason, reject_preview, reject_value``.
+
+    ``added_types``: names of request types besides the built-in ones.
+    """
     coordinates = _coordinates(raw)
     read = _read(raw, coordinates, _REQUESTS)
     data, fit = F.col("document.data"), F.col("document_fit")
-    kind = request_type(data["request_type"])
+    kind = request_type(data["request_type"], added_types)
     data_reason = (
         F.when(fit == wire.BAD, "bad_field")
         .when(data["request_type"].isNotNull() & kind.isNull(), "unknown_request_type")
@@ -134,13 +138,13 @@ def parse_request_messages(raw: DataFrame) -> DataFrame:
     return _exploded(checked, coordinates, "requests", "request")
 
 
-def request_type(given: Column) -> Column:
-    """Known type by its name or its ordinal; null otherwise."""
+def request_type(given: Column, added_types: tuple[str, ...] = ()) -> Column:
+    """Known type by its name, a built-in one also by its ordinal; null otherwise."""
     by_ordinal = F.element_at(
         F.array(*[F.lit(t) for t in REQUEST_TYPES]),
         F.when(given.rlike("^[0-3]$"), given.cast("int") + 1),
     )
-    return F.when(given.isin(*REQUEST_TYPES), given).when(given.rlike("^[0-3]$"), by_ordinal)
+    return F.when(given.isin(*REQUEST_TYPES, *added_types), given).when(given.rlike("^[0-3]$"), by_ordinal)
 
 
 def requests(parsed: DataFrame) -> DataFrame:

@@ -27,10 +27,16 @@ def event_measures() -> dict[str, Column]:
 
 
 def observed(parsed: DataFrame, name: str = "feed") -> DataFrame:
-    """Same rows, counted on the way; a stream reports the counts per batch."""
+    """Same rows, counted on the way, for whoever listens to the query's progress."""
     return parsed.observe(name, *[measure.alias(key) for key, measure in event_measures().items()])
 
 
+def batch_counters(parsed: DataFrame, batch_id: int) -> DataFrame:
+    """(batch, counter, value) rows of one micro-batch of the feed."""
+    counted = _as_rows(parsed.agg(*[m.alias(k) for k, m in event_measures().items()]))
+    return counted.select(F.lit(batch_id).cast("bigint").alias("batch"), "counter", "value")
+
+
 def _as_rows(one_row: DataFrame) -> DataFrame:
     return one_row.unpivot([], one_row.columns, "counter", "value")
 
@@ -41,14 +47,12 @@ def feed_counters(raw: DataFrame, parsed: DataFrame) -> DataFrame:
     Every message counts once as consumed, and once as parsed or failed.
     """
     consumed = raw.agg(F.count("*").alias("messages_consumed"))
-    failed = parsed.where(F.col("reject_reason").isNotNull()).agg(F.count("*").alias("failed"))
     counted = parsed.agg(*[m.alias(k) for k, m in event_measures().items()])
-    succeeded = (
-        _as_rows(consumed)
-        .unionByName(failed.select(F.lit("f").alias("counter"), (-F.col("failed")).alias("value")))
-        .agg(F.sum("value").alias("messages_parsed_success"))
-    )
-    return reduce(DataFrame.unionByName, [_as_rows(df) for df in (consumed, succeeded, counted)])
+    # Two rows made one: the messages are scanned for their number and parsed once.
+    both = consumed.unionByName(counted, allowMissingColumns=True)
+    counts = both.agg(*[F.max(c).alias(c) for c in both.columns])
+    succeeded = F.col("messages_consumed") - F.col("messages_parsed_failed")
+    return _as_rows(counts.withColumn("messages_parsed_success", succeeded))
 
 
 def write_origins(events: DataFrame) -> DataFrame:

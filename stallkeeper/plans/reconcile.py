@@ -8,13 +8,15 @@ which parts (`buy`, `sell`, `single`) it wants.
 Scale: requests are the small side and meet the large tables first, so those
 are read once and filtered at the scan's side of the join; whether requests are
 broadcast is left to Spark's size checks, which know the size because
-intermediate steps are stored (``cut``).  Groups are by (request, listing) or
+intermediate steps are stored (``cut``).  Landed responses are filtered by the
+keys that requests need before any of their text is read.  Groups are by (request, listing) or
 (request, seller).  Nothing is ever gathered per request, as one item may hold
 a large share of all listings: per-request facts are partial aggregates.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -27,7 +29,7 @@ from stallkeeper.operators import lookups
 from stallkeeper.operators.requests import PARTS_BY_TYPE, classify
 from stallkeeper.schemas import APPID, DELETE_EVENT, PAYLOAD, UPDATE_EVENT
 from stallkeeper.session import Cut, no_cut
-from stallkeeper.sources.landing import snapshot_states
+from stallkeeper.sources.landing import details, inventories, snapshot_entries, snapshot_states
 
 FAIL, SKIP = "fail", "skip"
 
@@ -37,7 +39,10 @@ BUY_UPDATE, BUY_DELETE, SELL_UPDATE, SELL_DELETE = range(4)
 
 @dataclass(frozen=True)
 class Market:
-    """Stored listings, and the landed responses as `sources.landing` reads them."""
+    """Stored listings, and the landed responses: raw, or as `sources.landing` reads them.
+
+    Raw rows are parsed here, after those that no request needs are left out.
+    """
 
     listings: DataFrame
     snapshots: DataFrame
@@ -54,10 +59,14 @@ class Options:
     ``missing_buy_detail``: ``fail`` stops the request at the first buy listing
     without a detail (what came before is kept, nothing is deleted); ``skip``
     treats such a listing as not on the market.
+
+    ``max_age_ms``: a response fetched longer than this before the request does
+    not answer it; unset, any age will do.
     """
 
     assume_complete: bool = False
     missing_buy_detail: str = FAIL
+    max_age_ms: int | None = None
 
 
 @dataclass(frozen=True)
@@ -74,23 +83,43 @@ class Steps:
     verdicts: DataFrame  # one row per request: status and how far it got
 
 
-def locate(requests: DataFrame, market: Market, parts_by_type=PARTS_BY_TYPE, assume_complete: bool = False) -> DataFrame:
-    """Classified requests with the latest market name and the snapshot's state."""
+def wanted_only(landed: DataFrame, wanted: DataFrame, key: str, reader: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Landed responses that some row of ``wanted`` asks for, read; already read ones are only filtered."""
+    keys = wanted.where(F.col(key).isNotNull()).select(key).distinct()
+    chosen = landed.join(keys, key, "left_semi")
+    return reader(chosen) if "body" in landed.columns else chosen
+
+
+def _is_fresh(fetched_at: str, options: Options) -> Column:
+    """The response is young enough for the request asked at ``asked_at``."""
+    if options.max_age_ms is None:
+        return F.lit(True)
+    return F.coalesce(F.col(fetched_at) >= F.col("asked_at") - options.max_age_ms, F.lit(False))
+
+
+def named_requests(requests: DataFrame, market: Market, parts_by_type=PARTS_BY_TYPE) -> DataFrame:
+    """Classified requests with the latest market name of their item."""
     classified = classify(requests, parts_by_type)
     names = lookups.latest_market_names(lookups.for_items(market.listings, _item_requests(classified)))
     named = classified.join(names, list(lookups.ITEM_KEY), "left")
-    states = snapshot_states(market.snapshots.where(F.col("appid") == APPID))
+    return named.select(*classified.columns, "market_name", F.col("generation_timestamp").alias("asked_at"))
+
+
+def locate(named: DataFrame, snapshots: DataFrame, options: Options) -> DataFrame:
+    """Named requests with the state of their item's snapshot."""
+    assume_complete = options.assume_complete
+    states = snapshot_states(snapshots.where(F.col("appid") == APPID))
     absent = "null" if assume_complete else "pending"
     state = F.when(
         F.col("market_name").isNotNull(),
         F.coalesce(
             F.when(F.lit(assume_complete) & (F.col("snapshot_state") == "pending"), "null"),
-            "snapshot_state",
+            F.when(_is_fresh("snapshot_fetched_at", options), F.col("snapshot_state")),
             F.lit(absent),
         ),
     )
     located = named.join(states.drop("appid"), "market_name", "left").withColumn("snapshot_state", state)
-    return located.select(*classified.columns, "market_name", "snapshot_state")
+    return located.select(*named.columns, "snapshot_state")
 
 
 def _item_requests(requests: DataFrame) -> DataFrame:
@@ -113,9 +142,10 @@ def _snapshot_rows(located: DataFrame, snapshots: DataFrame, part: str, intent:
         F.col("pos").isNotNull() & (F.col("appid") == APPID) & (F.lower("listing.intent") == intent)
     ).select("market_name", F.struct("page", "pos").alias("place"), "listing")
     return listed.join(
-        wanted.select("request_id", "market_name", *lookups.ITEM_KEY, "max_inventory_size"), "market_name"
+        wanted.select("request_id", "asked_at", "market_name", *lookups.ITEM_KEY, "max_inventory_size"), "market_name"
     ).select(
         "request_id",
+        "asked_at",
         "place",
         "market_name",
         *lookups.ITEM_KEY,
@@ -137,7 +167,7 @@ def sell_rows(located: DataFrame, snapshots: DataFrame) -> DataFrame:
     return _snapshot_rows(located, snapshots, "sell", "sell")
 
 
-def scan_inventories(rows: DataFrame, inventories: DataFrame, assume_complete: bool = False) -> DataFrame:
+def scan_inventories(rows: DataFrame, inventories: DataFrame, options: Options) -> DataFrame:
     """Matching items per (request, seller), and whether the seller is skipped.
 
     A seller with more matches than the request allows is skipped; so is one
@@ -145,15 +175,18 @@ def scan_inventories(rows: DataFrame, inventories: DataFrame, assume_complete: b
     updated nor deleted.
     """
     sellers = rows.groupBy("request_id", "steamid").agg(
-        *[F.first(c).alias(c) for c in (*lookups.ITEM_KEY, "max_inventory_size")]
+        *[F.first(c).alias(c) for c in (*lookups.ITEM_KEY, "max_inventory_size", "asked_at")]
     )
-    scanned = sellers.join(inventories.select("steamid", "state", "items"), "steamid", "left")
+    assume_complete = options.assume_complete
+    scanned = sellers.join(inventories.select("steamid", "fetched_at", "state", "items"), "steamid", "left")
+    scanned = scanned.withColumn("state", F.when(_is_fresh("fetched_at", options), F.col("state")))
     matches = F.expr(
         "filter(items, i -> coalesce(i.defindex, 0) = item_defindex and coalesce(i.quality, 0) = item_quality_id)"
     )
     waiting = F.coalesce(F.col("state").isin("retry", "denied", "failed"), F.lit(True))
     scanned = scanned.select(
         "request_id",
+        "asked_at",
         "steamid",
         "max_inventory_size",
         F.when(~waiting, F.col("state")).otherwise("unreadable" if assume_complete else "pending").alias("inventory_state"),
@@ -164,7 +197,7 @@ def scan_inventories(rows: DataFrame, inventories: DataFrame, assume_complete: b
         n > F.col("max_inventory_size"), "inventory_size"
     )
     return scanned.select(
-        "request_id", "steamid", "inventory_state", n.alias("n_matches"), reason.alias("skip_reason"), "matches"
+        "request_id", "asked_at", "steamid", "inventory_state", n.alias("n_matches"), reason.alias("skip_reason"), "matches"
     )
 
 
@@ -173,30 +206,37 @@ def candidates(located: DataFrame, buys: DataFrame, scans: DataFrame) -> DataFra
     none = F.lit(None)
     place_type, item_type = buys.schema["place"].dataType, scans.schema["matches"].dataType.elementType
     buy = buys.select(
-        "request_id", F.lit("buy").alias("part"), "steamid", "listing_id", "place", "listed",
+        "request_id", "asked_at", F.lit("buy").alias("part"), "steamid", "listing_id", "place", "listed",
         none.cast("int").alias("item_pos"), none.cast(item_type).alias("item"),
     )
     open_scans = scans.where(F.col("skip_reason").isNull())
     sell = open_scans.select(
-        "request_id", F.lit("sell").alias("part"), "steamid", F.posexplode("matches").alias("item_pos", "item")
+        "request_id", "asked_at", F.lit("sell").alias("part"), "steamid", F.posexplode("matches").alias("item_pos", "item")
     ).select(
-        "request_id", "part", "steamid", sell_id(F.lit(APPID), F.coalesce("item.id", F.lit(0))).alias("listing_id"),
+        "request_id", "asked_at", "part", "steamid", sell_id(F.lit(APPID), F.coalesce("item.id", F.lit(0))).alias("listing_id"),
         none.cast(place_type).alias("place"), none.cast(buys.schema["listed"].dataType).alias("listed"),
         "item_pos", "item",
     )
     single = located.where("wants_single").select(
-        "request_id", F.lit("single").alias("part"), none.cast("string").alias("steamid"), "listing_id",
+        "request_id", "asked_at", F.lit("single").alias("part"), none.cast("string").alias("steamid"), "listing_id",
         none.cast(place_type).alias("place"), none.cast(buys.schema["listed"].dataType).alias("listed"),
         none.cast("int").alias("item_pos"), none.cast(item_type).alias("item"),
     )
     return buy.unionByName(sell).unionByName(single)
 
 
-def answer(wanted: DataFrame, details: DataFrame, assume_complete: bool = False) -> DataFrame:
+def answer(wanted: DataFrame, details: DataFrame, options: Options) -> DataFrame:
     """Candidates with their detail; ``landed`` is false while it is awaited."""
-    found = details.select("listing_id", F.col("state").alias("detail_state"), "payload")
-    landed = F.coalesce(F.col("detail_state").isin("ok", "missing"), F.lit(False)) | F.lit(assume_complete)
-    return wanted.join(found, "listing_id", "left").withColumn("landed", landed)
+    found = details.select("listing_id", "fetched_at", F.col("state").alias("detail_state"), "payload")
+    met = wanted.join(found, "listing_id", "left")
+    fresh = _is_fresh("fetched_at", options)
+    landed = (fresh & F.coalesce(F.col("detail_state").isin("ok", "missing"), F.lit(False))) | F.lit(options.assume_complete)
+    return met.select(
+        *wanted.columns,
+        F.when(fresh, F.col("detail_state")).alias("detail_state"),
+        F.when(fresh, F.col("payload")).alias("payload"),
+        landed.alias("landed"),
+    )
 
 
 def settle_sellers(scans: DataFrame, answered: DataFrame) -> DataFrame:
@@ -209,7 +249,7 @@ def settle_sellers(scans: DataFrame, answered: DataFrame) -> DataFrame:
         F.min(F.when(~F.col("landed"), F.col("item_pos"))).alias("awaited_pos"),
     )
     awaited = F.coalesce(F.col("awaited_pos") < F.coalesce("hit_pos", F.lit(2**31 - 1)), F.lit(False))
-    return scans.drop("matches").join(hits, ["request_id", "steamid"], "left").select(
+    return scans.drop("matches", "asked_at").join(hits, ["request_id", "steamid"], "left").select(
         "request_id",
         "steamid",
         "inventory_state",
@@ -315,11 +355,14 @@ def prepare(
     cut: Cut = no_cut,
 ) -> Steps:
     """The steps up to the verdicts; :func:`events` and :func:`outcomes` read them."""
-    complete = options.assume_complete
-    located = cut(locate(requests, market, parts_by_type, complete), "located")
-    buys, sells = buy_rows(located, market.snapshots), sell_rows(located, market.snapshots)
-    scans = cut(scan_inventories(sells, market.inventories, complete), "scans")
-    answered = cut(answer(candidates(located, buys, scans), market.details, complete), "answered")
+    named = cut(named_requests(requests, market, parts_by_type), "named")
+    snapshots = cut(wanted_only(market.snapshots, named, "market_name", snapshot_entries), "snapshots")
+    located = cut(locate(named, snapshots, options), "located")
+    buys, sells = buy_rows(located, snapshots), sell_rows(located, snapshots)
+    scanned = wanted_only(market.inventories, sells, "steamid", inventories)
+    scans = cut(scan_inventories(sells, scanned, options), "scans")
+    wanted = cut(candidates(located, buys, scans), "candidates")
+    answered = cut(answer(wanted, wanted_only(market.details, wanted, "listing_id", details), options), "answered")
     sellers = cut(settle_sellers(scans, answered), "sellers")
     verdicts = cut(judge(located, answered, sells, sellers, options), "verdicts")
     return Steps(
@@ -443,12 +486,13 @@ def events(steps: Steps, listings: DataFrame) -> DataFrame:
 
 def ordered_events(reconciled: DataFrame) -> DataFrame:
     """Same columns and order terms as feed events: placed at their generation time."""
-    # A page holds fewer than 2^31 listings, and stages keep clear of pages.
-    place = F.col("stage") * F.lit(2**60).cast("bigint") + F.col("page") * F.lit(2**31).cast("bigint") + F.col("pos")
+    # Stages follow one another as offsets of their request; a page holds fewer than 2^31 listings.
+    offset = F.shiftleft(F.shiftright(F.xxhash64("request_id"), 2), 2) + F.col("stage")
+    place = F.col("page") * F.lit(2**31).cast("bigint") + F.col("pos")
     return reconciled.select(
         F.col("generation_timestamp").alias("ord_time"),
         F.lit(-1).alias("ord_partition"),
-        F.xxhash64("request_id").alias("ord_offset"),
+        offset.alias("ord_offset"),
         place.alias("ord_pos"),
         "id",
         "event",
@@ -457,8 +501,9 @@ def ordered_events(reconciled: DataFrame) -> DataFrame:
     )
 
 
-def outcomes(steps: Steps, reconciled: DataFrame) -> DataFrame:
-    """One row per request: status, reason, and how many events it led to."""
+def outcomes(steps: Steps, reconciled: DataFrame, finished_at: Column | None = None) -> DataFrame:
+    """One row per request: status, reason, how many events it led to, and given an end the milliseconds it took."""
+    took = [] if finished_at is None else [(finished_at - F.col("generation_timestamp")).cast("bigint").alias("took_ms")]
     counts = reconciled.groupBy("request_id").agg(
         F.count_if(F.col("event") == UPDATE_EVENT).alias("updates"),
         F.count_if(F.col("event") == DELETE_EVENT).alias("deletes"),
@@ -470,6 +515,19 @@ def outcomes(steps: Steps, reconciled: DataFrame) -> DataFrame:
         "reason",
         F.coalesce("updates", F.lit(0)).cast("bigint").alias("updates"),
         F.coalesce("deletes", F.lit(0)).cast("bigint").alias("deletes"),
+        *took,
+    )
+
+
+def failed_outcomes(requests: DataFrame, reason: str) -> DataFrame:
+    """Outcomes of requests whose reconciliation did not come to an end."""
+    return requests.select(
+        "request_id",
+        F.col("request_type").alias("effective_type"),
+        F.lit("failed").alias("status"),
+        F.lit(reason).alias("reason"),
+        *[F.lit(0).cast("bigint").alias(c) for c in ("updates", "deletes")],
+        F.lit(None).cast("bigint").alias("took_ms"),
     )
 
 

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from stallkeeper.functions.text import url_encoded
 from stallkeeper.plans.reconcile import Steps
 from stallkeeper.session import Cut, no_cut
+from stallkeeper.sources.landing import snapshot_states
 
 # Seconds between two calls of an endpoint.
 PACE_SECONDS = {"snapshot": 10, "inventory": 10, "detail": 1}
 
-# Keys are numbered bucket by bucket; a bucket is one task's share.
+# Keys are numbered bucket by bucket; a bucket is one task's share.  Each hex
+# digit of the hash makes sixteen times as many.
 BUCKET_DIGITS = 3
 
 
@@ -41,15 +43,19 @@ def settled(snapshots: DataFrame, inventories: DataFrame, details: DataFrame) ->
     def keys(df: DataFrame, endpoint: str, key: str, *states: str) -> DataFrame:
         return df.where(F.col("state").isin(*states)).select(F.lit(endpoint).alias("endpoint"), F.col(key).alias("key"))
 
+    # One row per snapshot; one page that is missing leaves the whole snapshot open.
+    whole = snapshot_states(snapshots).withColumnRenamed("snapshot_state", "state")
     parts = [
-        keys(snapshots, "snapshot", "market_name", "ok"),
+        keys(whole, "snapshot", "market_name", "ready", "null", "no_listings"),
         keys(inventories, "inventory", "steamid", "ok"),
         keys(details, "detail", "listing_id", "ok", "missing"),
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
-def worklist(needed: DataFrame, landed: DataFrame | None = None, cut: Cut = no_cut) -> DataFrame:
+def worklist(
+    needed: DataFrame, landed: DataFrame | None = None, cut: Cut = no_cut, bucket_digits: int = BUCKET_DIGITS
+) -> DataFrame:
     """Open keys with a call slot per endpoint and its earliest start in seconds.
 
     Slots follow the order of the keys' hashes.  They are numbered within hash
@@ -63,7 +69,7 @@ def worklist(needed: DataFrame, landed: DataFrame | None = None, cut: Cut = no_c
     open_keys = cut(open_keys, "open_keys")
     digest = F.md5(F.col("key").cast("binary"))
     hashed = open_keys.select(
-        "endpoint", "key", digest.alias("digest"), F.substring(digest, 1, BUCKET_DIGITS).alias("bucket")
+        "endpoint", "key", digest.alias("digest"), F.substring(digest, 1, bucket_digits).alias("bucket")
     )
     before = Window.partitionBy("endpoint").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (

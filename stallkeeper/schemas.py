@@ -18,6 +18,8 @@ REQUEST_TYPES = ("FULL", "BUY_ONLY", "SELL_ONLY", "SINGLE_ID")
 ARRAY_READS_AS_NULL = "arrayReadsAsNull"
 # Any JSON is tolerated here; nothing reads it, so it is kept as text.
 OPAQUE = "opaque"
+# Kept as text like the opaque, but its fields must fit the named type.
+CHECKED_AS = "checkedAs"
 
 _SCALARS = {
     "string": T.StringType(),
@@ -65,14 +67,20 @@ ITEM = record(
     part("quality", record("id int, name string, color string")),
     part("price", ITEM_PRICE, arrayReadsAsNull=True),
     parts("equipped", record("class int, slot int")),
-    # A counter's item repeats the whole item, so the recursion is cut there.
-    parts("strangeParts", record("score int", part("killEater", record("id int, name string, item opaque")))),
+    # A counter's item repeats the whole item.  It is kept as text and checked one level down; a counter's
+    # item within it is not looked at.
+    parts(
+        "strangeParts",
+        record("score int", part("killEater", record("id int, name string", part("item", T.StringType(), opaque=True, checkedAs="item")))),
+    ),
     parts("spells", record("id string, spellId string, name string, type string, defindex int, color string")),
     part("particle", record("id int, name string, shortName string, imageUrl string, type string")),
     part("style", record("name string")),
     part("paint", record("id int, name string, color string")),
 )
 
+CHECKED_TYPES = {"item": ITEM}
+
 PAYLOAD = record(
     "id string, steamid string, appid int, tradeOffersPreferred boolean, buyoutOnly boolean, details string, "
     "listedAt bigint, bumpedAt bigint, intent string, count int, status string, source string",

@@ -1,8 +1,10 @@
 """Landed responses of the market and inventory services, as DataFrames.
 
 A fetcher outside Spark lands one row per response: its key, ``http_status`` and
-``body``, and ``fetched_at`` when a key may be fetched again.  These functions
-read the bodies.  ``state`` says what a response means for the work that needs
+``body``, and ``fetched_at`` (epoch milliseconds) when a key may be fetched
+again: the newest response of a key then counts, and its age can be judged.
+Without it a key must land once.  These functions read the bodies; filter the
+landed rows by key first.  ``state`` says what a response means for the work that needs
 it: ``ok``, ``missing`` (answered: no such thing), ``retry`` (not answered yet),
 ``denied``, ``failed`` or ``unreadable``.
 """
@@ -41,6 +43,13 @@ def latest(landed: DataFrame, *key: str) -> DataFrame:
     return newest.select(*key, "r.*")
 
 
+def _newest(landed: DataFrame, *key: str) -> DataFrame:
+    """One response per key; with a null ``fetched_at`` where landed rows have none."""
+    if "fetched_at" in landed.columns:
+        return latest(landed, *key)
+    return landed.withColumn("fetched_at", F.lit(None).cast("bigint"))
+
+
 def _document(landed: DataFrame, body: str, reader: Reader) -> DataFrame:
     """Adds ``document`` (typed) and ``state``."""
     read = reader.read(landed, body, "document")
@@ -59,14 +68,20 @@ def snapshot_entries(landed: DataFrame) -> DataFrame:
 
     A page without listings keeps one row with a null ``pos``, so that the
     state of every page survives.  ``has_listings`` is false for a page whose
-    list is absent; ``is_null`` marks a response that is JSON null.
+    list is absent; ``is_null`` marks a response that is JSON null.  A snapshot
+    without ``page`` is one text in one task: land large items in pages.  With
+    ``snapshot_at``, pages of a snapshot's older versions are left out.
     """
     pages = landed if "page" in landed.columns else landed.withColumn("page", F.lit(0).cast("bigint"))
-    read = _document(pages, "body", _SNAPSHOT)
+    if "snapshot_at" in pages.columns:
+        current = pages.groupBy(*SNAPSHOT_KEY).agg(F.max("snapshot_at").alias("snapshot_at"))
+        pages = pages.join(current, [*SNAPSHOT_KEY, "snapshot_at"], "left_semi")
+    read = _document(_newest(pages, *SNAPSHOT_KEY, "page"), "body", _SNAPSHOT)
     listings = F.when(F.col("state") == "ok", F.col("document.listings"))
     return read.select(
         *SNAPSHOT_KEY,
         "page",
+        "fetched_at",
         "state",
         (F.col("state").eqNullSafe("ok") & F.col("document").isNull()).alias("is_null"),
         listings.isNotNull().alias("has_listings"),
@@ -75,37 +90,41 @@ def snapshot_entries(landed: DataFrame) -> DataFrame:
 
 
 def snapshot_states(entries: DataFrame) -> DataFrame:
-    """One row per snapshot: ``ready``, ``null``, ``no_listings`` or ``pending``."""
+    """One row per snapshot: ``ready``, ``null``, ``no_listings`` or ``pending``, and its oldest page's age."""
     worst = F.max(
         F.when(F.col("state") != "ok", 3).when(F.col("is_null"), 2).when(~F.col("has_listings"), 1).otherwise(0)
     )
     names = F.array(*[F.lit(s) for s in ("ready", "no_listings", "null", "pending")])
-    return entries.groupBy(*SNAPSHOT_KEY).agg(F.element_at(names, worst + 1).alias("snapshot_state"))
+    return entries.groupBy(*SNAPSHOT_KEY).agg(
+        F.element_at(names, worst + 1).alias("snapshot_state"), F.min("fetched_at").alias("snapshot_fetched_at")
+    )
 
 
 def details(landed: DataFrame) -> DataFrame:
-    """Listing details: ``listing_id, state, payload``; payload is null unless ``ok``."""
-    read = _document(landed, "body", _DETAIL)
+    """Listing details: ``listing_id, fetched_at, state, payload``; payload is null unless ``ok``."""
+    read = _document(_newest(landed, "listing_id"), "body", _DETAIL)
     ok = F.col("state") == "ok"
     return read.select(
         "listing_id",
+        "fetched_at",
         F.when(ok & F.col("document").isNull(), "missing").otherwise(F.col("state")).alias("state"),
         F.when(ok, F.col("document")).alias("payload"),
     )
 
 
 def inventories(landed: DataFrame) -> DataFrame:
-    """Seller inventories: ``steamid, state, items, n_items``.
+    """Seller inventories: ``steamid, fetched_at, state, items, n_items``.
 
     Bodies are cleaned first.  A body without JSON and a result whose status is
     not 1 are both ``unreadable``.
     """
-    cleaned = landed.withColumn("cleaned", clean_json_body(F.col("body")))
+    cleaned = _newest(landed, "steamid").withColumn("cleaned", clean_json_body(F.col("body")))
     read = _document(cleaned, "cleaned", _INVENTORY)
     good = F.coalesce(F.col("document.result.status") == 1, F.lit(False))
     state = F.when((F.col("state") == "ok") & ~good, "unreadable").otherwise(F.col("state"))
     return read.select(
         "steamid",
+        "fetched_at",
         state.alias("state"),
         F.when(state == "ok", F.coalesce("document.result.items", F.array().cast(_ITEMS))).alias("items"),
     ).withColumn("n_items", F.size("items"))

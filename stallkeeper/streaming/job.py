@@ -1,10 +1,11 @@
 """The running job: messages in, table changes out.
 
 One query reads the feed and, if configured, the request topic, as one union.
-Each micro-batch parses both, reconciles the requests it holds (and those still
-pending from the batch before), and folds feed and reconciliation events
-together into one set of changes.  Everything a batch writes is keyed by its
-id, so a batch replayed after a failure leaves the same result.
+Each micro-batch parses both, reconciles the requests it holds (and those that
+still wait), and folds feed and reconciliation events together into one set of
+changes.  Everything a batch writes is keyed by its id, so a batch replayed
+after a failure leaves the same result: changes, rejects, changes that cannot
+be written, counters, and of requests their outcomes and those that wait.
 """
 
 from __future__ import annotations
@@ -20,15 +21,15 @@ from stallkeeper.functions.times import now_ms
 from stallkeeper.operators import fold, lookups, parse, route
 from stallkeeper.operators.requests import PARTS_BY_TYPE
 from stallkeeper.plans import counters, reconcile
-from stallkeeper.schemas import REQUEST_TABLE
-from stallkeeper.session import stored, table_cut
+from stallkeeper.schemas import REQUEST_TABLE, REQUEST_TYPES
+from stallkeeper.session import Cut, stored, table_cut
 from stallkeeper.streaming.table import ListingTable
 
 # Fixed value: flush interval of the upserts.
 DEFAULT_INTERVAL = "200 milliseconds"
 
-# Reads the landed responses: (snapshots, inventories, details), each as
-# `sources.landing` gives it.
+# Reads the landed responses: (snapshots, inventories, details), raw or as
+# `sources.landing` gives them.
 Landed = Callable[[SparkSession], tuple[DataFrame, DataFrame, DataFrame]]
 
 
@@ -56,51 +57,66 @@ class Job:
 
     def run_batch(self, batch: DataFrame, batch_id: int) -> None:
         """Apply one micro-batch."""
+        if self.compact_every and batch_id and batch_id % self.compact_every == 0:
+            self.table.compact(before_batch=batch_id)
         is_request = F.lit(False) if self.request_topic is None else F.col("topic") == self.request_topic
         parsed = parse.parse_listing_messages(batch.where(~is_request))
         # Parsed once; executors that are lost recompute from the source.
         parsed = counters.observed(parsed, f"feed_{batch_id}").persist()
         try:
             live = parse.listing_events(parsed)
-            events = route.union_events(live, self._reconciled(batch.where(is_request), batch_id))
+            events = route.union_events(live, self._requested(batch.where(is_request), batch_id))
             moment = now_ms() if self.touched_at is None else self.touched_at
             self.table.append(fold.fold(fold.table_events(events, moment)), batch_id)
             self._write(parse.rejects(parsed), "rejects", batch_id)
+            self._write(fold.unwritable(live), "unwritable", batch_id)
+            self._write(counters.batch_counters(parsed, batch_id), "counters", batch_id)
         finally:
             parsed.unpersist()
-        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
-            self.table.compact()
+            self.table.drop(self._path("steps", batch_id))
 
-    def _reconciled(self, messages: DataFrame, batch_id: int) -> DataFrame | None:
-        """Events of this batch's requests and of those left pending by the last one."""
-        if self.request_topic is None or self.landed is None:
+    def _requested(self, messages: DataFrame, batch_id: int) -> DataFrame | None:
+        """Events of this batch's requests and of those that still wait.
+
+        Without landed responses every request waits.  An error fails the
+        requests at hand, with its text as the reason, and not the feed.
+        """
+        if self.request_topic is None:
             return None
-        spark = self.table.spark
-        cut = table_cut(spark)
-        parsed = parse.parse_request_messages(messages)
+        cut = table_cut(self.table.spark, self._path("steps", batch_id))
+        types = tuple(t for t in self.parts_by_type if t not in REQUEST_TYPES)
+        parsed = parse.parse_request_messages(messages, types)
         self._write(parse.rejects(parsed), "request_rejects", batch_id)
         fresh = parse.requests(parsed).withColumn("generation_timestamp", F.col("requested_at"))
         columns = REQUEST_TABLE.names
-        waiting = self._waiting(batch_id)
-        requests = cut(fresh.select(*columns).unionByName(waiting), "requests")
-
-        if requests.isEmpty():
+        requests = cut(fresh.select(*columns).unionByName(self._waiting(batch_id)), "requests")
+        if self.landed is None or requests.isEmpty():
             self._write(requests, "waiting", batch_id)
             return None
+        try:
+            return self._reconciled(requests, batch_id, cut)
+        except Exception as error:
+            reason = f"error: {type(error).__name__}: {error}"
+            self._write(reconcile.failed_outcomes(requests, reason), "outcomes", batch_id)
+            self._write(requests.limit(0), "waiting", batch_id)
+            return None
+
+    def _reconciled(self, requests: DataFrame, batch_id: int, cut: Cut) -> DataFrame:
         listings = cut(lookups.relevant_to(self.table.read_until(batch_id), requests), "listings")
-        snapshots, inventories, details = self.landed(spark)
-        market = reconcile.Market(listings, cut(snapshots, "snapshots"), details, inventories)
+        snapshots, inventories, details = self.landed(self.table.spark)
+        market = reconcile.Market(listings, snapshots, details, inventories)
         steps = reconcile.prepare(requests, market, self.options, self.parts_by_type, cut)
         events = cut(reconcile.events(steps, listings), "events")
-        self._write(reconcile.outcomes(steps, events), "outcomes", batch_id)
+        self._write(reconcile.outcomes(steps, events, now_ms()), "outcomes", batch_id)
         pending = steps.verdicts.where(F.col("status") == "pending").select("request_id")
-        self._write(requests.join(pending, "request_id", "left_semi").select(*columns), "waiting", batch_id)
+        waiting = requests.join(pending, "request_id", "left_semi").select(*REQUEST_TABLE.names)
+        self._write(waiting, "waiting", batch_id)
         return reconcile.ordered_events(events)
 
     def _waiting(self, batch_id: int) -> DataFrame:
-        """Requests the batch before could not answer."""
-        spark, path = self.table.spark, self._path("waiting", batch_id - 1)
-        if batch_id == 0 or not self.table.exists(path):
+        """Requests that were still open after the last batch that looked at requests."""
+        spark, path = self.table.spark, self.table.last_before("waiting", batch_id)
+        if path is None:
             return spark.createDataFrame([], REQUEST_TABLE)
         return spark.read.schema(REQUEST_TABLE).parquet(path)
 

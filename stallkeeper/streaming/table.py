@@ -10,6 +10,7 @@ shuffle the changes only.  Spark's own ``_SUCCESS`` marker publishes a write.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from dataclasses import dataclass
 
@@ -50,8 +51,10 @@ class ListingTable:
         return self.read_until(None)
 
     def read_until(self, before_batch: int | None) -> DataFrame:
-        """State as it was before a batch; the base must not be younger."""
+        """State as it was before a batch; a base that is younger is an error."""
         base_id, base = self._base()
+        if before_batch is not None and base_id >= before_batch:
+            raise ValueError(f"the base holds batch {base_id} already, the state before {before_batch} is gone")
         changes = self.outstanding(base_id, before_batch)
         if base is None:
             return merge.first_state(fold.refold(changes, "batch")) if changes is not None else merge.empty_table(self.spark)
@@ -66,14 +69,17 @@ class ListingTable:
             return None
         return self.spark.read.schema(CHANGES).parquet(*[self._changes_path(b) for b in batches])
 
-    def compact(self) -> int:
-        """Merge everything outstanding into a new base; returns its last batch.
+    def compact(self, before_batch: int | None = None) -> int:
+        """Merge what is outstanding into a new base; returns its last batch.
 
-        Run it from the writing query, or while none is running.  Earlier bases
+        With ``before_batch`` only what earlier batches wrote: a batch that is
+        replayed then still finds a base without its own changes.  Run it from the writing query, or while none is running.  Earlier bases
         and changes stay for readers that started on them.
         """
         base_id, base = self._base()
-        pending = [b for b in self._published_batches() if b > base_id]
+        pending = [
+            b for b in self._published_batches() if b > base_id and (before_batch is None or b < before_batch)
+        ]
         if not pending:
             return base_id
         last = max(pending)
@@ -98,11 +104,11 @@ class ListingTable:
             return -1, None
         newest = bases[-1]
         last, buckets = (int(part) for part in newest.split("-"))
-        # The catalog entry only tells Spark the bucketing; each reader makes its own.
-        name = f"stallkeeper_base_{uuid.uuid4().hex}"
+        # The catalog entry only tells Spark the bucketing; there is one for each base.
+        name = f"stallkeeper_base_{hashlib.md5(f'{self.root}/{newest}'.encode()).hexdigest()}"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LISTINGS.fields)
         self.spark.sql(
-            f"create table {name} ({columns}) using parquet "
+            f"create table if not exists {name} ({columns}) using parquet "
             f"clustered by (id) sorted by (id) into {buckets} buckets location '{self.root}/base/{newest}'"
         )
         return last, self.spark.table(name)
@@ -111,21 +117,22 @@ class ListingTable:
         return f"{self.root}/changes/{batch_id:012d}"
 
     def _published(self, kind: str) -> list[str]:
-        """Names of finished writes below the root, oldest first."""
-        return [n for n in sorted(self._names(f"{self.root}/{kind}")) if self.exists(f"{self.root}/{kind}/{n}/_SUCCESS")]
+        """Names of finished writes below the root, oldest first; one listing call."""
+        fs, marks = self._file_system(f"{self.root}/{kind}/*/_SUCCESS")
+        return sorted(status.getPath().getParent().getName() for status in fs.globStatus(marks) or [])
 
     def _published_batches(self) -> list[int]:
         return [int(name) for name in self._published("changes")]
 
-    def _names(self, path: str) -> list[str]:
-        if not self.exists(path):
-            return []
-        fs, hadoop_path = self._file_system(path)
-        return [status.getPath().getName() for status in fs.listStatus(hadoop_path)]
+    def last_before(self, kind: str, batch_id: int) -> str | None:
+        """Folder that the nearest earlier batch has written, if any."""
+        earlier = [name for name in self._published(kind) if int(name) < batch_id]
+        return f"{self.root}/{kind}/{earlier[-1]}" if earlier else None
 
-    def exists(self, path: str) -> bool:
+    def drop(self, path: str) -> None:
+        """Delete scratch data below the root."""
         fs, hadoop_path = self._file_system(path)
-        return fs.exists(hadoop_path)
+        fs.delete(hadoop_path, True)
 
     def _file_system(self, path: str):
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -71,7 +71,7 @@ def test_bodies_are_cleaned(spark):
         ('  {"a":\x02 "b c"}\n',),
     ]
     got = spark.createDataFrame(rows, "b string").select(text.clean_json_body(F.col("b")))
-    assert [r[0] for r in got.collect()] == ['{"result":{"status":1}}', None, None, None, None, None, '{"a": "b c"}']
+    assert [r[0] for r in got.collect()] == ['{"result":{"status":1}}', '{"a":1}', None, None, None, None, '{"a": "b c"}']
 
 
 def test_preview_and_encoding(spark):

@@ -11,7 +11,8 @@ from catalogue import queries
 from catalogue.binding import tables
 from stallkeeper import session
 from stallkeeper.operators import fold, lookups, merge, parse
-from stallkeeper.plans import reconcile, worklist
+from stallkeeper.plans import counters, reconcile, worklist
+from stallkeeper.sources import landing
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -52,7 +53,7 @@ def test_reconciliation_has_equi_joins_only(spark, bound):
         plans[name] = plan(df)
         return write(df, name)
 
-    market = queries.market(spark, SF_DIR, recording)
+    market = queries.market(spark, SF_DIR)
     steps = reconcile.prepare(bound.requests, market, reconcile.Options(True), cut=recording)
     recording(reconcile.events(steps, market.listings), "events")
     plans["worklist"] = plan(worklist.worklist(worklist.needs(steps)))
@@ -63,6 +64,30 @@ def test_reconciliation_has_equi_joins_only(spark, bound):
     assert "BroadcastHashJoin" in plans["answered"] or "BroadcastHashJoin" in plans["events"]
 
 
+def test_landed_rows_are_filtered_before_they_are_read(spark, bound):
+    """Whatever the sizes: only responses that some request needs are parsed."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for landed, key, reader in (
+            (bound.snapshots, "market_name", landing.snapshot_entries),
+            (bound.inventories, "steamid", landing.inventories),
+            (bound.details, "listing_id", landing.details),
+        ):
+            text = plan(reconcile.wanted_only(landed, landed.select(key), key, reader))
+            # Children are printed below: the join is under the parsing, and nothing is parsed under it.
+            assert "from_json" in text and "LeftSemi" in text
+            assert text.rindex("from_json") < text.index("LeftSemi"), key
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_counters_parse_once(bound):
+    text = plan(counters.feed_counters(bound.messages, parse.parse_listing_messages(bound.messages)))
+    scans = [line for line in text.splitlines() if "FileScan" in line]
+    assert len(scans) == 2 and sum("value" in line.split("ReadSchema")[-1] for line in scans) == 1
+
+
 def test_one_hot_listing_and_seller(spark, bound):
     """A listing with a third of all events does not change the others' result."""
     events = parse.listing_events(parse.parse_listing_messages(bound.messages))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from stallkeeper.plans import counters, reconcile
@@ -110,6 +111,60 @@ def test_requests_wait_and_then_reconcile(spark, tmp_path):
     assert rows(table)["440_2"] == ("fresh", False)
 
 
+def test_requests_survive_runs_without_landed_responses(spark, tmp_path):
+    """A run that cannot reconcile, and one that fails to, lose no request and no event."""
+    log = Log(spark, str(tmp_path / "log"))
+    table = ListingTable(spark, str(tmp_path / "table"), buckets=2)
+    checkpoint = str(tmp_path / "checkpoint")
+
+    def failing(session):
+        raise OSError("landing is away")
+
+    log.append(json.dumps({"data": {"item_defindex": 5, "item_quality_id": 6}}), topic="requests")
+    run(spark, Job(table, request_topic="requests"), log, checkpoint)
+    log.append(json.dumps({"data": [update("440_1"), {"event": "listing-delete", "payload": {"steamid": "q"}}]}), "broken")
+    run(spark, Job(table, request_topic="requests"), log, checkpoint)
+    assert spark.read.parquet(f"{table.root}/waiting/{1:012d}").count() == 1
+    assert [r["defect"] for r in spark.read.parquet(f"{table.root}/unwritable/{1:012d}").collect()] == ["no_id"]
+    counted = {r["counter"]: r["value"] for r in spark.read.parquet(f"{table.root}/counters/{1:012d}").collect()}
+    assert counted["listing_upserts"] == 1 and counted["messages_parsed_failed"] == 1
+    rejected = spark.read.parquet(f"{table.root}/rejects/{1:012d}").first()
+    assert rejected["reject_value"] == "broken"
+
+    log.append(json.dumps({"data": [update("440_2")]}))
+    run(spark, Job(table, request_topic="requests", landed=failing), log, checkpoint)
+    outcome = spark.read.parquet(f"{table.root}/outcomes/{2:012d}").first()
+    assert outcome["status"] == "failed" and "landing is away" in outcome["reason"]
+    assert rows(table) == {"440_1": ("d", False), "440_2": ("d", False)}
+
+
+def test_a_batch_replayed_after_compaction_finds_its_base(spark, tmp_path):
+    log = Log(spark, str(tmp_path / "log"))
+    table = ListingTable(spark, str(tmp_path / "table"), buckets=2)
+    job = Job(table, compact_every=2)
+    batches = []
+    for k in range(4):
+        log.append(json.dumps({"data": [update("440_1", f"d{k}"), delete(f"440_{k}")]}))
+        batches.append(spark.read.parquet(log.path).subtract(batches[-1]) if batches else spark.read.parquet(log.path))
+        job.run_batch(batches[-1].select("*"), k)
+    before = rows(table)
+    job.run_batch(batches[-1], 3)  # replayed: the process ended before the checkpoint was written
+    job.run_batch(batches[2], 2)
+    assert rows(table) == before
+    with pytest.raises(ValueError):
+        table.read_until(1)
+
+
+def test_types_can_be_added_end_to_end(spark, raw_messages):
+    from stallkeeper.operators import parse
+
+    text = json.dumps({"data": {"item_defindex": 5, "item_quality_id": 6, "request_type": "BUYERS"}})
+    raw = raw_messages([text], topic="requests")
+    assert parse.parse_request_messages(raw).first()["reject_reason"] == "unknown_request_type"
+    added = parse.requests(parse.parse_request_messages(raw, ("BUYERS",))).first()
+    assert added["request_type"] == "BUYERS"
+
+
 def test_streams_report_their_counts(spark, tmp_path, raw_messages):
     from pyspark.sql import Observation
 
