@@ -399,6 +399,14 @@ def sql() -> dict[str, str]:
              select endpoint, key, replace(url_encode(key), '%20', '+') as encoded_key, slot,
                     slot * case endpoint when 'detail' then 1 else 10 end as start_second from slots""",
         "fetch_budget": MARKET + " select request_id, endpoint, count(distinct key) as calls from need group by all",
+        "landed_latest": MARKET + " select id as listing_id, case when gone then 'missing' else 'ok' end as state from market",
+        "request_freshness": MARKET
+        + """ select c.request_id, c.part, c.listing_id, m.id is not null and ascii(right(c.listing_id, 1)) % 2 = 0 as landed
+              from candidate c left join market m on m.id = c.listing_id""",
+        "report_by_chosen_items": STORED
+        + """ select item_defindex, item_quality_id, count(*) as total_listings, count(*) filter (intent = 'buy') as buy_listings,
+              count(*) filter (intent = 'sell') as sell_listings, max(updated_at) as last_update from stored
+              where item_defindex in (3, 5, 12) group by all""",
         "url_values": """
             select 'page' as kind, page_id as id, replace(replace(replace(url_encode(url), '%20', '+'), '%2A', '*'), '~', '%7E') as encoded
             from pages

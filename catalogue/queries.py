@@ -332,6 +332,10 @@ def report_by_item(spark, sf_dir):
     return reports.by_item(tables(spark, sf_dir).listings)
 
 
+def report_by_chosen_items(spark, sf_dir):
+    return reports.by_item(tables(spark, sf_dir).listings, [3, 5, 12])
+
+
 def price_ladder(spark, sf_dir):
     return reports.price_ladder(tables(spark, sf_dir).listings, 5, 6).select("id", "intent", "raw_value", "short_value")
 
@@ -420,9 +424,35 @@ def fetch_outcomes(spark, sf_dir):
     return counters.fetch_outcomes(snapshot=t.snapshots, inventory=t.inventories, detail=t.details)
 
 
+def landed_latest(spark, sf_dir):
+    """Details that were refused at first and answered later: the newest response counts."""
+    t = tables(spark, sf_dir)
+    answered = t.details.withColumn("fetched_at", F.lit(GENERATION_TS).cast("bigint"))
+    refused = t.details.select(
+        "listing_id", F.lit(429).alias("http_status"), F.lit(None).cast("string").alias("body"),
+        F.lit(GENERATION_TS - 1000).cast("bigint").alias("fetched_at"),
+    )
+    return landing.details(answered.unionByName(refused)).select("listing_id", "state")
+
+
 # Reconciliation
 
 
+def request_freshness(spark, sf_dir):
+    """Which listings of a request are answered when only responses of the last minute count."""
+    t, cut = tables(spark, sf_dir), session.table_cut(spark)
+
+    def fetched(landed, back):
+        return landed.withColumn("fetched_at", (F.lit(GENERATION_TS) - back).cast("bigint"))
+
+    old = F.ascii(F.substring("listing_id", -1, 1)) % 2 == 1
+    details = fetched(t.details, F.when(old, 120_000).otherwise(30_000))
+    second = F.lit(1000)
+    landed = reconcile.Market(t.listings, fetched(t.snapshots, second), details, fetched(t.inventories, second))
+    steps = reconcile.prepare(t.requests, landed, reconcile.Options(max_age_ms=60_000), cut=cut)
+    return steps.answered.select("request_id", "part", "listing_id", "landed")
+
+
 def _place(df, *columns):
     return df.select("request_id", "place.page", "place.pos", "steamid", *columns)
 
@@ -527,7 +557,7 @@ def catalogue() -> dict[str, Query]:
         time_helpers, request_types, request_rejects, snapshot_explode, snapshot_states, snapshot_buy, snapshot_sell,
         body_clean, inventory_clean, inventory_match, inventory_skipped, buy_truth, sell_truth, truth_profiles, stale_buy,
         stale_sell, reconcile_all, request_outcomes, request_counters, handler_metrics, fetch_outcomes, fetch_worklist,
-        fetch_budget,
+        fetch_budget, landed_latest, request_freshness, report_by_chosen_items,
     ]
     typed = {
         "single_id": _of_type("SINGLE_ID"), "buy_only": _of_type("BUY_ONLY"), "sell_only": _of_type("SELL_ONLY"),

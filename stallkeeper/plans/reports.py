@@ -9,19 +9,24 @@ from stallkeeper.functions.times import ms_ago
 from stallkeeper.operators.lookups import ITEM_KEY
 
 
-def activity(listings: DataFrame, now: Column | None = None) -> DataFrame:
-    """Size of the table and its recent changes."""
-
-    def since(column: str, **back: int) -> Column:
-        return F.count_if(F.col(column) > ms_ago(now, **back))
-
-    return listings.agg(
-        F.count("*").alias("total_listings"),
-        since("updated_at", hours=1).alias("last_hour_updates"),
-        since("created_at", hours=1).alias("last_hour_new"),
-        since("updated_at", minutes=5).alias("last_minutes_updates"),
-        since("updated_at", days=1).alias("last_day_updates"),
-    )
+# Result column, the time it looks at, and how far back.
+ACTIVITY = {
+    "last_hour_updates": ("updated_at", {"hours": 1}),
+    "last_hour_new": ("created_at", {"hours": 1}),
+    "last_minutes_updates": ("updated_at", {"minutes": 5}),
+    "last_day_updates": ("updated_at", {"days": 1}),
+}
+
+
+def activity(
+    listings: DataFrame, now: Column | None = None, windows: dict[str, tuple[str, dict[str, int]]] | None = None
+) -> DataFrame:
+    """Size of the table and its recent changes, in windows as :data:`ACTIVITY` names them."""
+    counts = [
+        F.count_if(F.col(column) > ms_ago(now, **back)).alias(name)
+        for name, (column, back) in (ACTIVITY if windows is None else windows).items()
+    ]
+    return listings.agg(F.count("*").alias("total_listings"), *counts)
 
 
 def by_item(listings: DataFrame, defindexes: list[int] | None = None) -> DataFrame:

@@ -14,17 +14,22 @@ def listings_from(spark: SparkSession, source: str, *, file_format: str | None =
     return df.select(*[F.col(f.name).cast(f.dataType) for f in LISTINGS.fields])
 
 
+# A number from 0 up for a listing's id, as PostgreSQL computes it.
+ID_HASH = "(hashtext(id) & 2147483647)"
+
+
+def hash_predicates(partitions: int, id_hash: str = ID_HASH) -> list[str]:
+    """Conditions that split a table into parts of about the same size, whatever its values."""
+    return [f"{id_hash} % {partitions} = {k}" for k in range(partitions)]
+
+
 def listings_from_jdbc(
-    spark: SparkSession, url: str, table: str, *, partitions: int = 1, bounds: tuple[int, int] | None = None, **options: str
+    spark: SparkSession, url: str, table: str, *, partitions: int = 1, id_hash: str = ID_HASH, **options: str
 ) -> DataFrame:
-    """Listings from a database, read in parallel ranges of ``listed_at`` when bounds are given.
+    """Listings from a database, read by as many tasks as ``partitions``, each a share of the ids' hashes.
 
     Filters and the column list are passed on to the database.
     """
-    reader = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
-    if bounds is not None and partitions > 1:
-        low, high = bounds
-        reader = reader.options(
-            partitionColumn="listed_at", lowerBound=str(low), upperBound=str(high), numPartitions=str(partitions)
-        )
-    return reader.load()
+    if partitions > 1:
+        return spark.read.jdbc(url, table, predicates=hash_predicates(partitions, id_hash), properties=options)
+    return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
