@@ -43,16 +43,16 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError(f"{CHECKPOINT_DIR} must name a shared folder on a cluster")
     folder = tempfile.mkdtemp(prefix="stallkeeper-")
     spark.conf.set(CHECKPOINT_DIR, folder)
     return folder
 
 
-def stored(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def stored(df: DataFrame, path: str) -> DataFrame:
     """Write once and read back: short lineage, and a size the planner knows."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

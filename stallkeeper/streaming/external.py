@@ -13,7 +13,6 @@ from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
 from pyspark.sql import DataFrame, Row
-from pyspark.sql import functions as F
 
 from stallkeeper.schemas import LISTING_FIELDS
 
@@ -43,9 +42,19 @@ def _chunks(rows: Iterable[Row], size: int) -> Iterator[list[Row]]:
 
 
 def write_changes(
-    changes: DataFrame, connect: Callable[[], object], table: str, *, batch_size: int = DEFAULT_BATCH, mark: str = "%s"
+    changes: DataFrame,
+    connect: Callable[[], object],
+    table: str,
+    *,
+    batch_size: int = DEFAULT_BATCH,
+    mark: str = "%s",
+    writers: int | None = None,
 ) -> None:
-    """Apply folded changes: upserts first, then the deletes that end a listing."""
+    """Apply folded changes: upserts first, then the deletes that end a listing.
+
+    ``writers`` bounds the tasks, and with them the connections; unset, there
+    are as many as shuffle partitions.
+    """
     upsert, delete = upsert_sql(table, mark), delete_sql(table, mark)
 
     def write_partition(rows: Iterator[Row]) -> None:
@@ -67,5 +76,6 @@ def write_changes(
         finally:
             connection.close()
 
-    keyed = changes.select("id", "fields", "ends_live").repartition(F.col("id")).sortWithinPartitions("id")
-    keyed.foreachPartition(write_partition)
+    rows = changes.select("id", "fields", "ends_live")
+    keyed = rows.repartition("id") if writers is None else rows.repartition(writers, "id")
+    keyed.sortWithinPartitions("id").foreachPartition(write_partition)

@@ -162,7 +162,7 @@ def connect_to(folder):
 def test_external_upserts_are_keyed_transactions(spark, raw_messages, tmp_path):
     changes = changes_of(raw_messages([message(*e) for e in HISTORY]), F.lit(0))
     folder = str(tmp_path)
-    external.write_changes(changes, connect_to(folder), "listings", batch_size=2)
+    external.write_changes(changes, connect_to(folder), "listings", batch_size=2, writers=3)
     written = [row for path in tmp_path.glob("*.json") for row in json.loads(path.read_text())]
     assert all(len(json.loads(p.read_text())) <= 4 for p in tmp_path.glob("*.json"))
     final = applied(HISTORY)
