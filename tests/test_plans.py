@@ -160,3 +160,34 @@ def test_listings_from_files(spark, listings, tmp_path):
     listings.write.parquet(str(tmp_path / "l"))
     read = tables.listings_from(spark, str(tmp_path / "l"), file_format="parquet")
     assert read.schema.simpleString() == LISTINGS.simpleString() and read.count() == 6
+
+
+def test_database_reads_are_split_by_id_hash():
+    parts = tables.hash_predicates(3)
+    assert len(parts) == 3 and all(p.endswith(f"% 3 = {k}") and "id" in p for k, p in enumerate(parts))
+    assert tables.hash_predicates(2, "crc32(id)") == ["crc32(id) % 2 = 0", "crc32(id) % 2 = 1"]
+
+
+def test_activity_windows_are_parameters(spark, listings):
+    now = F.lit(10_000_000)
+    got = reports.activity(listings, now, {"lately": ("updated_at", {"days": 30}), "never": ("updated_at", {"days": -30})}).first()
+    assert got["lately"] == got["total_listings"] and got["never"] == 0
+
+
+def test_landed_pages(spark):
+    """Newest answer of a page, one missing page leaves a snapshot open, older versions do not count."""
+    rows = [
+        ("a", 440, 0, 429, None, 1, 1), ("a", 440, 0, 200, '{"listings":[]}', 2, 1),
+        ("b", 440, 0, 200, '{"listings":[]}', 1, 1), ("b", 440, 1, 429, None, 1, 1),
+        ("c", 440, 0, 200, '{"listings":[]}', 5, 2), ("c", 440, 7, 500, None, 1, 1),
+    ]
+    landed = spark.createDataFrame(
+        rows, "market_name string, appid int, page bigint, http_status int, body string, fetched_at bigint, snapshot_at bigint"
+    )
+    entries = landing.snapshot_entries(landed)
+    states = {r["market_name"]: (r["snapshot_state"], r["snapshot_fetched_at"]) for r in landing.snapshot_states(entries).collect()}
+    assert states == {"a": ("ready", 2), "b": ("pending", 1), "c": ("ready", 5)}
+    none = spark.createDataFrame([], "steamid string, http_status int, body string")
+    no_details = spark.createDataFrame([], "listing_id string, http_status int, body string")
+    settled = worklist.settled(entries, landing.inventories(none), landing.details(no_details))
+    assert sorted(tuple(r) for r in settled.collect()) == [("snapshot", "a"), ("snapshot", "c")]
