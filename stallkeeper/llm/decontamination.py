@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stallkeeper.llm.text import slices, word_bytes
+from stallkeeper.llm.text import carried, carried_texts, slices, word_bytes
 from stallkeeper.session import Cut, table_cut
 
 WINDOW = 13
@@ -211,31 +211,31 @@ def _automaton(block: Broadcast, window: int) -> Automaton:
 SPANS = "array<struct<start:int,end:int>>"
 
 
-def _pass(block: Broadcast, window: int, keep_text: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _pass(block: Broadcast, window: int, text_col: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(block, window)
         for batch in batches:
-            sizes = pc.binary_length(batch.column("text")).to_pylist()
+            texts = carried_texts(batch, text_col)
+            sizes = pc.binary_length(texts).to_pylist()
             for start, end in slices([n or 0 for n in sizes], BYTES_AT_ONCE):
                 part = batch.slice(start, end - start)
-                words = [word_bytes(t) for t in part.column("text").to_pylist()]
+                words = [word_bytes(t) for t in texts.slice(start, end - start).to_pylist()]
                 before = zip(part.column("spans").to_pylist(), part.column("items").to_pylist(), strict=True)
                 spans, items = [], []
                 for (new, names), (old, listed) in zip(automaton.scan(words), before, strict=True):
                     spans.append([{"start": a, "end": b} for a, b in joined([(s["start"], s["end"]) for s in old] + new)])
                     items.append(sorted(names | set(listed)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("row"),
-                        part.column("text") if keep_text else pa.nulls(len(part), pa.binary()),
-                        pa.array([len(w) for w in words], pa.int64()),
-                        pa.array(spans, span_type),
-                        pa.array(items, pa.list_(pa.string())),
-                    ],
-                    ["row", "text", "n_words", "spans", "items"],
-                )
+                found = {
+                    "n_words": pa.array([len(w) for w in words], pa.int64()),
+                    "spans": pa.array(spans, span_type),
+                    "items": pa.array(items, pa.list_(pa.string())),
+                }
+                # What came is passed on as it is, with the findings so far.
+                came = [c for c in part.schema.names if c not in found]
+                columns = [part.column(c) for c in came] + list(found.values())
+                yield pa.RecordBatch.from_arrays(columns, [*came, *found])
 
     return scanned
 
@@ -273,23 +273,19 @@ def contamination(
     - An empty benchmark contaminates nothing; no rows give no rows; repeated rows are judged each.
     """
     spark = docs.sparkSession
-    names = docs.columns if carry is None else carry
-    found = docs.select(
-        F.struct(*[docs[c] for c in names]).alias("row"),
-        docs[text_col].cast("binary").alias("text"),
-        F.array().cast(SPANS).alias("spans"),
-        F.array().cast("array<string>").alias("items"),
-    )
-    kind = found.schema["row"].dataType.simpleString()
-    schema = f"row {kind}, text binary, n_words bigint, spans {SPANS}, items array<string>"
+    rows = carried(docs, carry, text_col)
+    came = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    schema = f"{came}, n_words bigint, spans {SPANS}, items array<string>"
+    none = [F.array().cast(SPANS).alias("spans"), F.array().cast("array<string>").alias("items")]
+    found = rows.select("*", *none)
     blocks = item_blocks(benchmark, item_col, item_text_col, block_words)
     for k, items in enumerate(blocks):
         if k:
             cut = cut or table_cut(spark)
-            found = cut(found, f"block_{k}").select("row", "text", "spans", "items")
+            found = cut(found, f"block_{k}").drop("n_words")
         # One block of items on the driver, its size bounded above.
         block = spark.sparkContext.broadcast([(r.name, r.text) for r in items.collect()])
-        found = found.mapInArrow(_pass(block, window, keep_text=k + 1 < len(blocks)), schema)
+        found = found.mapInArrow(_pass(block, window, text_col), schema)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     out = found.select("row", "n_words", n_hit.alias("n_hit"), "spans", "items")
     return out.select("*", _contaminated(share).alias("contaminated"))

@@ -23,7 +23,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stallkeeper.llm.text import slices, word_bytes
+from stallkeeper.llm.text import carried, carried_texts, slices, word_bytes
 
 # Size of the model: word buckets, length of the pair vectors, bins of each structure number.
 BUCKETS = 1 << 16
@@ -36,7 +36,7 @@ BATCH = 64
 RATE = 0.1
 PULL = 1e-5
 BYTES_AT_ONCE = 3_000_000
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 # Kinds of bytes whose shares are structure numbers.
 KINDS = [
@@ -75,7 +75,7 @@ class Features:
         self.rows, self.buckets = keys // BUCKETS, keys % BUCKETS
         weights = 1 + np.log(counts)
         length = np.sqrt(np.bincount(self.rows, weights * weights, len(texts)))
-        self.values = weights / length[self.rows] if len(keys) else weights
+        self.values = (weights / length[self.rows] if len(keys) else weights).astype(np.float32)
         distinct = np.bincount(self.rows, minlength=len(texts))
         most = np.zeros(len(texts))
         np.maximum.at(most, self.rows, counts)
@@ -122,7 +122,8 @@ class Model:
         bins = BUCKETS + np.arange(STATS) * BINS + bins
         rows = np.r_[features.rows, np.repeat(np.arange(n), STATS)]
         order = np.argsort(rows, kind="stable")
-        columns, values = np.r_[features.buckets, bins.ravel()], np.r_[features.values, np.ones(n * STATS)]
+        columns = np.r_[features.buckets, bins.ravel()].astype(np.int32)
+        values = np.r_[features.values, np.ones(n * STATS, np.float32)]
         return rows[order], columns[order], values[order]
 
     def score(self, features: Features) -> np.ndarray:
@@ -164,18 +165,23 @@ def _chance(raw: np.ndarray) -> np.ndarray:
 
 def fitted(texts: list[bytes | None], labels: np.ndarray) -> Model:
     """A model of 0/1 labels; with one class or no rows it is the smoothed share of label 1."""
-    features = Features(texts)
+    # Features of a few texts at a time: only their entries are kept.
+    parts = [Features(texts[a:b]) for a, b in slices([len(t or b"") for t in texts], BYTES_AT_ONCE)]
+    stats = np.concatenate([p.stats for p in parts]) if parts else np.zeros((0, STATS))
     size = BUCKETS + STATS * BINS
     draw = np.random.default_rng(7)
     cuts = np.linspace(0, 1, BINS + 1)[1:-1]
-    edges = np.quantile(features.stats, cuts, axis=0).T if len(texts) else np.zeros((STATS, BINS - 1))
+    edges = np.quantile(stats, cuts, axis=0).T if len(texts) else np.zeros((STATS, BINS - 1))
     share = (labels.sum() + 1) / (len(labels) + 2)
     model = Model(float(np.log(share / (1 - share))), np.zeros(size), np.zeros((size, RANK)), edges)
     if len(set(labels.tolist())) < 2:
         return model
     model.vectors = draw.normal(0, 0.05, (size, RANK))
-    rows, columns, values = model.entries(features)
-    starts = np.r_[np.searchsorted(rows, np.arange(len(texts))), len(rows)]
+    entries = [model.entries(p) for p in parts]
+    columns, values = (np.concatenate([e[k] for e in entries]) for k in (1, 2))
+    sizes = [np.bincount(e[0], minlength=len(p.stats)) for e, p in zip(entries, parts, strict=True)]
+    starts = np.r_[0, np.cumsum(np.concatenate(sizes))]
+    del parts, entries
     seen_bias, seen_w, seen_v = 1e-2, np.full(size, 1e-2), np.full((size, RANK), 1e-2)
     for _ in range(EPOCHS):
         order = draw.permutation(len(texts))
@@ -238,14 +244,15 @@ def train(
     return bytes(found[0].model) if found else fitted([], np.zeros(0)).dump()
 
 
-def _scores(model: Broadcast, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scores(model: Broadcast, text_col: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     machine = Model.load(model.value)
     for batch in batches:
-        sizes = pc.binary_length(batch.column("text")).to_pylist()
+        texts = carried_texts(batch, text_col)
+        sizes = pc.binary_length(texts).to_pylist()
         for start, end in slices([n or 0 for n in sizes], BYTES_AT_ONCE):
-            part = batch.slice(start, end - start)
-            scores = machine.score(Features(part.column("text").to_pylist()))
-            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(scores)], ["row", "score"])
+            scores = machine.score(Features(texts.slice(start, end - start).to_pylist()))
+            rows = batch.column("row").slice(start, end - start)
+            yield pa.RecordBatch.from_arrays([rows, pa.array(scores)], ["row", "score"])
 
 
 def scored(docs: DataFrame, model: bytes, carry: list[str] | None = None, text_col: str = "text") -> DataFrame:
@@ -254,10 +261,7 @@ def scored(docs: DataFrame, model: bytes, carry: list[str] | None = None, text_c
     ``row`` is a struct of the columns to ``carry`` (all by default), so no name can clash.  A null text
     scores as the empty one, by its structure alone; repeated rows score the same; no rows give no rows.
     """
-    names = docs.columns if carry is None else carry
-    rows = docs.select(
-        F.struct(*[docs[c] for c in names]).alias("row"), docs[text_col].cast("binary").alias("text")
-    )
+    rows = carried(docs, carry, text_col)
     kind = rows.schema["row"].dataType.simpleString()
     held = docs.sparkSession.sparkContext.broadcast(model)
-    return rows.mapInArrow(lambda batches: _scores(held, batches), f"row {kind}, score double")
+    return rows.mapInArrow(lambda batches: _scores(held, text_col, batches), f"row {kind}, score double")

@@ -5,7 +5,8 @@ from __future__ import annotations
 import string
 from collections.abc import Iterator
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Only A-Z are lower-cased; other capitals are left as they are.
@@ -29,6 +30,19 @@ def word_bytes(text: bytes | None) -> list[bytes]:
     return text.translate(_BYTES).split() if text else []
 
 
+def carried(docs: DataFrame, carry: list[str] | None, text_col: str) -> DataFrame:
+    """``row``, a struct of the columns to carry (all by default), and ``text`` as bytes unless a row holds it."""
+    names = docs.columns if carry is None else carry
+    row = F.struct(*[docs[c] for c in names]).alias("row")
+    return docs.select(row) if text_col in names else docs.select(row, docs[text_col].cast("binary").alias("text"))
+
+
+def carried_texts(batch: pa.RecordBatch, text_col: str) -> pa.Array:
+    """The texts of rows that :func:`carried` made, as bytes."""
+    held = batch.column("text") if "text" in batch.schema.names else batch.column("row").field(text_col)
+    return held.cast(pa.binary())
+
+
 def slices(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
     """Cut a batch into runs of rows of about ``most`` units in all; a larger row stands alone."""
     start, total = 0, 0
