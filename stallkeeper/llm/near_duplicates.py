@@ -302,7 +302,12 @@ def connected(edges: DataFrame, cut: Cut, name: str) -> DataFrame:
     Labels spread along edges and then jump to the label's own label, so paths shorten fast.  Nothing is
     collected but whether a round changed anything.
     """
-    edges = edges.select("a", "b").where("a <> b").distinct()
+    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    # A node keeps its edge to the smallest neighbour below it; the others below it are tied to that one instead.
+    # Nodes of a large class mostly share those, so few edges are left to go around.
+    nearest = edges.join(edges.groupBy("a").agg(F.min("b").alias("least")), "a")
+    tied = nearest.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    edges = nearest.select("a", F.col("least").alias("b")).union(tied).distinct()
     both = cut(edges.union(edges.select("b", "a")), f"{name}_edges")
     labels = both.groupBy("a").agg(F.min("b").alias("b"))
     labels = cut(labels.select(F.col("a").alias("node"), F.least("a", "b").alias("component")), f"{name}_0")
