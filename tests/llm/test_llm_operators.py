@@ -350,3 +350,20 @@ def test_urls(spark):
         assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == want[:4]
         assert got[i].purity == pytest.approx(want[4])
     assert url_filters.judge_urls(df.limit(0), rules).count() == 0
+
+
+def test_urls_of_rare_branches(spark):
+    """Branches with few of a large host's urls are judged by their own labels, and do not hide in one another."""
+    rules = {"h.com/de/": "block", "i.com/zz/": "block"}
+    urls = [f"http://h.com/en/{k}" for k in range(9800)] + [f"http://h.com/de/{k}" for k in range(150)]
+    urls += [f"http://h.com/fr/{k}" for k in range(50)]
+    # More branches than a fiftieth of the host each would allow, one of them bad.
+    urls += [f"http://i.com/{a}{b}/{k}" for a in "abcdefgh" for b in "abcdefghijklm" for k in range(20)]
+    urls += [f"http://i.com/zz/{k}" for k in range(20)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = [(urls[r.page_id], r) for r in url_filters.judge_urls(df, rules).collect()]
+    purity = {(r.host, url.split("/")[3]): r.purity for url, r in got}
+    assert len(got) == len(urls)
+    assert all(r.verdict == ("block" if r.rule else "allow") for _, r in got)
+    assert purity["h.com", "de"] > 0.9 and purity["h.com", "fr"] < 0.1 and purity["h.com", "en"] < 0.1
+    assert purity["i.com", "zz"] > 0.7 and purity["i.com", "aa"] < 0.1
