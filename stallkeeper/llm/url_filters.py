@@ -3,7 +3,8 @@
 Paths of a host form a tree.  Digits and hex runs in a segment become wildcards by shape; segments of one
 unlabelled url, which tell nothing apart, become one ``*``.  Going down, siblings whose shares of bad urls
 do not differ significantly are merged, and each node's share is smoothed towards its parent's, so a branch
-with few labels is judged like what lies above it.
+with few labels is judged like what lies above it.  Below ``DEPTH`` levels, a node goes on down its paths
+while their shares differ, however long they are, and is final once they do not.
 
 Urls are counted by host and shape first, combined before the shuffle; the levels work on those counts.
 Any number of segments stay apart.  For merging, siblings with equal counts are one entry, so a parent's
@@ -12,13 +13,15 @@ list has one for each different pair of counts, not one for each child.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallkeeper.llm.text import lower_ascii
 from stallkeeper.session import Cut, table_cut
 
-# Levels of the tree; what lies deeper belongs to the last node.
+# Levels down to which every node is judged; deeper ones are where a node's urls still differ.
 DEPTH = 4
 # A segment stays literal if it has this many urls, or a labelled one.
 MIN_URLS = 2
@@ -60,9 +63,9 @@ def longest_rule(host: Column, path: Column, rules: dict[str, str]) -> tuple[Col
     return rule, verdict
 
 
-def segments(path: Column, depth: int) -> Column:
-    """Shapes of a path's segments down to ``depth``; hex runs of 8 or more and digits are wildcards."""
-    parts = F.slice(F.filter(F.split(path, "/"), lambda p: p != ""), 1, depth)
+def segments(path: Column) -> Column:
+    """Shapes of a path's segments; hex runs of 8 or more and digits are wildcards."""
+    parts = F.filter(F.split(path, "/"), lambda p: p != "")
     return F.transform(
         parts, lambda p: F.regexp_replace(F.regexp_replace(p, r"(?=[0-9a-f]*[0-9])[0-9a-f]{8,}", "{x}"), r"[0-9]+", "{n}")
     )
@@ -118,8 +121,8 @@ def _merged(nodes: DataFrame, similar: float) -> DataFrame:
     # A sibling's branch is the first that does not end before it.
     own = F.get(F.filter("branches", lambda b: F.struct(b["share"], b["last"]) >= F.struct("share", "weight")), F.lit(0))
     return nodes.join(lists, ["host", "template"]).withColumns(
-        {"branch_bad": own["bad"], "branch_weight": own["weight"]}
-    ).drop("branches", "share", "weight")
+        {"branch_bad": own["bad"], "branch_weight": own["weight"], "branches": F.size("branches")}
+    ).drop("share", "weight")
 
 
 def judge_urls(
@@ -136,7 +139,8 @@ def judge_urls(
     ``rules`` map a host and path prefix to ``block`` or ``allow``; the longest that fits gives the verdict.
     Other urls are judged by their template: ``block`` if its smoothed share of bad urls (``purity``)
     reaches REJECT.  Urls that a rule blocks are bad and those it allows good; of the others, hosts with a
-    bad word in their name are bad, and the rest are unlabelled.
+    bad word in their name are bad, and the rest are unlabelled.  Below ``depth`` levels, nodes are split only
+    where their urls differ significantly.
 
     Null urls and those without ``://`` have an empty host and path and one template of their own.  Null
     ids are carried; rows that repeat count and are judged each; no rows give no rows; other columns of
@@ -148,7 +152,7 @@ def judge_urls(
     rule, given = longest_rule(F.col("host"), F.col("path"), rules)
     named = F.arrays_overlap(F.split("host", r"[.\-]"), F.array(*map(F.lit, bad_words)).cast("array<string>"))
     bad = F.when(given == "block", 1.0).when(given == "allow", 0.0).when(named, 1.0)
-    urls = urls.select("id", "host", "path", rule.alias("rule"), given.alias("given"), bad.alias("bad"), segments(F.col("path"), depth).alias("parts"))
+    urls = urls.select("id", "host", "path", rule.alias("rule"), given.alias("given"), bad.alias("bad"), segments(F.col("path")).alias("parts"))
 
     tree = cut(
         urls.groupBy("host", "parts").agg(
@@ -158,6 +162,7 @@ def judge_urls(
         ),
         "shapes",
     )
+    judged_columns = ["host", "parts", "template", "purity"]
     sums = [F.sum(c).alias(c) for c in ("n", "bad", "labelled")]
 
     # Level 0: hosts.
@@ -167,10 +172,24 @@ def judge_urls(
         ((F.col("bad") + PRIOR * ROOT) / (_weight() + PRIOR)).alias("purity"),
     )
     tree = tree.join(hosts, F.col("host") == F.col("of")).withColumn("template", F.lit("")).drop("of")
-    for level in range(depth):
+    longest = tree.select("parts").agg(F.max(F.size("parts"))).first()[0] or 0
+    finished = []
+    for level in range(longest):
         part = F.get("parts", F.lit(level))
         # Paths that end above this level stay where they are.
         tree = cut(tree.withColumn("part", part), f"level_{level}")
+        if level >= depth:
+            # Children can differ only if shares of shapes do, and z squared is at most their weight; other nodes are final.
+            share = F.col("bad") / _weight()
+            kinds = tree.where("part is not null").groupBy("host", "template").agg(
+                F.min(share).alias("low"), F.max(share).alias("high"), F.sum(_weight()).alias("weight")
+            )
+            kinds = kinds.where((F.col("low") < F.col("high")) & (F.col("weight") >= SIMILAR**2))
+            differ = cut(kinds.select("host", "template"), f"differ_{level}")
+            if differ.isEmpty():
+                break
+            finished.append(tree.join(differ, ["host", "template"], "left_anti").select(*judged_columns))
+            tree = tree.join(differ, ["host", "template"], "left_semi")
         children = (
             tree.where("part is not null")
             .groupBy("host", "template", "part")
@@ -180,6 +199,8 @@ def judge_urls(
         children = children.withColumn("child", F.when(literal, F.col("part")).otherwise("*"))
         nodes = children.groupBy("host", "template", "child").agg(*sums, F.first("purity").alias("purity"))
         smooth = (F.col("branch_bad") + PRIOR * F.col("purity")) / (F.col("branch_weight") + PRIOR)
+        if level >= depth:  # children that are one branch are as their parent
+            smooth = F.when(F.col("branches") > 1, smooth).otherwise(F.col("purity"))
         nodes = _merged(nodes, SIMILAR).select(
             "host", "template", "child", smooth.alias("node_purity")
         )
@@ -193,7 +214,7 @@ def judge_urls(
             F.coalesce("node_purity", "purity").alias("purity"),
             F.concat("template", F.when(F.col("child").isNull(), "").otherwise(F.concat(F.lit("/"), "child"))).alias("template"),
         )
-    judged = cut(tree.select("host", "parts", "template", "purity"), "templates")
+    judged = cut(reduce(DataFrame.union, finished, tree.select(*judged_columns)), "templates")
     return urls.join(judged, ["host", "parts"]).select(
         F.col("id").alias(id_col),
         "host",

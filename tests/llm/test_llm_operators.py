@@ -367,3 +367,21 @@ def test_urls_of_rare_branches(spark):
     assert all(r.verdict == ("block" if r.rule else "allow") for _, r in got)
     assert purity["h.com", "de"] > 0.9 and purity["h.com", "fr"] < 0.1 and purity["h.com", "en"] < 0.1
     assert purity["i.com", "zz"] > 0.7 and purity["i.com", "aa"] < 0.1
+
+
+def test_urls_of_deep_templates(spark):
+    """Templates that differ only far down are judged apart, after any number of shared segments."""
+    rules = {"h.com/a/b/c/d/bad/": "block", "i.com/a/b/c/d/e/f/g/bad/": "block"}
+    urls = [f"http://{host}{kind}/{k}" for k in range(60) for host in ("h.com/a/b/c/d/", "i.com/a/b/c/d/e/f/g/") for kind in ("bad", "good")]
+    urls += [f"http://j.com/{'x/' * 300}{k}" for k in range(3)] + ["http://k.com/a/b", "http://k.com"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = [(urls[r.page_id], r) for r in url_filters.judge_urls(df, rules).collect()]
+    assert len(got) == len(urls)
+    for url, r in got:
+        assert r.verdict == ("block" if "/bad/" in url else "allow")
+        if "/bad/" in url:
+            assert r.purity > 0.9 and "/bad" in r.template
+        if "/good/" in url:
+            assert r.purity < 0.3 and "/good" in r.template
+    # Where nothing can differ, no level below the fourth is looked at.
+    assert {r.template for url, r in got if "j.com" in url} == {"/x/x/x/x"}
