@@ -108,7 +108,8 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     part.column("id"),
                     part.column("version"),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                    pa.array([(x >> np.uint64(56)).astype(np.uint8).tobytes() for x in least], pa.binary()),
+                    # Mixed first: the top bits of a least value are nearly always 0.
+                    pa.array([(_mixed(x) & np.uint64(0xFF)).astype(np.uint8).tobytes() for x in least], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(spots)),
                 ],
                 ["id", "version", "node", "signature", "bands"],
@@ -121,7 +122,7 @@ def fewest_matches(threshold: float, tolerance: float = TOLERANCE) -> list[int]:
     With a flat prior the posterior chance that a pair matches at least as often as one at the threshold is
     the chance of at most that many matches in one more trial at the threshold.
     """
-    # Signature values are kept as one byte, which also match by chance.
+    # Signature values are kept as one byte, which also match by chance, once in 256.
     p = threshold + (1 - threshold) / 256
     out = [0]
     for n in range(1, HASHES + 1):

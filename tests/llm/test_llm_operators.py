@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from plain_versions import contamination, line_dedup, near_duplicates, secret_spans, sha, url_verdicts, words
 from tokenizers import Tokenizer
@@ -385,3 +386,19 @@ def test_urls_of_deep_templates(spark):
             assert r.purity < 0.3 and "/good" in r.template
     # Where nothing can differ, no level below the fourth is looked at.
     assert {r.template for url, r in got if "j.com" in url} == {"/x/x/x/x"}
+
+
+def test_signatures_of_long_texts():
+    """Unrelated long texts match in about one of 256 signature values, so their pairs are dropped; near ones stay."""
+    random.seed(21)
+    word = lambda: "".join(random.choices("abcdefghijklmnopqrstuvwxyz", k=6))
+    texts = [[word() for _ in range(2000)] for _ in range(12)]
+    texts += [[word() if k in (500, 900) else w for k, w in enumerate(t)] for t in texts]
+    columns = [pa.array(range(24)), pa.array(range(24)), pa.array([" ".join(t).encode() for t in texts], pa.binary())]
+    signed = pa.Table.from_batches(near._signed(iter([pa.RecordBatch.from_arrays(columns, ["id", "version", "text"])])))
+    values = [np.frombuffer(s, np.uint8) for s in signed.column("signature").to_pylist()]
+    unrelated = [(values[a] == values[b]).mean() for a in range(12) for b in range(a)]
+    assert np.mean(unrelated) < 3 / 256
+    fewest = near.fewest_matches(0.8)
+    assert all((values[a][:32] == values[b][:32]).sum() < fewest[32] for a in range(12) for b in range(a))
+    assert all((values[a] == values[a + 12]).sum() >= fewest[near.HASHES] for a in range(12))
