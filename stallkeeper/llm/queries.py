@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,7 +10,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallkeeper import session
-from stallkeeper.llm import bpe, decontamination, fingerprints, licenses, line_dedup, near_duplicates, quality, secrets, token_counts, url_filters
+from stallkeeper.llm import (
+    bpe,
+    decontamination,
+    fingerprints,
+    licenses,
+    line_dedup,
+    near_duplicates,
+    quality,
+    secrets,
+    token_counts,
+    url_filters,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -148,6 +161,38 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written to archives and read back; a record that does not read back well is an error."""
+    folder = f"{session.shared_dir(spark)}/cuts/{uuid.uuid4().hex}/archives"
+    warc.write_archives(table(spark, sf_dir, "pages", "page_id", "url", "html"), folder)
+    records = warc.read_archives(spark, folder, payload=False)
+
+    def sound(column: str) -> Column:
+        return F.when(F.col("error").isNull(), F.col(column)).otherwise(F.raise_error(F.col("error")))
+
+    return records.select(
+        warc.record_ids("record_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        sound("record_type").alias("record_type"),
+        warc.record_ids("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+OP11_SQL = """
+with payloads as (
+    select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha256(coalesce(html, '')) as payload_digest
+    from pages
+), judged as (
+    select *, min(page_id) over (partition by payload_digest) as kept from payloads
+)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 100 and page_id <> kept then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 100 and page_id <> kept then kept end as refers_to
+from judged
+"""
+
+
 # Words by the rule that operators 5 and 8 share, as a SQL expression of a column.
 WORDS_SQL = r"""regexp_extract_all(
     translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -238,10 +283,12 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": op8_licenses,
     "op9_secrets": op9_secrets,
     "op10_token_counts": op10_token_counts,
+    "op11_warc": op11_warc,
 }
 
 SQL: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
     "op5_decontamination": OP5_SQL,
     "op8_licenses": OP8_SQL,
+    "op11_warc": OP11_SQL,
 }
