@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from stallkeeper import session
 from stallkeeper.llm import (
     bpe,
+    collocations,
     decontamination,
+    divergence,
     fingerprints,
     licenses,
     line_dedup,
@@ -193,6 +195,101 @@ from judged
 """
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of every language diverge, and in which terms."""
+    return divergence.source_divergence(table(spark, sf_dir, "documents", "lang", "source", "text"))
+
+
+OP12_SQL = r"""
+with docs as (
+    select row_number() over () as doc, coalesce(lang, '') as lang, coalesce(source, '') as source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms
+    from documents
+), words as (
+    select doc, lang, source, unnest(terms) as term from docs
+), kept as (
+    select lang, term, count(*)::hugeint as total from words group by lang, term having count(distinct doc) >= 3
+), grouped as (
+    select distinct lang, source from docs
+), counted as (
+    select w.lang, w.source, w.term, count(*)::hugeint as n
+    from words w join kept k on w.lang = k.lang and w.term = k.term group by all
+), lang_totals as (
+    select lang, sum(total)::hugeint as n, count(*)::hugeint as v from kept group by lang
+), totals as (
+    select g.lang, g.source, coalesce(sum(c.n), 0)::hugeint as n, t.v
+    from grouped g join lang_totals t on g.lang = t.lang
+    left join counted c on g.lang = c.lang and g.source = c.source group by g.lang, g.source, t.v
+), chances as (
+    select t.lang, t.source, k.term, coalesce(c.n, 0) as n,
+           1 + (1000000000::hugeint * (coalesce(c.n, 0) + 1)) // (t.n + t.v) as p,
+           1 + (1000000000::hugeint * (k.total + 1)) // (l.n + l.v) as whole
+    from totals t join kept k on t.lang = k.lang join lang_totals l on t.lang = l.lang
+    left join counted c on t.lang = c.lang and t.source = c.source and k.term = c.term
+), sums as (
+    select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value
+    from chances a join chances b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), pairs as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(s.value, 0)::bigint as value
+    from grouped a join grouped b on a.lang = b.lang and a.source <> b.source
+    left join sums s on s.lang = a.lang and s.source = a.source and s.item = b.source
+), terms as (
+    select lang, source, 'term' as part, term as item, (((p - whole) * (p - whole)) // whole)::bigint as value
+    from chances where n > 0 and p > whole
+)
+select * from (
+    select *, row_number() over (partition by lang, source, part order by value desc, item)::int as rank
+    from (select * from pairs union all select * from terms)
+) where part = 'pair' or rank <= 200
+"""
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases of two and three words that belong together, by language."""
+    return collocations.collocations(table(spark, sf_dir, "documents", "lang", "text"))
+
+
+OP13_SQL = r"""
+with pieces as (
+    select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words
+    from (select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[.,;:!?\x0A-\x0D]')) as piece from documents)
+), grams as (
+    select lang, size, array_to_string(list_slice(words, i, i + size - 1), ' ') as phrase
+    from (select lang, words, size, unnest(range(1, len(words) - size + 2)) as i
+          from pieces, (values (1), (2), (3)) t(size) where len(words) >= size)
+), counts as (
+    select lang, size, phrase, count(*) as n from grams group by all having count(*) >= 10
+), totals as (
+    select lang, count(*) as n from grams where size = 1 group by lang
+), candidates as (
+    select lang, size, phrase, n as a, string_split(phrase, ' ') as words from counts where size > 1
+), cuts as (
+    select lang, phrase, a, k, array_to_string(list_slice(words, 1, k), ' ') as head,
+           array_to_string(list_slice(words, k + 1, size), ' ') as tail
+    from (select *, unnest(range(1, size)) as k from candidates)
+), scores as (
+    select c.lang, c.phrase, c.a, c.k, h.n as l, t.n as r,
+           ((1000000::hugeint * c.a * c.a) // (h.n::hugeint * t.n))::bigint as score
+    from cuts c join counts h on h.lang = c.lang and h.phrase = c.head join counts t on t.lang = c.lang and t.phrase = c.tail
+), scored as (
+    select * from scores qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), inner_phrases as (
+    select lang, phrase, max(a) as longer
+    from (select lang, a, unnest([array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]) as phrase
+          from candidates where size = 3) group by lang, phrase
+), kept as (
+    select s.* from scored s left join inner_phrases i on s.lang = i.lang and s.phrase = i.phrase
+    where i.longer is null or 100 * i.longer < 50 * s.a
+)
+select k.lang, row_number() over (partition by k.lang order by score desc, a desc, k.phrase) as rank,
+       k.phrase, a, l, r, t.n, score
+from kept k join totals t on k.lang = t.lang qualify rank <= 2000
+"""
+
+
 # Words by the rule that operators 5 and 8 share, as a SQL expression of a column.
 WORDS_SQL = r"""regexp_extract_all(
     translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -284,6 +381,8 @@ QUERIES: dict[str, Query] = {
     "op9_secrets": op9_secrets,
     "op10_token_counts": op10_token_counts,
     "op11_warc": op11_warc,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_collocations": op13_collocations,
 }
 
 SQL: dict[str, str] = {
@@ -291,4 +390,6 @@ SQL: dict[str, str] = {
     "op5_decontamination": OP5_SQL,
     "op8_licenses": OP8_SQL,
     "op11_warc": OP11_SQL,
+    "op12_source_divergence": OP12_SQL,
+    "op13_collocations": OP13_SQL,
 }
