@@ -40,7 +40,7 @@ END = b"\r\n\r\n"
 BETWEEN_FRAMES = struct.pack("<II", SKIPPABLE_MAGIC, 0).decode("ascii")
 
 MIN_REVISIT_BYTES = 100
-ARCHIVE_BYTES = 64 << 20  # payload of one archive, about
+ARCHIVE_BYTES = 64 << 20  # payload of one archive at most, about
 LEVEL = 3
 # The dictionary learns from about so many payloads of at most so many bytes, on the driver.
 SAMPLE_ROWS, SAMPLE_ROW_BYTES, DICTIONARY_BYTES = 400, 16 << 10, 32 << 10
@@ -136,7 +136,7 @@ def write_archives(
 
     Of rows with equal payloads of at least ``min_revisit_bytes``, those with the smallest id are
     responses, all others revisit that id; shorter payloads are responses always.  Every archive is one
-    file of about ``archive_bytes`` of payload (more if a single payload is larger).
+    file of ``archive_bytes`` of payload or less, about (more if a single payload is larger).
 
     - Null or empty payload: a response without bytes.  Null url: no target; an empty one is written.
     - Null id: never the one revisited while an id exists; if none does, all are responses.
@@ -152,7 +152,9 @@ def write_archives(
     groups = rows.groupBy("digest", "size").agg(F.min("id").alias("kept"), F.count("*").alias("n"))
     groups = cut(groups, "payloads")
     total, n_rows = groups.agg(F.coalesce(F.sum(F.col("size") * F.col("n")), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
-    n_archives = max(1, -(-int(total) // archive_bytes))
+    # Not fewer than other shuffles have tasks: Spark would deal payloads to those first, then to fewer.
+    least = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_archives = max(least, -(-int(total) // archive_bytes))
 
     key = F.concat_ws("|", F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("id").isNull().cast("string"), "digest")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
