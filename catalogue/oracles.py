@@ -205,6 +205,15 @@ MARKET = STORED + f""", market as (
 _EVENT = f"request_id, stage, page, pos, id, event, {GENERATION_TS} as generation_timestamp, steamid, details"
 
 
+# Every item that a search may ask for, in the order in which it asks.
+_TRIES = """, tries as (
+    select request_id, steamid, generate_subscripts(items, 1) as pos, '440_' || unnest(items) as listing_id
+    from (select distinct request_id, steamid,
+                 case when user_id % 3 = 0 then [9000000000 + user_id * 100 + k, user_id * 100 + k] else [user_id * 100 + k] end as items
+          from sell_row where skip_reason is null)
+)"""
+
+
 def _events(types: str) -> str:
     return MARKET + f" select {_EVENT} from reconciled join req using (request_id) where effective_type in ({types})"
 
@@ -398,6 +407,35 @@ def sql() -> dict[str, str]:
              slots as (select *, row_number() over (partition by endpoint order by md5(key), key) - 1 as slot from open)
              select endpoint, key, replace(url_encode(key), '%20', '+') as encoded_key, slot,
                     slot * case endpoint when 'detail' then 1 else 10 end as start_second from slots""",
+        "landed_states": MARKET
+        + """ select distinct 'snapshot' as endpoint, market as key, page, case when k in (4, 13) then 'null' else 'ok' end as state from market
+              union all
+              select distinct 'inventory', steamid, 0, case when unreadable then 'unreadable' else 'ok' end from market where intent = 'sell'
+              union all
+              select 'detail', id, 0, case when gone then 'missing' else 'ok' end from market""",
+        "fetch_frontier": MARKET
+        + _TRIES
+        + """, seen as (select id, gone from market where ascii(right(id, 1)) % 3 <> 0),
+             search as (select request_id, steamid, min(pos) filter (not s.gone) as hit, min(pos) filter (s.id is null) as open,
+                               arg_min(listing_id, pos) filter (s.id is null) as key
+                        from tries t left join seen s on s.id = t.listing_id group by all)
+             select request_id, 'detail' as endpoint, key from search where open is not null and (hit is null or open < hit)
+             union
+             select n.request_id, n.endpoint, n.key from need n
+             where (n.endpoint = 'inventory' and n.key in (select steamid from market where unreadable))
+                or (n.endpoint = 'detail' and n.key not in (select id from seen)
+                    and exists (from candidate c where c.request_id = n.request_id and c.listing_id = n.key and c.part <> 'sell'))""",
+        "frontier_calls": MARKET
+        + _TRIES
+        + """, hits as (select t.request_id, t.steamid, min(t.pos) as hit from tries t join market m on m.id = t.listing_id where not m.gone group by all),
+             calls as (
+               select t.request_id, 'detail' as endpoint, t.listing_id as key
+               from tries t left join hits h using (request_id, steamid) where h.hit is null or t.pos <= h.hit
+               union
+               select n.request_id, n.endpoint, n.key from need n
+               where n.endpoint <> 'detail'
+                  or exists (from candidate c where c.request_id = n.request_id and c.listing_id = n.key and c.part <> 'sell'))
+             select request_id, endpoint, count(*) as calls from calls group by all""",
         "fetch_budget": MARKET + " select request_id, endpoint, count(distinct key) as calls from need group by all",
         "landed_latest": MARKET + " select id as listing_id, case when gone then 'missing' else 'ok' end as state from market",
         "request_freshness": MARKET

@@ -533,14 +533,46 @@ def handler_metrics(spark, sf_dir):
     return counters.handler_counters(*reconciled(spark, sf_dir))
 
 
+@lru_cache(maxsize=8)
+def _landed_states(spark: SparkSession, application: str, sf_dir: str) -> DataFrame:
+    """States of all responses, as two batches of landings have left them: refused at first, answered later."""
+    t, cut = tables(spark, sf_dir), session.table_cut(spark)
+    landed = {"snapshots": t.snapshots, "inventory": t.inventories, "detail": t.details}
+
+    def batch(number, http_status, body):
+        rows = {
+            name: df.withColumns({"http_status": http_status, "body": body, "fetched_at": F.lit(GENERATION_TS + number).cast("bigint")})
+            for name, df in landed.items()
+        }
+        return cut(landing.response_states(**rows), f"states_{number}")
+
+    refused = batch(0, F.lit(429), F.lit(None).cast("string"))
+    return cut(landing.fold_states(refused.unionByName(batch(1, F.col("http_status"), F.col("body")))), "states")
+
+
+def landed_state_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of states; folded once per session, then read as a stored table."""
+    return _landed_states(spark, spark.sparkContext.applicationId, sf_dir)
+
+
+def landed_states(spark, sf_dir):
+    return landed_state_table(spark, sf_dir).select("endpoint", "key", "page", "state")
+
+
 def fetch_worklist(spark, sf_dir):
     """What has to be called: details that have not landed, and unreadable inventories again."""
-    steps, t = reconciled(spark, sf_dir)[0], tables(spark, sf_dir)
-    landed = worklist.settled(
-        landing.snapshot_entries(t.snapshots), landing.inventories(t.inventories), landing.details(t.details)
-    )
-    cut = session.table_cut(spark)
-    return worklist.worklist(worklist.needs(steps), cut(landed, "landed"), cut)
+    steps, states = reconciled(spark, sf_dir)[0], landed_state_table(spark, sf_dir)
+    return worklist.worklist(worklist.needs(steps), landing.answered(states), session.table_cut(spark))
+
+
+def fetch_frontier(spark, sf_dir):
+    """The calls to make now, when a third of the details has not been asked for yet."""
+    later = (F.col("endpoint") == "detail") & (F.ascii(F.substring("key", -1, 1)) % 3 == 0)
+    return worklist.frontier(reconciled(spark, sf_dir)[0], landed_state_table(spark, sf_dir).where(~later))
+
+
+def frontier_calls(spark, sf_dir):
+    return worklist.calls_to_hit(reconciled(spark, sf_dir)[0], landed_state_table(spark, sf_dir))
 
 
 def fetch_budget(spark, sf_dir):
@@ -557,7 +589,7 @@ def catalogue() -> dict[str, Query]:
         time_helpers, request_types, request_rejects, snapshot_explode, snapshot_states, snapshot_buy, snapshot_sell,
         body_clean, inventory_clean, inventory_match, inventory_skipped, buy_truth, sell_truth, truth_profiles, stale_buy,
         stale_sell, reconcile_all, request_outcomes, request_counters, handler_metrics, fetch_outcomes, fetch_worklist,
-        fetch_budget, landed_latest, request_freshness, report_by_chosen_items,
+        landed_states, fetch_frontier, frontier_calls, fetch_budget, landed_latest, request_freshness, report_by_chosen_items,
     ]
     typed = {
         "single_id": _of_type("SINGLE_ID"), "buy_only": _of_type("BUY_ONLY"), "sell_only": _of_type("SELL_ONLY"),

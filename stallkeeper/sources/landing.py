@@ -7,23 +7,31 @@ Without it a key must land once.  These functions read the bodies; filter the
 landed rows by key first.  ``state`` says what a response means for the work that needs
 it: ``ok``, ``missing`` (answered: no such thing), ``retry`` (not answered yet),
 ``denied``, ``failed`` or ``unreadable``.
+
+:func:`response_states` keeps only that: a table of states, folded from new responses as they land, says
+what is answered without a body being read again.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallkeeper.functions import wire
 from stallkeeper.functions.text import clean_json_body
 from stallkeeper.functions.wire import Reader
-from stallkeeper.schemas import INVENTORY, PAYLOAD, SNAPSHOT
+from stallkeeper.schemas import APPID, INVENTORY, PAYLOAD, SNAPSHOT, record
 
 _SNAPSHOT, _DETAIL, _INVENTORY = Reader(SNAPSHOT), Reader(PAYLOAD), Reader(INVENTORY)
 _ITEMS = INVENTORY["result"].dataType["items"].dataType
 
 SNAPSHOT_KEY = ("market_name", "appid")
 
+# States that need no further call.  An inventory that could not be read is asked for again.
+ANSWERED = {"snapshot": ("ok", "null", "no_listings"), "inventory": ("ok",), "detail": ("ok", "missing")}
+
 
 def outcome(http_status: Column) -> Column:
     """Class of a response by its HTTP status; null status is a timeout."""
@@ -56,11 +64,11 @@ def _document(landed: DataFrame, body: str, reader: Reader) -> DataFrame:
     given, fit, variant = outcome(F.col("http_status")), F.col("document_fit"), F.col("document_variant")
     is_null = F.coalesce(F.is_variant_null(variant), F.lit(False))
     unreadable = (fit.isNull() & ~is_null) | (fit == wire.BAD)
-    return read.select(
-        *landed.columns,
-        "document",
-        F.when(given != "ok", given).when(unreadable, "unreadable").otherwise("ok").alias("state"),
-    )
+    state = F.when(given != "ok", given).when(unreadable, "unreadable").otherwise("ok")
+    # Through a generator on purpose: a filter on the state or the document stays above it.  Pushed into the
+    # reader, it would have every step of the reading written out and worked out again.
+    values = F.array(F.struct(F.col("document").alias("document"), state.alias("state")))
+    return read.select(*landed.columns, F.inline_outer(values))
 
 
 def snapshot_entries(landed: DataFrame) -> DataFrame:
@@ -112,6 +120,71 @@ def details(landed: DataFrame) -> DataFrame:
     )
 
 
+STATE_KEY = ("endpoint", "key", "page")
+STATES = record("endpoint string, key string, page bigint, version bigint, fetched_at bigint, state string")
+
+
+def response_states(
+    snapshots: DataFrame | None = None, inventory: DataFrame | None = None, detail: DataFrame | None = None
+) -> DataFrame:
+    """What each landed response says, one row per (endpoint, key, page) without its content.
+
+    A snapshot's page is ``ok``, ``null`` or ``no_listings`` when it could be read; ``version`` is its
+    ``snapshot_at``, where pages have one.  Inventories and details have page 0.  Every landed row that
+    is passed has its body read once; pass new responses only, and :func:`fold_states` to what is known.
+    """
+    parts = []
+    if snapshots is not None:
+        versioned = snapshots if "snapshot_at" in snapshots.columns else snapshots.withColumn("snapshot_at", F.lit(None).cast("bigint"))
+        pages = versioned if "page" in versioned.columns else versioned.withColumn("page", F.lit(0).cast("bigint"))
+        pages = pages.where(F.col("appid") == APPID)
+        read = _document(_newest(pages, *SNAPSHOT_KEY, "page", "snapshot_at"), "body", _SNAPSHOT)
+        listed = F.when(F.col("document").isNull(), "null").when(F.col("document.listings").isNull(), "no_listings").otherwise("ok")
+        state = F.when(F.col("state") == "ok", listed).otherwise(F.col("state"))
+        parts.append(_state_rows(read, "snapshot", F.col("market_name"), state, F.col("page"), F.col("snapshot_at")))
+    if inventory is not None:
+        parts.append(_state_rows(inventories(inventory), "inventory", F.col("steamid"), F.col("state")))
+    if detail is not None:
+        parts.append(_state_rows(details(detail), "detail", F.col("listing_id"), F.col("state")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _state_rows(read: DataFrame, endpoint: str, key: Column, state: Column, page: Column | None = None, version: Column | None = None) -> DataFrame:
+    return read.where(key.isNotNull()).select(
+        F.lit(endpoint).alias("endpoint"),
+        key.alias("key"),
+        F.coalesce(F.lit(0) if page is None else page, F.lit(0)).cast("bigint").alias("page"),
+        (F.lit(None) if version is None else version).cast("bigint").alias("version"),
+        F.col("fetched_at").cast("bigint").alias("fetched_at"),
+        state.alias("state"),
+    )
+
+
+def answered(states: DataFrame) -> DataFrame:
+    """(endpoint, key) of responses that need no further call; one open page leaves a whole snapshot open."""
+    of_endpoint = [
+        (F.col("endpoint") == endpoint) & F.col("state").isin(*good) for endpoint, good in ANSWERED.items()
+    ]
+    is_answered = F.coalesce(reduce(Column.__or__, of_endpoint), F.lit(False))
+    whole = states.groupBy("endpoint", "key").agg(F.bool_and(is_answered).alias("is_answered"))
+    return whole.where("is_answered").select("endpoint", "key")
+
+
+def fold_states(states: DataFrame) -> DataFrame:
+    """The newest state per (endpoint, key, page): of the last version, then the last fetched.
+
+    Rows without a time are older than all with one; of equal ones an answer counts before a failure.
+    Pages of a snapshot's older versions go, as a shorter version has fewer pages.
+    """
+    answered = F.col("state").isin(*{state for states in ANSWERED.values() for state in states})
+    age = F.struct(F.col("version"), F.col("fetched_at"), answered, F.col("state"))
+    newest = states.groupBy(*STATE_KEY).agg(F.max_by(F.struct("version", "fetched_at", "state"), age).alias("r"))
+    newest = newest.select(*STATE_KEY, "r.*")
+    last = newest.where(F.col("version").isNotNull()).groupBy("endpoint", "key").agg(F.max("version").alias("last_version"))
+    current = newest.join(last, ["endpoint", "key"], "left")
+    return current.where(F.col("last_version").isNull() | F.col("version").eqNullSafe(F.col("last_version"))).select(*STATES.names)
+
+
 def inventories(landed: DataFrame) -> DataFrame:
     """Seller inventories: ``steamid, fetched_at, state, items, n_items``.
 

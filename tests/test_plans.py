@@ -191,3 +191,95 @@ def test_landed_pages(spark):
     no_details = spark.createDataFrame([], "listing_id string, http_status int, body string")
     settled = worklist.settled(entries, landing.inventories(none), landing.details(no_details))
     assert sorted(tuple(r) for r in settled.collect()) == [("snapshot", "a"), ("snapshot", "c")]
+
+
+DETAIL = "listing_id string, http_status int, body string, fetched_at bigint"
+GOOD = '{"id": "x"}'
+
+
+def test_states_of_responses(spark):
+    snapshots = spark.createDataFrame(
+        [("a", 440, 0, 1, 200, '{"listings": []}'), ("a", 440, 1, 1, 429, None), ("b", 440, 0, 1, 200, "null"),
+         ("c", 440, 0, 1, 200, "{}"), ("d", 440, 0, 1, 404, None), ("e", 440, 0, 1, 200, "{broken"), ("f", 570, 0, 1, 200, "{}"),
+         (None, 440, 0, 1, 200, "{}")],
+        "market_name string, appid int, page bigint, snapshot_at bigint, http_status int, body string",
+    )
+    inventory = spark.createDataFrame([("s", 200, '{"result": {"status": 1}}'), ("t", 200, "busy")], "steamid string, http_status int, body string")
+    detail = spark.createDataFrame([("x", 200, GOOD, 5), ("x", 429, None, 6), ("y", 404, None, 5), ("z", 200, "null", 5)], DETAIL)
+    states = landing.response_states(snapshots, inventory, detail)
+    found = {(r.endpoint, r.key, r.page): r.state for r in states.collect()}
+    assert found == {
+        ("snapshot", "a", 0): "ok", ("snapshot", "a", 1): "retry", ("snapshot", "b", 0): "null", ("snapshot", "c", 0): "no_listings",
+        ("snapshot", "d", 0): "missing", ("snapshot", "e", 0): "unreadable",
+        ("inventory", "s", 0): "ok", ("inventory", "t", 0): "unreadable",
+        ("detail", "x", 0): "retry", ("detail", "y", 0): "missing", ("detail", "z", 0): "missing",
+    }
+    assert sorted(tuple(r) for r in landing.answered(states).collect()) == [
+        ("detail", "y"), ("detail", "z"), ("inventory", "s"), ("snapshot", "b"), ("snapshot", "c"),
+    ]
+    assert landing.response_states(snapshots.limit(0), inventory.limit(0), detail.limit(0)).count() == 0
+
+
+def test_states_fold_to_the_newest(spark):
+    rows = [
+        ("detail", "x", 0, None, 5, "retry"), ("detail", "x", 0, None, 7, "ok"), ("detail", "x", 0, None, 6, "failed"),
+        ("detail", "y", 0, None, None, "ok"), ("detail", "y", 0, None, 1, "denied"),
+        ("detail", "z", 0, None, 4, "ok"), ("detail", "z", 0, None, 4, "retry"),
+        ("snapshot", "m", 0, 1, 9, "ok"), ("snapshot", "m", 1, 1, 9, "retry"), ("snapshot", "m", 0, 2, 3, "ok"),
+        ("snapshot", "n", 0, None, 1, "ok"), ("snapshot", "n", 1, None, 1, "ok"),
+    ]
+    folded = landing.fold_states(spark.createDataFrame(rows, landing.STATES))
+    assert sorted(tuple(r)[:3] + (r.state,) for r in folded.collect()) == [
+        ("detail", "x", 0, "ok"), ("detail", "y", 0, "denied"), ("detail", "z", 0, "ok"),
+        ("snapshot", "m", 0, "ok"), ("snapshot", "n", 0, "ok"), ("snapshot", "n", 1, "ok"),
+    ]
+    again = landing.fold_states(folded.unionByName(folded))
+    assert sorted(map(str, again.collect())) == sorted(map(str, folded.collect()))
+
+
+def test_states_are_kept_as_responses_land(spark, tmp_path):
+    from stallkeeper.streaming import landed
+
+    def land(*rows):
+        spark.createDataFrame(rows, DETAIL).coalesce(1).write.mode("append").parquet(str(tmp_path / "details"))
+        stream = spark.readStream.schema(DETAIL).parquet(str(tmp_path / "details"))
+        landed.start_states(stream, "detail", str(tmp_path / "states"), str(tmp_path / "checkpoint")).awaitTermination()
+        return {r.key: r.state for r in landed.read_states(spark, str(tmp_path / "states")).collect()}
+
+    assert land(("x", 429, None, 1), ("y", 200, GOOD, 1)) == {"x": "retry", "y": "ok"}
+    assert land(("x", 200, GOOD, 2), ("z", 404, None, 2)) == {"x": "ok", "y": "ok", "z": "missing"}
+    batch = spark.createDataFrame([("x", 200, GOOD, 2), ("z", 404, None, 2)], DETAIL)
+    landed.write_states(batch, "detail", str(tmp_path / "states"), 1)  # replayed
+    assert landed.read_states(spark, str(tmp_path / "states")).count() == 3
+
+
+def test_frontier_stops_at_the_first_hit(spark):
+    """Round by round, a seller's items are asked for until one has a detail; brute force says which."""
+    import random
+    from types import SimpleNamespace
+
+    random.seed(6)
+    items = {(f"r{r}", f"s{s}"): [f"440_{r}{s}{i}" for i in range(random.randint(0, 5))] for r in range(4) for s in range(5)}
+    tries = [(request, "sell", seller, pos, key) for (request, seller), keys in items.items() for pos, key in enumerate(keys)]
+    tries += [("r0", "buy", None, None, "440_s_name"), ("r1", "single", None, None, None)]
+    answered = spark.createDataFrame(tries, "request_id string, part string, steamid string, item_pos int, listing_id string").cache()
+    none = spark.createDataFrame([], "request_id string, market_name string, steamid string, wants_buy boolean, wants_sell boolean")
+    steps = SimpleNamespace(answered=answered, located=none, scans=none)
+    truth = {key: random.choice(["ok", "missing", "missing"]) for keys in items.values() for key in keys} | {"440_s_name": "ok"}
+    known, calls = {}, {}
+    while True:
+        rows = [("detail", k, 0, None, 1, v) for k, v in known.items()] + [("detail", "440_1", 0, None, 1, "retry")]
+        asked = {(r.request_id, r.key) for r in worklist.frontier(steps, spark.createDataFrame(rows, landing.STATES)).collect()}
+        if not asked:
+            break
+        for request, key in asked:
+            calls[request] = calls.get(request, 0) + 1
+            assert key not in known
+        known |= {key: truth[key] for _, key in asked}
+    want = {"r0": 1}
+    for (request, _), keys in items.items():
+        hit = next((i for i, k in enumerate(keys) if truth[k] == "ok"), len(keys) - 1)
+        want[request] = want.get(request, 0) + hit + 1
+    assert calls == {r: n for r, n in want.items() if n}
+    states = spark.createDataFrame([("detail", k, 0, None, 1, v) for k, v in truth.items()], landing.STATES)
+    assert {r.request_id: r.calls for r in worklist.calls_to_hit(steps, states).collect()} == calls

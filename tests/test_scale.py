@@ -82,6 +82,35 @@ def test_landed_rows_are_filtered_before_they_are_read(spark, bound):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_filters_on_landed_responses_do_not_reach_their_reading(bound):
+    """A filter on what a body says is no reason to write its reading out again."""
+    wants = {
+        landing.snapshot_entries: (bound.snapshots, "state = 'ok' and has_listings and not is_null and listing.intent = 'buy'"),
+        landing.inventories: (bound.inventories, "state in ('ok', 'missing') and n_items > 0"),
+        landing.details: (bound.details, "state = 'ok' and payload.id is not null"),
+    }
+    for reader, (landed, condition) in wants.items():
+        df = reader(landed).where(condition)
+        optimized = df._jdf.queryExecution().optimizedPlan().toString()
+        assert optimized.count("from_json(") == 1, reader.__name__
+    states = landing.response_states(bound.snapshots, bound.inventories, bound.details)
+    text = landing.answered(states)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json(") == 3
+
+
+def test_open_calls_read_no_body(spark, bound):
+    steps = queries.reconciled(spark, SF_DIR)[0]
+    states = queries.landed_state_table(spark, SF_DIR)
+    for df in (
+        worklist.worklist(worklist.needs(steps), landing.answered(states)),
+        worklist.frontier(steps, states),
+        worklist.calls_to_hit(steps, states),
+    ):
+        text = plan(df)
+        assert "from_json" not in text and "body" not in text
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
 def test_counters_parse_once(bound):
     text = plan(counters.feed_counters(bound.messages, parse.parse_listing_messages(bound.messages)))
     scans = [line for line in text.splitlines() if "FileScan" in line]
