@@ -26,12 +26,27 @@ def for_items(listings: DataFrame, items: DataFrame) -> DataFrame:
     return listings.join(keys, list(ITEM_KEY), "left_semi")
 
 
+# Keys that are written into a filter, so that a scan can leave out files and row groups; beyond, a join decides.
+MAX_LITERALS = 1000
+
+
 def relevant_to(listings: DataFrame, requests: DataFrame) -> DataFrame:
-    """Rows a batch of requests can look at: those of their items, or named by them."""
-    items = requests.select(*ITEM_KEY).distinct().withColumn("of_item", F.lit(True))
-    ids = requests.select(F.col("listing_id").alias("id")).distinct().withColumn("is_named", F.lit(True))
-    found = listings.join(items, list(ITEM_KEY), "left").join(ids, "id", "left")
-    return found.where(F.col("of_item") | F.col("is_named")).select(*listings.columns)
+    """Rows a batch of requests can look at: those of their items, or named by them.
+
+    Two reads, each by one key: the filter of few keys reaches the scan, and a table bucketed by ``id``
+    is read in the buckets of the named listings only.
+    """
+    items = requests.select(*ITEM_KEY).distinct().dropna()
+    ids = requests.select(F.col("listing_id").alias("id")).distinct().dropna()
+    of_items = narrowed(listings, items, "item_defindex").join(items, list(ITEM_KEY), "left_semi")
+    named = narrowed(listings, ids, "id").join(ids, "id", "left_semi")
+    return of_items.unionByName(named.join(items, list(ITEM_KEY), "left_anti")).select(*listings.columns)
+
+
+def narrowed(listings: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """Rows with one of the keys in ``column``, as a filter if the keys are few; all rows if not."""
+    few = [r[0] for r in keys.select(column).distinct().limit(MAX_LITERALS + 1).collect()]
+    return listings if len(few) > MAX_LITERALS else listings.where(F.col(column).isin(few))
 
 
 def latest_market_names(listings: DataFrame) -> DataFrame:

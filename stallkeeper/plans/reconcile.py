@@ -519,13 +519,22 @@ def outcomes(steps: Steps, reconciled: DataFrame, finished_at: Column | None = N
     )
 
 
-def failed_outcomes(requests: DataFrame, reason: str) -> DataFrame:
+def failed_outcomes(requests: DataFrame, reason: Column) -> DataFrame:
     """Outcomes of requests whose reconciliation did not come to an end."""
+    return _outcomes_without_events(requests, "failed", F.concat(F.lit("error: "), reason))
+
+
+def pending_outcomes(requests: DataFrame, reason: str) -> DataFrame:
+    """Outcomes of requests that are tried again; ``reason`` is a column, null where there was no error."""
+    return _outcomes_without_events(requests, "pending", F.concat(F.lit("retry after error: "), F.col(reason)))
+
+
+def _outcomes_without_events(requests: DataFrame, status: str, reason: Column) -> DataFrame:
     return requests.select(
         "request_id",
         F.col("request_type").alias("effective_type"),
-        F.lit("failed").alias("status"),
-        F.lit(reason).alias("reason"),
+        F.lit(status).alias("status"),
+        reason.alias("reason"),
         *[F.lit(0).cast("bigint").alias(c) for c in ("updates", "deletes")],
         F.lit(None).cast("bigint").alias("took_ms"),
     )

@@ -6,32 +6,32 @@ still wait), and folds feed and reconciliation events together into one set of
 changes.  Everything a batch writes is keyed by its id, so a batch replayed
 after a failure leaves the same result: changes, rejects, changes that cannot
 be written, counters, and of requests their outcomes and those that wait.
+
+Requests may also run in a query of their own, so that the feed never waits for
+them: see `streaming.requests.RequestJob`, whose events `Job.start` takes as a
+second stream.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stallkeeper.functions.times import now_ms
-from stallkeeper.operators import fold, lookups, parse, route
+from stallkeeper.operators import fold, parse, route
 from stallkeeper.operators.requests import PARTS_BY_TYPE
 from stallkeeper.plans import counters, reconcile
-from stallkeeper.schemas import REQUEST_TABLE, REQUEST_TYPES
-from stallkeeper.session import Cut, stored, table_cut
+from stallkeeper.schemas import RAW_MESSAGE
+from stallkeeper.session import stored
+from stallkeeper.streaming.requests import MAX_ATTEMPTS, MAX_RUNS, Landed, Requests, event_column
 from stallkeeper.streaming.table import ListingTable
 
 # Fixed value: flush interval of the upserts.
 DEFAULT_INTERVAL = "200 milliseconds"
 
-# Reads the landed responses: (snapshots, inventories, details), raw or as
-# `sources.landing` gives them.
-Landed = Callable[[SparkSession], tuple[DataFrame, DataFrame, DataFrame]]
-
 
 @dataclass
 class Job:
@@ -44,11 +44,26 @@ class Job:
     parts_by_type: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(PARTS_BY_TYPE))
     touched_at: Column | None = None  # write time of an event; the batch's time when unset
     compact_every: int | None = None
+    max_attempts: int = MAX_ATTEMPTS  # of a request that cannot be reconciled
+    max_runs: int = MAX_RUNS  # reconciliations in one batch, to tell such requests apart
 
     def start(
-        self, messages: DataFrame, checkpoint: str, *, interval: str | None = DEFAULT_INTERVAL, name: str | None = None
+        self,
+        messages: DataFrame,
+        checkpoint: str,
+        *,
+        interval: str | None = DEFAULT_INTERVAL,
+        name: str | None = None,
+        events: DataFrame | None = None,
     ) -> StreamingQuery:
-        """Start the query; without an interval it takes what is there and stops."""
+        """Start the query; without an interval it takes what is there and stops.
+
+        ``events``: a stream of events that reconciliations elsewhere arrive at.
+        """
+        if events is not None:
+            shaped = [F.lit(None).cast(RAW_MESSAGE[c].dataType).alias(c) for c in messages.columns]
+            reconciled = events.select(*shaped, event_column(events))
+            messages = messages.select("*", event_column()).unionByName(reconciled)
         writer = messages.writeStream.foreachBatch(self.run_batch).option("checkpointLocation", checkpoint)
         if name:
             writer = writer.queryName(name)
@@ -59,6 +74,10 @@ class Job:
         """Apply one micro-batch."""
         if self.compact_every and batch_id and batch_id % self.compact_every == 0:
             self.table.compact(before_batch=batch_id)
+        from_elsewhere = None
+        if "reconciled" in batch.columns:
+            from_elsewhere = batch.where(F.col("reconciled").isNotNull()).select("reconciled.*")
+            batch = batch.where(F.col("reconciled").isNull()).drop("reconciled")
         is_request = F.lit(False) if self.request_topic is None else F.col("topic") == self.request_topic
         parsed = parse.parse_listing_messages(batch.where(~is_request))
         # Parsed once; executors that are lost recompute from the source.
@@ -66,6 +85,8 @@ class Job:
         try:
             live = parse.listing_events(parsed)
             events = route.union_events(live, self._requested(batch.where(is_request), batch_id))
+            if from_elsewhere is not None:
+                events = route.union_events(events, from_elsewhere)
             moment = now_ms() if self.touched_at is None else self.touched_at
             self.table.append(fold.fold(fold.table_events(events, moment)), batch_id)
             self._write(parse.rejects(parsed), "rejects", batch_id)
@@ -76,49 +97,13 @@ class Job:
             self.table.drop(self._path("steps", batch_id))
 
     def _requested(self, messages: DataFrame, batch_id: int) -> DataFrame | None:
-        """Events of this batch's requests and of those that still wait.
-
-        Without landed responses every request waits.  An error fails the
-        requests at hand, with its text as the reason, and not the feed.
-        """
+        """Events of this batch's requests and of those that still wait."""
         if self.request_topic is None:
             return None
-        cut = table_cut(self.table.spark, self._path("steps", batch_id))
-        types = tuple(t for t in self.parts_by_type if t not in REQUEST_TYPES)
-        parsed = parse.parse_request_messages(messages, types)
-        self._write(parse.rejects(parsed), "request_rejects", batch_id)
-        fresh = parse.requests(parsed).withColumn("generation_timestamp", F.col("requested_at"))
-        columns = REQUEST_TABLE.names
-        requests = cut(fresh.select(*columns).unionByName(self._waiting(batch_id)), "requests")
-        if self.landed is None or requests.isEmpty():
-            self._write(requests, "waiting", batch_id)
-            return None
-        try:
-            return self._reconciled(requests, batch_id, cut)
-        except Exception as error:
-            reason = f"error: {type(error).__name__}: {error}"
-            self._write(reconcile.failed_outcomes(requests, reason), "outcomes", batch_id)
-            self._write(requests.limit(0), "waiting", batch_id)
-            return None
-
-    def _reconciled(self, requests: DataFrame, batch_id: int, cut: Cut) -> DataFrame:
-        listings = cut(lookups.relevant_to(self.table.read_until(batch_id), requests), "listings")
-        snapshots, inventories, details = self.landed(self.table.spark)
-        market = reconcile.Market(listings, snapshots, details, inventories)
-        steps = reconcile.prepare(requests, market, self.options, self.parts_by_type, cut)
-        events = cut(reconcile.events(steps, listings), "events")
-        self._write(reconcile.outcomes(steps, events, now_ms()), "outcomes", batch_id)
-        pending = steps.verdicts.where(F.col("status") == "pending").select("request_id")
-        waiting = requests.join(pending, "request_id", "left_semi").select(*REQUEST_TABLE.names)
-        self._write(waiting, "waiting", batch_id)
-        return reconcile.ordered_events(events)
-
-    def _waiting(self, batch_id: int) -> DataFrame:
-        """Requests that were still open after the last batch that looked at requests."""
-        spark, path = self.table.spark, self.table.last_before("waiting", batch_id)
-        if path is None:
-            return spark.createDataFrame([], REQUEST_TABLE)
-        return spark.read.schema(REQUEST_TABLE).parquet(path)
+        requests = Requests(
+            self.table, self.table.root, self.landed, self.options, self.parts_by_type, self.max_attempts, self.max_runs
+        )
+        return requests.run(messages, batch_id, before_batch=batch_id)
 
     def _path(self, kind: str, batch_id: int) -> str:
         return f"{self.table.root}/{kind}/{batch_id:012d}"

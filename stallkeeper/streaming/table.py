@@ -4,8 +4,10 @@ A batch appends its folded changes under its own id: the cost is that of the
 batch, not of the table, and a replayed batch overwrites what it wrote before.
 Readers fold the outstanding changes and merge them with the last base.
 :meth:`compact` merges them into a new base, named after the last batch it
-holds.  Bases are bucketed and sorted by ``id``, so reading and compacting
-shuffle the changes only.  Spark's own ``_SUCCESS`` marker publishes a write.
+holds.  Bases are bucketed by ``id``, so reading and compacting shuffle the
+changes only, and sorted by item, so a read for few items leaves out row groups,
+one for named listings whole buckets.  Spark's own ``_SUCCESS`` marker publishes
+a write.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stallkeeper.operators import fold, merge
+from stallkeeper.operators import fold, lookups, merge
 from stallkeeper.schemas import LISTING_FIELDS, LISTINGS, record
 
 _ORDER = record("ord_time bigint, ord_partition int, ord_offset bigint, ord_pos bigint")
@@ -50,15 +52,40 @@ class ListingTable:
         """Current state."""
         return self.read_until(None)
 
+    def read_for(self, requests: DataFrame, before_batch: int | None = None) -> DataFrame:
+        """Rows that requests can look at, as `lookups.relevant_to` finds them; the base is read in part.
+
+        Of the base are needed the rows of the items and those named, and rows that outstanding changes
+        move to one of the items.
+        """
+        base, changes = self._parts(before_batch)
+        if base is None or changes is None:
+            return lookups.relevant_to(self._merged(base, changes), requests)
+        items = requests.select(*lookups.ITEM_KEY).distinct().dropna()
+        now_of = changes.select("id", *[F.col(f"fields.{c}") for c in lookups.ITEM_KEY])
+        moved = now_of.join(items, list(lookups.ITEM_KEY), "left_semi").select(F.col("id").alias("listing_id"))
+        names = requests.select("listing_id").unionByName(moved)
+        wanted = requests.select(*lookups.ITEM_KEY).withColumn("listing_id", F.lit(None).cast("string"))
+        none = [F.lit(None).cast("int").alias(c) for c in lookups.ITEM_KEY]
+        wanted = wanted.unionByName(names.select(*none, "listing_id"))
+        return lookups.relevant_to(self._merged(lookups.relevant_to(base, wanted), changes), requests)
+
     def read_until(self, before_batch: int | None) -> DataFrame:
         """State as it was before a batch; a base that is younger is an error."""
+        return self._merged(*self._parts(before_batch))
+
+    def _parts(self, before_batch: int | None) -> tuple[DataFrame | None, DataFrame | None]:
+        """The base, and the folded changes after it."""
         base_id, base = self._base()
         if before_batch is not None and base_id >= before_batch:
             raise ValueError(f"the base holds batch {base_id} already, the state before {before_batch} is gone")
         changes = self.outstanding(base_id, before_batch)
+        return base, None if changes is None else fold.refold(changes, "batch")
+
+    def _merged(self, base: DataFrame | None, changes: DataFrame | None) -> DataFrame:
         if base is None:
-            return merge.first_state(fold.refold(changes, "batch")) if changes is not None else merge.empty_table(self.spark)
-        return merge.merge(base, fold.refold(changes, "batch")) if changes is not None else base
+            return merge.first_state(changes) if changes is not None else merge.empty_table(self.spark)
+        return merge.merge(base, changes) if changes is not None else base
 
     def outstanding(self, base_id: int, before_batch: int | None = None) -> DataFrame | None:
         """Changes of published batches after a base."""
@@ -91,7 +118,7 @@ class ListingTable:
             state.write.mode("overwrite")
             .format("parquet")
             .bucketBy(self.buckets, "id")
-            .sortBy("id")
+            .sortBy(*lookups.ITEM_KEY, "id")
             .option("path", f"{self.root}/base/{last:012d}-{self.buckets}")
             .saveAsTable(f"stallkeeper_base_{uuid.uuid4().hex}")
         )
@@ -109,25 +136,35 @@ class ListingTable:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LISTINGS.fields)
         self.spark.sql(
             f"create table if not exists {name} ({columns}) using parquet "
-            f"clustered by (id) sorted by (id) into {buckets} buckets location '{self.root}/base/{newest}'"
+            f"clustered by (id) sorted by ({', '.join(lookups.ITEM_KEY)}, id) into {buckets} buckets location '{self.root}/base/{newest}'"
         )
         return last, self.spark.table(name)
 
     def _changes_path(self, batch_id: int) -> str:
         return f"{self.root}/changes/{batch_id:012d}"
 
-    def _published(self, kind: str) -> list[str]:
+    def _published(self, kind: str, root: str | None = None) -> list[str]:
         """Names of finished writes below the root, oldest first; one listing call."""
-        fs, marks = self._file_system(f"{self.root}/{kind}/*/_SUCCESS")
+        fs, marks = self._file_system(f"{root or self.root}/{kind}/*/_SUCCESS")
         return sorted(status.getPath().getParent().getName() for status in fs.globStatus(marks) or [])
 
     def _published_batches(self) -> list[int]:
         return [int(name) for name in self._published("changes")]
 
-    def last_before(self, kind: str, batch_id: int) -> str | None:
+    def last_before(self, kind: str, batch_id: int, root: str | None = None) -> str | None:
         """Folder that the nearest earlier batch has written, if any."""
-        earlier = [name for name in self._published(kind) if int(name) < batch_id]
-        return f"{self.root}/{kind}/{earlier[-1]}" if earlier else None
+        earlier = [name for name in self._published(kind, root) if int(name) < batch_id]
+        return f"{root or self.root}/{kind}/{earlier[-1]}" if earlier else None
+
+    def is_published(self, kind: str, batch_id: int, root: str | None = None) -> bool:
+        """The batch has finished writing this."""
+        fs, mark = self._file_system(f"{root or self.root}/{kind}/{batch_id:012d}/_SUCCESS")
+        return fs.exists(mark)
+
+    def make(self, path: str) -> None:
+        """Create a folder."""
+        fs, hadoop_path = self._file_system(path)
+        fs.mkdirs(hadoop_path)
 
     def drop(self, path: str) -> None:
         """Delete scratch data below the root."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from stallkeeper.plans import counters, reconcile
 from stallkeeper.schemas import RAW_MESSAGE
 from stallkeeper.sources import feeds, landing
 from stallkeeper.streaming.job import Job
+from stallkeeper.streaming.requests import RequestJob
 from stallkeeper.streaming.table import ListingTable
 
 
@@ -134,8 +136,194 @@ def test_requests_survive_runs_without_landed_responses(spark, tmp_path):
     log.append(json.dumps({"data": [update("440_2")]}))
     run(spark, Job(table, request_topic="requests", landed=failing), log, checkpoint)
     outcome = spark.read.parquet(f"{table.root}/outcomes/{2:012d}").first()
-    assert outcome["status"] == "failed" and "landing is away" in outcome["reason"]
+    assert outcome["status"] == "pending" and "landing is away" in outcome["reason"]
     assert rows(table) == {"440_1": ("d", False), "440_2": ("d", False)}
+    # However often: the request is not to blame and waits on.
+    waiting = spark.read.parquet(f"{table.root}/waiting/{2:012d}").first()
+    assert waiting["attempts"] == 0 and "landing is away" in waiting["last_error"]
+
+
+SNAPSHOTS = "market_name string, appid int, page bigint, http_status int, body string"
+
+
+def items_on_the_market(spark, *items):
+    """Landed responses for items: one seller and one confirmed listing each."""
+    snapshots, inventories, details = [], [], []
+    for i in items:
+        listing = {"intent": "sell", "steamid": f"q{i}"}
+        snapshots.append((f"Item {i}", 440, 0, 200, json.dumps({"listings": [listing]})))
+        inventories.append((f"q{i}", 200, json.dumps({"result": {"status": 1, "items": [{"id": i, "defindex": i, "quality": 6}]}})))
+        found = update(f"440_{i}", "fresh", defindex=i, marketName=f"Item {i}")["payload"]
+        details.append((f"440_{i}", 200, json.dumps(found)))
+    frames = (
+        spark.createDataFrame(snapshots, SNAPSHOTS),
+        spark.createDataFrame(inventories, "steamid string, http_status int, body string"),
+        spark.createDataFrame(details, "listing_id string, http_status int, body string"),
+    )
+    return lambda session: frames
+
+
+def request(i, kind="SELL_ONLY"):
+    return json.dumps({"data": {"item_defindex": i, "item_quality_id": 6, "request_type": kind}})
+
+
+def failing_prepare(monkeypatch, fails):
+    """Reconciliations fail when ``fails(items)`` holds of the items asked for."""
+    sound, runs = reconcile.prepare, []
+
+    def prepare(requests, *rest):
+        items = sorted(r[0] for r in requests.select("item_defindex").collect())
+        runs.append(items)
+        if fails(items):
+            raise RuntimeError(f"cannot reconcile {items}")
+        return sound(requests, *rest)
+
+    monkeypatch.setattr(reconcile, "prepare", prepare)
+    return runs
+
+
+def outcomes_of(spark, root, batch):
+    df = spark.read.parquet(f"{root}/outcomes/{batch:012d}")
+    return {r["request_id"]: (r["status"], r["reason"]) for r in df.collect()}
+
+
+def test_a_request_that_fails_fails_alone(spark, tmp_path, monkeypatch):
+    runs = failing_prepare(monkeypatch, lambda items: 2 in items)
+    log = Log(spark, str(tmp_path / "log"))
+    table = ListingTable(spark, str(tmp_path / "table"), buckets=2)
+    job = Job(table, request_topic="requests", landed=items_on_the_market(spark, 1, 2, 3), max_attempts=2)
+    log.append(json.dumps({"data": [update(f"440_{i}", "old", defindex=i, marketName=f"Item {i}") for i in (1, 2, 3)]}))
+    log.append(*[request(i) for i in (1, 2, 3)], topic="requests")
+    run(spark, job, log, str(tmp_path / "checkpoint"))
+    found = outcomes_of(spark, table.root, 1)
+    assert [found[f"requests-0-{i}"][0] for i in (1, 2, 3)] == ["processed", "pending", "processed"]
+    assert "cannot reconcile [2]" in found["requests-0-2"][1]
+    assert rows(table) == {"440_1": ("fresh", False), "440_2": ("old", False), "440_3": ("fresh", False)}
+    waiting = [(r.request_id, r.attempts) for r in spark.read.parquet(f"{table.root}/waiting/{1:012d}").collect()]
+    assert waiting == [("requests-0-2", 1)]
+    # The next batch tries again; the second failure is its last.
+    log.append(request(1), topic="requests")
+    run(spark, job, log, str(tmp_path / "checkpoint"))
+    found = outcomes_of(spark, table.root, 2)
+    assert found["requests-0-4"][0] == "processed" and found["requests-0-2"][0] == "failed"
+    assert spark.read.parquet(f"{table.root}/waiting/{2:012d}").count() == 0
+    assert [2] in runs and rows(table)["440_2"] == ("old", False)
+
+
+def test_a_passing_error_costs_no_request(spark, tmp_path, monkeypatch):
+    calls = []
+    runs = failing_prepare(monkeypatch, lambda items: not calls.append(items) and len(calls) == 1)
+    table = ListingTable(spark, str(tmp_path / "table"), buckets=2)
+    job = Job(table, request_topic="requests", landed=items_on_the_market(spark, 1, 2))
+    log = Log(spark, str(tmp_path / "log"))
+    log.append(json.dumps({"data": [update(f"440_{i}", "old", defindex=i, marketName=f"Item {i}") for i in (1, 2)]}))
+    log.append(request(1), request(2), topic="requests")
+    run(spark, job, log, str(tmp_path / "checkpoint"))
+    assert {status for status, _ in outcomes_of(spark, table.root, 1).values()} == {"processed"}
+    assert runs[0] == [1, 2] and sorted(runs[1:]) == [[1], [2]]
+    assert rows(table) == {"440_1": ("fresh", False), "440_2": ("fresh", False)}
+
+
+def test_an_error_of_all_requests_counts_against_none(spark, tmp_path, monkeypatch):
+    runs = failing_prepare(monkeypatch, lambda items: True)
+    table = ListingTable(spark, str(tmp_path / "table"), buckets=2)
+    job = Job(table, request_topic="requests", landed=items_on_the_market(spark, 1), max_attempts=1, max_runs=4)
+    log = Log(spark, str(tmp_path / "log"))
+    log.append(*[request(i) for i in range(1, 6)], topic="requests")
+    run(spark, job, log, str(tmp_path / "checkpoint"))
+    assert len(runs) == 4 and len(runs[0]) == 5
+    assert {status for status, _ in outcomes_of(spark, table.root, 0).values()} == {"pending"}
+    waiting = spark.read.parquet(f"{table.root}/waiting/{0:012d}").collect()
+    assert len(waiting) == 5 and {r.attempts for r in waiting} == {0}
+    # Once the trouble is over, all are answered.
+    monkeypatch.undo()
+    log.append(json.dumps({"data": []}))
+    run(spark, job, log, str(tmp_path / "checkpoint"))
+    assert len(outcomes_of(spark, table.root, 1)) == 5
+    assert spark.read.parquet(f"{table.root}/waiting/{1:012d}").where("attempts > 0").count() == 0
+
+
+def test_two_queries_on_one_table(spark, tmp_path):
+    """The feed advances while a reconciliation is held; its events arrive as a second stream."""
+    import threading
+
+    held, reached = threading.Event(), threading.Event()
+    market = items_on_the_market(spark, 1)
+
+    def landed(session):
+        reached.set()
+        assert held.wait(120)
+        return market(session)
+
+    feed, asked = Log(spark, str(tmp_path / "feed")), Log(spark, str(tmp_path / "asked"))
+    table = ListingTable(spark, str(tmp_path / "table"), buckets=2)
+    job, requests = Job(table, compact_every=2), RequestJob(table, landed=landed)
+
+    def feed_once():
+        stream = feeds.file_stream(spark, feed.path)
+        query = job.start(stream, str(tmp_path / "c1"), interval=None, events=requests.events(spark))
+        query.awaitTermination()
+
+    feed.append(json.dumps({"data": [update("440_1", "old", defindex=1, marketName="Item 1"), update("440_9", "gone", defindex=1, marketName="Item 1")]}))
+    feed_once()
+    asked.append(request(1), request(7), topic="requests")
+    query = requests.start(feeds.file_stream(spark, asked.path), str(tmp_path / "c2"), interval=None)
+    assert reached.wait(120)
+    feed.append(json.dumps({"data": [update("440_5", "while held", defindex=5)]}))
+    feed_once()
+    assert rows(table)["440_5"] == ("while held", False) and rows(table)["440_1"] == ("old", False)
+    held.set()
+    query.awaitTermination()
+    assert rows(table)["440_1"] == ("old", False)  # the table has one writer
+    feed_once()
+    want = {"440_1": ("fresh", False), "440_5": ("while held", False), "440_9": ("gone", True)}
+    assert rows(table) == want
+    assert {s for s, _ in outcomes_of(spark, requests.root, 0).values()} == {"processed"}
+    # A batch that is replayed after its events were published adds none.
+    requests.run_batch(feeds.file_batch(spark, asked.path), 0)
+    feed_once()
+    assert rows(table) == want and table.last_before("changes", 10**6).endswith(f"{2:012d}")
+
+
+def test_requests_read_the_base_in_part(spark, tmp_path):
+    """Rows for requests: the same as from the whole table, from fewer buckets and rows."""
+    from stallkeeper.operators import lookups
+    from stallkeeper.schemas import REQUEST_TABLE
+
+    log = Log(spark, str(tmp_path / "log"))
+    table = ListingTable(spark, str(tmp_path / "table"), buckets=16)
+    job = Job(table)
+    events = [update(f"440_{i}", f"d{i}", defindex=i % 40, marketName=f"Item {i % 40}") for i in range(400)]
+    log.append(json.dumps({"data": events}))
+    run(spark, job, log, str(tmp_path / "checkpoint"))
+    table.compact()
+
+    def wanted(*rows):
+        return spark.createDataFrame([(f"r{k}", "FULL", d, q, i, None, 1) for k, (d, q, i) in enumerate(rows)], REQUEST_TABLE)
+
+    def check(requests):
+        part, whole = table.read_for(requests), table.read()
+        items = {(r.item_defindex, r.item_quality_id) for r in requests.collect()}
+        ids = {r.listing_id for r in requests.collect()}
+        want = [r for r in whole.collect() if (r.item_defindex, r.item_quality_id) in items or r.id in ids]
+        assert sorted(part.collect()) == sorted(want) and want
+        return part._jdf.queryExecution().executedPlan().toString()
+
+    text = check(wanted((None, None, "440_3"), (None, None, "440_4"), (None, None, "missing")))
+    assert "SelectedBucketsCount" in text and all(int(n) <= 3 for n in re.findall(r"SelectedBucketsCount: (\d+) out of 16", text))
+    text = check(wanted((7, 6, None), (8, 6, None), (8, 5, None), (None, 6, None)))
+    assert "In(item_defindex, [7,8])" in text
+    # Outstanding changes: moved to a wanted item and away from it, deleted, new.
+    moved = [update("440_7", "away", defindex=30), update("440_30", "moved in", defindex=7), delete("440_47"), update("440_900", "new", defindex=7)]
+    log.append(json.dumps({"data": moved}))
+    run(spark, job, log, str(tmp_path / "checkpoint"))
+    check(wanted((7, 6, None), (None, None, "440_100"), (None, None, "440_47")))
+    few = lookups.MAX_LITERALS
+    try:
+        lookups.MAX_LITERALS = 1
+        check(wanted((7, 6, None), (8, 6, None), (None, None, "440_100"), (None, None, "440_101")))
+    finally:
+        lookups.MAX_LITERALS = few
 
 
 def test_a_batch_replayed_after_compaction_finds_its_base(spark, tmp_path):
