@@ -14,7 +14,7 @@ On the driver are one row per source and one per run of the vocabulary, no terms
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stallkeeper.llm.text import slices
+from stallkeeper.llm.text import Bytes, CutTexts, cut_texts, slices
 from stallkeeper.llm.transducer import Builder, Transducer
 from stallkeeper.session import Cut, table_cut
 
@@ -36,66 +36,51 @@ TOP = 200
 RUN_TERMS, RUN_BYTES = 50_000, 4 << 20
 # Rows of a run are dealt to so many tasks, each with the run's transducer.
 SALTS = 4
-# What a task holds before it passes counts on: entries, and bytes of text behind them.
-HELD_TERMS, HELD_BYTES = 500_000, 128 << 20
-BYTES_AT_ONCE = 1 << 20
+# Texts cut into terms at once; their counts are combined before they are passed on.
+BYTES_AT_ONCE = 16 << 20
 # Cells of a dense table, and its ordinals at most; cells of summed divergences held.
 CELLS, BLOCK, HELD_CELLS = 1 << 20, 4096, 4 << 20
 
-# On UTF-8 bytes: ASCII letters in lower case and all that is beyond ASCII belong to terms.
-_BYTES = bytes(
-    b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
-)
+# On UTF-8 bytes: ASCII letters and all that is beyond ASCII belong to terms.
+TERMS = Bytes(lambda b: 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b >= 0x80)
 
 
-def terms_of(text: bytes | None) -> list[bytes]:
-    """Terms of a UTF-8 text in order; null has none."""
-    return text.translate(_BYTES).split() if text else []
-
-
-def _parts(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[list[tuple]]:
-    """Rows with their texts as bytes, a few at a time."""
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, CutTexts]]:
+    """Rows, a bounded part of their texts at a time, and the terms of these texts."""
     for batch in batches:
         sizes = pc.binary_length(batch.column("text")).to_pylist()
         for start, end in slices([n or 0 for n in sizes], BYTES_AT_ONCE):
             part = batch.slice(start, end - start)
-            yield list(zip(*[part.column(c).to_pylist() for c in columns], strict=True))
+            yield part, cut_texts(part.column("text"), TERMS)
 
 
-def _too_much(held: dict, size: int) -> bool:
-    return size > HELD_BYTES or sum(map(len, held.values())) > HELD_TERMS
+def _numbered(values: pa.Array) -> tuple[list, np.ndarray]:
+    """Distinct values, and the place of each row's among them."""
+    coded = values.dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
 
 
 def _columns(rows: dict[str, pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(rows.values()), list(rows))
 
 
-def _terms(counts: Counter) -> pa.Array:
-    return pa.array(list(counts), pa.binary()).cast(pa.string())
-
-
 # ---- the vocabulary
 
 
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, term, n): documents of the task that hold a term."""
-    held: dict[str, Counter] = defaultdict(Counter)
-    size = 0
-
-    def flushed() -> Iterator[pa.RecordBatch]:
-        for lang, counts in held.items():
-            langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(counts), np.int32)))
-            yield _columns({"lang": langs, "term": _terms(counts), "n": pa.array(list(counts.values()), pa.int64())})
-        held.clear()
-
-    for part in _parts(batches, "lang", "text"):
-        for lang, text in part:
-            held[lang].update(set(terms_of(text)))
-            size += len(text or b"")
-        if _too_much(held, size):
-            yield from flushed()
-            size = 0
-    yield from flushed()
+    """(lang, term, n): documents among some of the task's that hold a term."""
+    for part, cut in _cut(batches):
+        size = len(cut.words)
+        in_docs = np.unique(cut.doc * size + cut.number)
+        langs, of_doc = _numbered(part.column("lang"))
+        keys, counts = np.unique(of_doc[in_docs // size] * size + in_docs % size, return_counts=True) if size else (in_docs, in_docs)
+        yield _columns(
+            {
+                "lang": pa.array(langs, pa.string()).take(pa.array(keys // max(size, 1))),
+                "term": cut.words.take(pa.array(keys % max(size, 1))).cast(pa.string()),
+                "n": pa.array(counts, pa.int64()),
+            }
+        )
 
 
 def _runs(run_terms: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -142,43 +127,73 @@ def vocabulary(docs: DataFrame, min_docs: int = MIN_DOCS, run_terms: int = RUN_T
 # ---- recounting
 
 
+def _packed(columns: dict[str, pa.Array]) -> bytes:
+    sink = pa.BufferOutputStream()
+    batch = _columns(columns)
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(content: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(content).read_next_batch()
+
+
 def _group_counts(
     group_of: dict[tuple[str, str], int], runs_of: dict[str, tuple[int, list[bytes]]]
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(run, salt, group, term, n): occurrences in the task, dealt to the run that the term would be in."""
+    """(run, salt, terms, counts): terms of some texts, dealt to the run that they would be in.
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, str], Counter] = defaultdict(Counter)
-        size = turn = 0
+    ``terms`` has each term once, ``counts`` its number there with a group and its occurrences.
+    """
 
-        def flushed() -> Iterator[pa.RecordBatch]:
-            for (lang, source), counts in held.items():
-                if lang not in runs_of:
-                    continue
-                start, firsts = runs_of[lang]
-                # Terms before the first run get the number before it, and none has a transducer there.
-                runs = np.array([bisect_right(firsts, t) for t in counts], np.int32) + (start - 1)
-                n = len(counts)
-                yield _columns(
-                    {
-                        "run": pa.array(np.where(runs < start, -1, runs), pa.int32()),
-                        "salt": pa.array((np.arange(n) + turn) % SALTS, pa.int32()),
-                        "group": pa.array(np.full(n, group_of[lang, source], np.int32)),
-                        "term": _terms(counts),
-                        "n": pa.array(list(counts.values()), pa.int64()),
-                        "transducer": pa.nulls(n, pa.binary()),
-                    }
-                ).filter(pa.array(runs >= start))
-            held.clear()
-
-        for part in _parts(batches, "lang", "source", "text"):
-            for lang, source, text in part:
-                held[lang, source].update(terms_of(text))
-                size += len(text or b"")
-            if _too_much(held, size):
-                yield from flushed()
-                size, turn = 0, turn + 1
-        yield from flushed()
+    def of_lang(lang: str, words: pa.Array, word: np.ndarray, group: np.ndarray, n: np.ndarray, turn: int) -> Iterator[tuple]:
+        """Rows for the counts of one language, sorted by word."""
+        start, firsts = runs_of[lang]
+        used, place = np.unique(word, return_inverse=True)
+        terms = words.take(pa.array(used))
+        # Terms before the first run belong to none; they are not kept.
+        run = np.array([bisect_right(firsts, t) for t in terms.to_pylist()], np.int64) - 1
+        order = np.argsort(run, kind="stable")
+        ranked = np.empty(len(order), np.int64)
+        ranked[order] = np.arange(len(order))
+        place = ranked[place]
+        by_place = np.argsort(place, kind="stable")
+        place, group, n = place[by_place], group[by_place], n[by_place]
+        run, terms = run[order], terms.take(pa.array(order))
+        for a, b in _borders(run):
+            if run[a] >= 0:
+                c, d = np.searchsorted(place, [a, b])
+                counts = {"term": pa.array((place[c:d] - a).astype(np.int32)), "group": pa.array(group[c:d].astype(np.int32)), "n": pa.array(n[c:d])}
+                yield start + int(run[a]), turn % SALTS, _packed({"term": terms.slice(a, b - a)}), _packed(counts)
+
+    # Groups are sorted by language, so a language's are next to each other.
+    members: dict[str, list[int]] = {}
+    for (lang, _), group in group_of.items():
+        if lang in runs_of:
+            members.setdefault(lang, []).append(group)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for turn, (part, cut) in enumerate(_cut(batches)):
+            size = max(len(cut.words), 1)
+            names = zip(part.column("lang").to_pylist(), part.column("source").to_pylist(), strict=True)
+            of_doc = np.array([group_of[name] for name in names], np.int64)
+            keys, counts = np.unique(of_doc[cut.doc] * size + cut.number, return_counts=True)
+            rows = []
+            for lang, groups in members.items():
+                a, b = np.searchsorted(keys, [groups[0] * size, (groups[-1] + 1) * size])
+                if a < b:
+                    rows += of_lang(lang, cut.words, keys[a:b] % size, keys[a:b] // size, counts[a:b], turn)
+            run, salt, terms, packed = zip(*rows, strict=True) if rows else ((), (), (), ())
+            yield _columns(
+                {
+                    "run": pa.array(run, pa.int32()),
+                    "salt": pa.array(salt, pa.int32()),
+                    "terms": pa.array(terms, pa.binary()),
+                    "counts": pa.array(packed, pa.binary()),
+                    "transducer": pa.nulls(len(run), pa.binary()),
+                }
+            )
 
     return counted
 
@@ -189,24 +204,19 @@ def _through(starts: list[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator
     def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, known_run = None, None
         for batch in batches:
-            runs, salts = batch.column("run").to_numpy(), batch.column("salt").to_numpy()
-            for a, b in _borders(runs, salts):
-                part = batch.slice(a, b - a)
-                if part.column("transducer")[0].is_valid:
-                    known, known_run = Transducer(part.column("transducer")[0].as_py()), runs[a]
-                    part = part.slice(1)
-                assert known_run == runs[a], "a run without its transducer"
-                terms = part.column("term").cast(pa.binary()).dictionary_encode()
-                words = terms.dictionary
+            for run, transducer, terms, counts in zip(*[batch.column(c) for c in ("run", "transducer", "terms", "counts")], strict=True):
+                if transducer.is_valid:
+                    known, known_run = Transducer(transducer.as_py()), run.as_py()
+                    continue
+                assert known_run == run.as_py(), "a run without its transducer"
+                words = _unpacked(terms.as_py()).column("term")
                 offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
-                held = words.buffers()[2]
-                data = np.frombuffer(held, np.uint8) if held else np.zeros(0, np.uint8)
-                places = known.ordinals(data, offsets[:-1], offsets[1:]) if len(words) else np.zeros(0, np.int64)
-                places = places[terms.indices.to_numpy()]
+                data = np.frombuffer(words.buffers()[2], np.uint8)
+                held = _unpacked(counts.as_py())
+                places = known.ordinals(data, offsets[:-1], offsets[1:])[held.column("term").to_numpy()]
                 kept = pa.array(places >= 0)
-                yield _columns(
-                    {"group": part.column("group"), "ord": pa.array(places + starts[runs[a]]), "n": part.column("n")}
-                ).filter(kept)
+                rows = {"group": held.column("group"), "ord": pa.array(places + starts[known_run]), "n": held.column("n")}
+                yield _columns(rows).filter(kept)
 
     return streamed
 
@@ -227,12 +237,12 @@ def recounted(docs: DataFrame, runs: DataFrame, groups: list[tuple[str, str]], i
     runs_of: dict[str, tuple[int, list[bytes]]] = {}
     for run, lang, first, _ in index:
         runs_of.setdefault(lang, (run, []))[1].append(first.encode())
-    schema = "run int, salt int, group int, term string, n bigint, transducer binary"
+    schema = "run int, salt int, terms binary, counts binary, transducer binary"
     counts = docs.mapInArrow(_group_counts({g: k for k, g in enumerate(groups)}, runs_of), schema)
     numbered = spark.createDataFrame([(r, lang, first) for r, lang, first, _ in index], "run int, lang string, first string")
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     held = runs.select("lang", "first", "transducer").join(numbered, ["lang", "first"])
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("group", "int"), ("term", "string"), ("n", "bigint"))]
+    none = [F.lit(None).cast("binary").alias(c) for c in ("terms", "counts")]
     dealt = counts.unionByName(held.select("run", salts, *none, "transducer"))
     dealt = dealt.repartition("run", "salt").sortWithinPartitions("run", "salt", F.col("transducer").isNull())
     found = dealt.mapInArrow(_through([start for *_, start in index]), "group int, ord bigint, n bigint")

@@ -7,9 +7,11 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stallkeeper.llm import divergence
+from stallkeeper.llm.text import Bytes, cut_texts
 from stallkeeper.llm.transducer import Builder, Transducer
 
 SCHEMA = "doc_id bigint, text string, lang string, source string"
@@ -68,7 +70,7 @@ ODD = [
 
 @pytest.mark.parametrize("run_terms", [7, 50_000])
 def test_divergence(spark, run_terms, monkeypatch):
-    monkeypatch.setattr(divergence, "HELD_TERMS", 40)
+    monkeypatch.setattr(divergence, "BYTES_AT_ONCE", 500)
     monkeypatch.setattr(divergence, "BLOCK", 5)
     rows = made(run_terms, 250) + ODD
     docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as term", "2 as n", "'x' as rank", "3 as `group`")
@@ -107,6 +109,24 @@ def states(terms):
     return len({frozenset(e) for e in ends.values()}) or 1
 
 
+def test_cutting_into_words():
+    random.seed(9)
+    rule = Bytes(lambda b: b not in b" \t", b".\n")
+    texts = ["".join(random.choices("aB \t.\n\x00\x01é中", k=random.randint(0, 12))).encode() for _ in range(400)] + [None, b"", b" ", b"A"]
+    for held in (pa.array(texts, pa.binary()), pa.array([b"xx", *texts], pa.binary()).slice(1)):
+        cut = cut_texts(held, rule)
+        got = [[] for _ in texts]
+        for number, doc, piece in zip(cut.number, cut.doc, cut.piece, strict=True):
+            got[doc].append((cut.words[number].as_py(), piece))
+        for text, words in zip(texts, got, strict=True):
+            pieces = [re.findall(rb"[^ \t]+", p.translate(bytes(rule.lower))) for p in re.split(rb"[.\n]", text or b"")]
+            assert [w for w, _ in words] == [w for p in pieces for w in p]
+            ends = [k for k, p in enumerate(pieces) for _ in p]
+            assert [a == b for a, b in zip(ends, ends[1:])] == [a[1] == b[1] for a, b in zip(words, words[1:])]
+        assert len({p for words in got for _, p in words}) == len({(d, p) for d, words in enumerate(got) for _, p in words})
+    assert len(cut_texts(pa.array([], pa.binary()), rule).number) == 0
+
+
 def test_transducer():
     random.seed(7)
     for letters, n in ((b"ab", 40), (b"abc\xff\x80", 300), (b"a", 5)):
