@@ -64,6 +64,28 @@ def test_encoding(docs):
     assert bpe.encode_decode(df.limit(0), path).count() == 0
 
 
+def code_points():
+    return [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+
+
+def test_encoding_of_every_code_point():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, vocab = Tokenizer.from_file(path), bpe.vocabulary(path)
+    texts = [f"a{c} {c}1{c}a" for c in code_points()]
+    for start in range(0, len(texts), 50_000):
+        part = texts[start : start + 50_000]
+        want = [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
+        assert [t for t, ids in zip(part, want, strict=True) if vocab.encode(t) != ids] == []
+
+
+def test_pre_tokens_of_every_code_point():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    split, counter = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str, token_counts.Counter(path)
+    for c in code_points():
+        text = f"a{c} {c}1 1{c}a's{c}  {c}"
+        assert counter.pre_tokens(text)[0] == [text[a:b] for _, (a, b) in split(text)], hex(ord(c))
+
+
 @pytest.fixture(scope="module")
 def odd_texts():
     random.seed(1)
