@@ -214,6 +214,14 @@ _TRIES = """, tries as (
 )"""
 
 
+_MERGED = MARKET + f""" select coalesce(s.id, r.id) as id, coalesce(r.details, s.details) as details,
+    case when r.id is null then s.is_deleted else r.event = 'listing-delete' end as is_deleted,
+    coalesce(s.created_at, {GENERATION_TS}) as created_at,
+    case when r.id is null then s.updated_at else {GENERATION_TS} end as updated_at
+    from stored s full join (
+    select distinct id, event, details from reconciled) r on r.id = s.id"""
+
+
 def _events(types: str) -> str:
     return MARKET + f" select {_EVENT} from reconciled join req using (request_id) where effective_type in ({types})"
 
@@ -271,13 +279,15 @@ def sql() -> dict[str, str]:
         "latest_state": STORED + " select id, steamid, intent, metal, details, is_deleted from stored",
         "merge_state": STORED + " select * from stored",
         "refold_state": STORED + " select id, details, is_deleted, created_at, updated_at from stored",
-        "merge_reconciled": MARKET
-        + f""" select coalesce(s.id, r.id) as id, coalesce(r.details, s.details) as details,
-                    case when r.id is null then s.is_deleted else r.event = 'listing-delete' end as is_deleted,
-                    coalesce(s.created_at, {GENERATION_TS}) as created_at,
-                    case when r.id is null then s.updated_at else {GENERATION_TS} end as updated_at
-             from stored s full join (
-                    select distinct id, event, details from reconciled) r on r.id = s.id""",
+        "merge_reconciled": _MERGED,
+        "stream_two_queries": _MERGED,
+        "request_times": MARKET
+        + """, took as (select effective_type, request_id, 10 * k + updates as ms from outcome join req using (request_id, effective_type)),
+             ranked as (select *, row_number() over (partition by effective_type order by ms) as r,
+                               count(*) over (partition by effective_type) as n from took)
+             select effective_type, any_value(n) as requests, max(ms) as last_ms, min(ms) filter (r >= 0.5 * n) as median_ms,
+                    min(ms) filter (r >= 0.95 * n) as p95_ms, min(ms) filter (r >= 0.99 * n) as p99_ms
+             from ranked group by effective_type""",
         "union_events": MARKET
         + """ select event, count(*) as events, count(distinct id) as listings from (
                 select event, id from ev union all select event, id from reconciled) group by event""",
@@ -334,6 +344,9 @@ def sql() -> dict[str, str]:
                         else 'item_quality_id_not_positive' end as reject_reason
             from r where t = 8 or d = 0 or q = 0""",
         "snapshot_explode": MARKET
+        + """ select market as market_name, page, pos, steamid, lower(intent) as intent, value as price, k as defindex
+              from snapshot where k not in (4, 13)""",
+        "snapshot_split": MARKET
         + """ select market as market_name, page, pos, steamid, lower(intent) as intent, value as price, k as defindex
               from snapshot where k not in (4, 13)""",
         "snapshot_states": MARKET
@@ -381,6 +394,9 @@ def sql() -> dict[str, str]:
         "sell_only": _events("'SELL_ONLY'"),
         "full_backfill": _events("'FULL'"),
         "reconcile_all": MARKET + f" select {_EVENT} from reconciled",
+        "reconcile_shared": MARKET
+        + f""" select request_id || '-' || n as request_id, stage, page, pos, id, event, {GENERATION_TS} + n as generation_timestamp,
+                      steamid, details from reconciled, range(3) copies(n)""",
         "request_outcomes": MARKET + " select * from outcome",
         "request_counters": MARKET
         + """ select 'requests_consumed' as counter, count(*) as value from outcome
@@ -459,6 +475,9 @@ def sql() -> dict[str, str]:
                     count(*) filter (updated_at > now - 86400000) as last_day_updates
              from stored, t""",
         "report_by_item": STORED
+        + """ select item_defindex, item_quality_id, count(*) as total_listings, count(*) filter (intent = 'buy') as buy_listings,
+              count(*) filter (intent = 'sell') as sell_listings, max(updated_at) as last_update from stored group by all""",
+        "report_by_item_incremental": STORED
         + """ select item_defindex, item_quality_id, count(*) as total_listings, count(*) filter (intent = 'buy') as buy_listings,
               count(*) filter (intent = 'sell') as sell_listings, max(updated_at) as last_update from stored group by all""",
         "price_ladder": STORED

@@ -19,6 +19,7 @@ from stallkeeper.plans import counters, reconcile, reports, worklist
 from stallkeeper.schemas import LISTING_UPDATE, LISTINGS
 from stallkeeper.sources import feeds, landing
 from stallkeeper.streaming.job import Job
+from stallkeeper.streaming.requests import RequestJob
 from stallkeeper.streaming.table import ListingTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -268,6 +269,32 @@ def stream_state(spark, sf_dir):
     return table.read().select("id", "details", "is_deleted", "created_at", "updated_at")
 
 
+def stream_two_queries(spark, sf_dir):
+    """Feed and requests in queries of their own: the requests' events reach the table through the feed's."""
+    t = tables(spark, sf_dir)
+    root = f"{session.shared_dir(spark)}/stream/{uuid.uuid4().hex}"
+    table = ListingTable(spark, f"{root}/table", buckets=8)
+    when = F.when(F.col("ord_partition") < 0, F.col("ord_time")).otherwise(c(DAILY))
+    job = Job(table, touched_at=when, compact_every=2)
+    asked = RequestJob(table, landed=lambda session: (t.snapshots, t.inventories, t.details), options=COMPLETE)
+    numbered = t.requests.withColumn("offset", F.col("item_defindex").cast("bigint"))
+    data = F.struct("item_defindex", "item_quality_id", "request_type", "listing_id", "max_inventory_size")
+    numbered.select(
+        F.lit(None).cast("binary").alias("key"), F.to_json(F.struct(data.alias("data"))).alias("value"), F.lit("requests").alias("topic"),
+        F.lit(0).alias("partition"), "offset", F.timestamp_millis("generation_timestamp").alias("timestamp"),
+    ).write.parquet(f"{root}/requests")
+    t.messages.write.parquet(f"{root}/messages")
+
+    def feed():
+        stream = feeds.file_stream(spark, f"{root}/messages")
+        job.start(stream, f"{root}/checkpoint", interval=None, events=asked.events(spark)).awaitTermination()
+
+    feed()
+    asked.start(feeds.file_stream(spark, f"{root}/requests"), f"{root}/asked", interval=None).awaitTermination()
+    feed()
+    return table.read().select("id", "details", "is_deleted", "created_at", "updated_at")
+
+
 # Identifiers
 
 
@@ -332,6 +359,23 @@ def report_by_item(spark, sf_dir):
     return reports.by_item(tables(spark, sf_dir).listings)
 
 
+def report_by_item_incremental(spark, sf_dir):
+    """The report kept up to date over three parts of the feed, each a batch of changes."""
+    cut = session.table_cut(spark)
+    state = report = None
+    parts = _slices(tables(spark, sf_dir).messages, MID_MONTH_MS - 7 * times.DAY_MS, MID_MONTH_MS)
+    for k, part in enumerate(parts):
+        changes = cut(_changes(_parsed(part)), f"changes_{k}")
+        if state is None:
+            state = cut(merge.first_state(changes), "state_0")
+            report = cut(reports.by_item(state), "report_0")
+            continue
+        after = cut(merge.merge(state, changes), f"state_{k}")
+        report = cut(reports.by_item_after(report, reports.item_deltas(state, changes), after), f"report_{k}")
+        state = after
+    return report
+
+
 def report_by_chosen_items(spark, sf_dir):
     return reports.by_item(tables(spark, sf_dir).listings, [3, 5, 12])
 
@@ -396,14 +440,22 @@ def request_rejects(spark, sf_dir):
 # Landed responses
 
 
-def snapshot_explode(spark, sf_dir):
-    entries = landing.snapshot_entries(tables(spark, sf_dir).snapshots).where(F.col("pos").isNotNull())
-    return entries.select(
+def _entries(entries):
+    return entries.where(F.col("pos").isNotNull()).select(
         "market_name", "page", "pos", "listing.steamid", F.lower("listing.intent").alias("intent"), "listing.price",
         "listing.item.defindex",
     )
 
 
+def snapshot_explode(spark, sf_dir):
+    return _entries(landing.snapshot_entries(tables(spark, sf_dir).snapshots))
+
+
+def snapshot_split(spark, sf_dir):
+    """The same from bodies cut between their listings, about ten parts of each."""
+    return _entries(landing.snapshot_entries(tables(spark, sf_dir).snapshots, split_chars=400))
+
+
 def snapshot_states(spark, sf_dir):
     entries = landing.snapshot_entries(tables(spark, sf_dir).snapshots)
     counts = entries.groupBy("market_name", "appid").agg(F.count("pos").alias("listings"))
@@ -521,10 +573,36 @@ def reconcile_all(spark, sf_dir):
     return _event_rows(run_reconciliation(spark, sf_dir)[1])
 
 
+COPIES = 3
+
+
+def reconcile_shared(spark, sf_dir):
+    """Every request made three times: reconciled once, and answered three times."""
+    cut, m = session.table_cut(spark), market(spark, sf_dir)
+    copies = tables(spark, sf_dir).requests.select("*", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))).alias("n")).select(
+        F.concat_ws("-", "request_id", "n").alias("request_id"), "request_type", "item_defindex", "item_quality_id", "listing_id",
+        "max_inventory_size", (F.col("generation_timestamp") + F.col("n")).alias("generation_timestamp"),
+    )
+    asked, members = (cut(df, name) for df, name in zip(reconcile.shared_work(copies, COMPLETE), ("asked", "members")))
+    steps = reconcile.prepare(asked, m, COMPLETE, cut=cut)
+    events = cut(reconcile.events(steps, m.listings), "events")
+    return _event_rows(reconcile.for_every_request(events, members))
+
+
 def request_outcomes(spark, sf_dir):
     return reconcile.outcomes(*reconciled(spark, sf_dir))
 
 
+def request_times(spark, sf_dir):
+    """Times of the requests by type: sketches of two batches, merged."""
+    steps, events = reconciled(spark, sf_dir)
+    end = F.lit(GENERATION_TS) + 10 * F.col("item_defindex") + F.coalesce(F.col("updates"), F.lit(0))
+    outcomes = reconcile.outcomes(steps, events, end)
+    odd = F.substring("request_id", -1, 1).isin("1", "3", "5", "7", "9")
+    batches = [counters.request_times(outcomes.where(odd == bool(k)), k) for k in (0, 1)]
+    return counters.merged_times(batches[0].unionByName(batches[1]))
+
+
 def request_counters(spark, sf_dir):
     return counters.request_counters(request_outcomes(spark, sf_dir))
 
@@ -584,11 +662,11 @@ def catalogue() -> dict[str, Query]:
     plain = [
         parse_fanout, parse_rejects, reject_previews, unwritable_changes, json_round_trip, price_polymorphism, price_list, route_updates,
         route_deletes, event_counts, write_origins, union_events, latest_state, merge_state, refold_state,
-        merge_reconciled, stream_state, listing_ids, id_class, url_values, market_name_latest, existing_listings,
-        listing_by_seller, live_listings_for_item, listing_by_id, report_activity, report_by_item, price_ladder, browse,
-        time_helpers, request_types, request_rejects, snapshot_explode, snapshot_states, snapshot_buy, snapshot_sell,
+        merge_reconciled, stream_state, stream_two_queries, listing_ids, id_class, url_values, market_name_latest, existing_listings,
+        listing_by_seller, live_listings_for_item, listing_by_id, report_activity, report_by_item, report_by_item_incremental, price_ladder, browse,
+        time_helpers, request_types, request_rejects, snapshot_explode, snapshot_split, snapshot_states, snapshot_buy, snapshot_sell,
         body_clean, inventory_clean, inventory_match, inventory_skipped, buy_truth, sell_truth, truth_profiles, stale_buy,
-        stale_sell, reconcile_all, request_outcomes, request_counters, handler_metrics, fetch_outcomes, fetch_worklist,
+        stale_sell, reconcile_all, reconcile_shared, request_outcomes, request_counters, request_times, handler_metrics, fetch_outcomes, fetch_worklist,
         landed_states, fetch_frontier, frontier_calls, fetch_budget, landed_latest, request_freshness, report_by_chosen_items,
     ]
     typed = {

@@ -142,7 +142,8 @@ def _holds_container_text(loose: str, dtype: T.DataType, depth: int = 0) -> str:
             field = f"{loose}.`{f.name}`"
             if isinstance(f.dataType, T.StringType):
                 texts += [] if _is_opaque(f) else [field]
-                conditions += [f"{field} is not null"] if _checked_as(f) else []
+                if _checked_as(f):
+                    conditions.append(f"({field} is not null and not {_is_sound_text(field, _checked_as(f), depth)})")
             elif isinstance(f.dataType, (T.StructType, T.ArrayType)):
                 inside = _holds_container_text(field, f.dataType, depth)
                 conditions += [] if inside == "false" else [f"({field} is not null and {inside})"]
@@ -152,6 +153,31 @@ def _holds_container_text(loose: str, dtype: T.DataType, depth: int = 0) -> str:
     return _LIKE_CONTAINER.format(loose) if isinstance(dtype, T.StringType) else "false"
 
 
+def _is_sound_text(text: str, dtype: T.StructType, depth: int) -> str:
+    """SQL: the text of an object reads as ``dtype`` without loss, by the same rule as a whole document.
+
+    Only the small text is read again, not the document around it.  What it holds of its own kind is
+    text once more and is not looked at.
+    """
+    held, loose_type = f"t{depth}", _loose(dtype)
+    schema = T.StructType([*loose_type.fields, T.StructField(_CORRUPT, T.StringType())]).simpleString()
+    options = ", ".join(f"'{k}', '{v}'" for k, v in {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, **_STRICT}.items())
+    root = "named_struct(" + ", ".join(f"'{f}', {held}.`{f}`" for f in loose_type.names) + ")"
+    same = f"cast(try_cast({root} as {dtype.simpleString()}) as {loose_type.simpleString()}) <=> {root}"
+    good = f"{held} is not null and {held}.{_CORRUPT} is null and {same} and not {_holds_container_text(held, _unchecked(dtype), depth + 1)}"
+    # The reading is bound to a name once: an array of one.
+    return f"exists(array(from_json({text}, '{schema}', map({options}))), {held} -> {good})"
+
+
+def _unchecked(dtype: T.DataType) -> T.DataType:
+    """The type without fields that are kept as text and checked."""
+    if isinstance(dtype, T.StructType):
+        return T.StructType(
+            [T.StructField(f.name, _unchecked(f.dataType), True, f.metadata) for f in dtype.fields if not _checked_as(f)]
+        )
+    return T.ArrayType(_unchecked(dtype.elementType)) if isinstance(dtype, T.ArrayType) else dtype
+
+
 def _kind_wanted(field: T.StructField) -> str:
     if isinstance(field.dataType, T.StructType):
         return "object or array" if field.metadata.get(ARRAY_READS_AS_NULL) else "object"

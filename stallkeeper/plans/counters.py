@@ -78,6 +78,39 @@ def request_counters(outcomes: DataFrame, refused_messages: DataFrame | None = N
     return rows
 
 
+QUANTILES = {"median_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+
+
+def request_times(outcomes: DataFrame, batch_id: int | None = None) -> DataFrame:
+    """How long requests took, per type: ``batch, effective_type, requests, last_ms, last_at, times``.
+
+    ``outcomes`` has ``took_ms`` (null while a request is pending) and ``finished_at``.  ``times`` is a
+    sketch of fixed size that merges with those of other batches, see :func:`merged_times`; ``last_ms``
+    is the time of the request that ended last.
+    """
+    ended = outcomes.where(F.col("took_ms").isNotNull() & (F.col("status") != "pending"))
+    last = F.struct("finished_at", "request_id")
+    return ended.groupBy("effective_type").agg(
+        F.count("*").alias("requests"),
+        F.max_by("took_ms", last).alias("last_ms"),
+        F.max("finished_at").alias("last_at"),
+        F.kll_sketch_agg_bigint("took_ms").alias("times"),
+    ).select(F.lit(batch_id).cast("bigint").alias("batch"), "effective_type", "requests", "last_ms", "last_at", "times")
+
+
+def merged_times(times: DataFrame, quantiles: dict[str, float] | None = None) -> DataFrame:
+    """Times of all batches together, from rows of :func:`request_times`: requests, the last time, quantiles."""
+    merged = times.groupBy("effective_type").agg(
+        F.sum("requests").alias("requests"),
+        F.max_by("last_ms", F.struct("last_at", "batch")).alias("last_ms"),
+        F.kll_merge_agg_bigint("times").alias("times"),
+    )
+    points = [
+        F.kll_sketch_get_quantile_bigint("times", F.lit(q)).alias(name) for name, q in (quantiles or QUANTILES).items()
+    ]
+    return merged.select("effective_type", "requests", "last_ms", *points)
+
+
 def fetch_outcomes(**landed: DataFrame) -> DataFrame:
     """Responses per endpoint and outcome; pass one landing table per endpoint."""
     rows = [

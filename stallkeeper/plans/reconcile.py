@@ -377,6 +377,37 @@ def prepare(
     )
 
 
+def shared_work(requests: DataFrame, options: Options = Options()) -> tuple[DataFrame, DataFrame]:
+    """Requests that ask for the same are one: those to reconcile, and (request_id, of, stamp) for all.
+
+    ``of`` is the request that is reconciled for them, the one with the smallest id.  With a limit on
+    the age of responses, requests made at different times are not the same.
+    """
+    asked = ["request_type", *lookups.ITEM_KEY, "listing_id", "max_inventory_size"]
+    if options.max_age_ms is not None:
+        asked.append("generation_timestamp")
+    # Absent fields are left out of the text, and names are in it, so equal texts ask for the same.
+    keyed = requests.withColumn("asked", F.to_json(F.struct(*asked)))
+    first = keyed.groupBy("asked").agg(F.min("request_id").alias("of"))
+    members = keyed.select("request_id", "asked", F.col("generation_timestamp").alias("stamp")).join(first, "asked")
+    representatives = requests.join(first.select(F.col("of").alias("request_id")), "request_id", "left_semi")
+    return representatives.select(*requests.columns), members.select("request_id", "of", "stamp")
+
+
+def for_every_request(df: DataFrame, members: DataFrame) -> DataFrame:
+    """Rows of reconciled requests (events, outcomes or verdicts), for each request that they stand for."""
+    columns = {c: F.col(c) for c in df.columns}
+    rows = df.withColumnRenamed("request_id", "of").join(members, "of")
+    if "generation_timestamp" in columns:
+        columns["generation_timestamp"] = F.col("stamp").cast("bigint").alias("generation_timestamp")
+    return rows.select(*columns.values())
+
+
+def newest_of(members: DataFrame) -> DataFrame:
+    """Of the requests that ask for the same, the last: its events leave the table as those of all would."""
+    return members.groupBy("of").agg(F.max_by("request_id", F.struct("stamp", "request_id")).alias("request_id"), F.max("stamp").alias("stamp"))
+
+
 def buy_truth(steps: Steps) -> DataFrame:
     """Confirmed buy listings of requests that emit buy events."""
     verdicts = steps.verdicts.where("emit_buy").select("request_id", "generation_timestamp", "buy_until")
@@ -501,14 +532,24 @@ def ordered_events(reconciled: DataFrame) -> DataFrame:
     )
 
 
-def outcomes(steps: Steps, reconciled: DataFrame, finished_at: Column | None = None) -> DataFrame:
-    """One row per request: status, reason, how many events it led to, and given an end the milliseconds it took."""
-    took = [] if finished_at is None else [(finished_at - F.col("generation_timestamp")).cast("bigint").alias("took_ms")]
+def outcomes(
+    steps: Steps, reconciled: DataFrame, finished_at: Column | None = None, members: DataFrame | None = None
+) -> DataFrame:
+    """One row per request: status, reason, how many events it led to, and given an end the milliseconds it took.
+
+    ``members``: of :func:`shared_work`, for a row per request that asked for the same.
+    """
+    took = []
+    if finished_at is not None:
+        took = [finished_at.cast("bigint").alias("finished_at"), (finished_at - F.col("generation_timestamp")).cast("bigint").alias("took_ms")]
     counts = reconciled.groupBy("request_id").agg(
         F.count_if(F.col("event") == UPDATE_EVENT).alias("updates"),
         F.count_if(F.col("event") == DELETE_EVENT).alias("deletes"),
     )
-    return steps.verdicts.join(counts, "request_id", "left").select(
+    judged = steps.verdicts.join(counts, "request_id", "left")
+    if members is not None:
+        judged = for_every_request(judged, members)
+    return judged.select(
         "request_id",
         "effective_type",
         "status",
@@ -536,7 +577,7 @@ def _outcomes_without_events(requests: DataFrame, status: str, reason: Column) -
         F.lit(status).alias("status"),
         reason.alias("reason"),
         *[F.lit(0).cast("bigint").alias(c) for c in ("updates", "deletes")],
-        F.lit(None).cast("bigint").alias("took_ms"),
+        *[F.lit(None).cast("bigint").alias(c) for c in ("finished_at", "took_ms")],
     )
 
 

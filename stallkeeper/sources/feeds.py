@@ -43,6 +43,10 @@ OWNED_BY_SPARK = (
     "group.id",
 )
 LATEST = "latest"
+# Options that say when a batch of a stream starts and how much it takes.
+TRIGGERS = ("maxOffsetsPerTrigger", "minOffsetsPerTrigger", "maxTriggerDelay")
+# An upsert batch ends with so many messages or so much later, whichever is first.
+BATCH_MESSAGES, BATCH_DELAY = 10, "200ms"
 
 
 def consumer_properties(environment: Mapping[str, str]) -> dict[str, str]:
@@ -62,13 +66,20 @@ def kafka_options(
     start: int | str | None = None,
     properties: Mapping[str, str] | None = None,
     max_offsets_per_trigger: int | None = None,
+    min_offsets_per_trigger: int | None = None,
+    max_trigger_delay: str | None = None,
     now_ms: int | None = None,
 ) -> tuple[dict[str, str], dict[str, str]]:
     """Reader options, and the given consumer properties Spark does not accept.
 
     ``start`` is ``"latest"``, epoch milliseconds, or unset for thirty minutes
-    ago.  Given properties beat the defaults.
+    ago.  Given properties beat the defaults.  With ``min_offsets_per_trigger`` a
+    batch starts as soon as so many messages are there, or ``max_trigger_delay``
+    (:data:`BATCH_DELAY` when unset) after the last one; start the query with an
+    interval of zero then.
     """
+    if max_trigger_delay is not None and min_offsets_per_trigger is None:
+        raise ValueError("max_trigger_delay needs min_offsets_per_trigger")
     for name, value in (("brokers", brokers), *(("topic", t) for t in topics or [""])):
         if not value or not value.strip():
             raise ValueError(f"{name} must be given")
@@ -91,6 +102,9 @@ def kafka_options(
         options["startingOffsetsByTimestampStrategy"] = "latest"
     if max_offsets_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_offsets_per_trigger is not None:
+        options["minOffsetsPerTrigger"] = str(min_offsets_per_trigger)
+        options["maxTriggerDelay"] = max_trigger_delay or BATCH_DELAY
     return options, refused
 
 
@@ -102,7 +116,7 @@ def kafka_stream(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
 
 def kafka_batch(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     """What the topics hold now, for a bounded run."""
-    kept = {k: v for k, v in options.items() if k not in ("maxOffsetsPerTrigger",) and v != LATEST}
+    kept = {k: v for k, v in options.items() if k not in TRIGGERS and v != LATEST}
     return in_message_shape(spark.read.format("kafka").options(**kept).load())
 
 

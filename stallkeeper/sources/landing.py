@@ -71,30 +71,67 @@ def _document(landed: DataFrame, body: str, reader: Reader) -> DataFrame:
     return read.select(*landed.columns, F.inline_outer(values))
 
 
-def snapshot_entries(landed: DataFrame) -> DataFrame:
+def snapshot_entries(landed: DataFrame, split_chars: int | None = None) -> DataFrame:
     """Snapshot pages to listings: one row per listing, in snapshot order.
 
     A page without listings keeps one row with a null ``pos``, so that the
     state of every page survives.  ``has_listings`` is false for a page whose
-    list is absent; ``is_null`` marks a response that is JSON null.  A snapshot
-    without ``page`` is one text in one task: land large items in pages.  With
+    list is absent; ``is_null`` marks a response that is JSON null.  With
     ``snapshot_at``, pages of a snapshot's older versions are left out.
+
+    A page is one text in one task.  Where whole snapshots land as one, give
+    ``split_chars``: longer pages are cut between their listings and dealt to all
+    tasks before listings are read, see :func:`split_pages`.
     """
     pages = landed if "page" in landed.columns else landed.withColumn("page", F.lit(0).cast("bigint"))
     if "snapshot_at" in pages.columns:
         current = pages.groupBy(*SNAPSHOT_KEY).agg(F.max("snapshot_at").alias("snapshot_at"))
         pages = pages.join(current, [*SNAPSHOT_KEY, "snapshot_at"], "left_semi")
-    read = _document(_newest(pages, *SNAPSHOT_KEY, "page"), "body", _SNAPSHOT)
+    pages = _newest(pages, *SNAPSHOT_KEY, "page")
+    if split_chars is not None:
+        pages = split_pages(pages, split_chars)
+    read = _document(pages, "body", _SNAPSHOT)
     listings = F.when(F.col("state") == "ok", F.col("document.listings"))
-    return read.select(
+    entries = read.select(
         *SNAPSHOT_KEY,
         "page",
         "fetched_at",
         "state",
         (F.col("state").eqNullSafe("ok") & F.col("document").isNull()).alias("is_null"),
         listings.isNotNull().alias("has_listings"),
+        *([] if split_chars is None else ["first_pos"]),
         F.posexplode_outer(listings).alias("pos", "listing"),
     )
+    if split_chars is None:
+        return entries
+    return entries.withColumn("pos", F.col("pos") + F.col("first_pos")).drop("first_pos")
+
+
+def split_pages(pages: DataFrame, split_chars: int) -> DataFrame:
+    """Pages with bodies longer than ``split_chars`` cut into several, and ``first_pos``, the place of a part's first listing.
+
+    A long body is read once as it is, without a look at its listings; parts of about ``split_chars``
+    are texts of their own, so the costly typed reading is spread.  The first part keeps the other
+    fields of the body.  What has no list of listings stays whole.  A part that is unreadable leaves
+    its snapshot open, as the whole page would.
+    """
+    long = F.col("http_status").eqNullSafe(200) & (F.coalesce(F.length("body"), F.lit(0)) > split_chars)
+    short = pages.where(~long).withColumn("first_pos", F.lit(0))
+    names = [c for c in pages.columns if c != "body"]
+    read = pages.where(long).select(*names, "body", wire.parse(F.col("body")).alias("v"))
+    items = F.try_variant_get("v", "$.listings", "array<variant>")
+    rest = F.to_json(F.struct(*[F.try_variant_get("v", f"$.{f.name}", "variant").alias(f.name) for f in SNAPSHOT.fields if f.name != "listings"]))
+    held = read.select(*names, "body", rest.alias("rest"), items.alias("items"))
+    n = F.size("items")
+    step = F.greatest(F.lit(1), F.floor(n * F.lit(split_chars) / F.length("body")).cast("int"))
+    starts = F.when(n > 0, F.sequence(F.lit(0), n - 1, step))
+    cut = held.select(*names, "body", "rest", "items", step.alias("step"), F.explode_outer(starts).alias("start"))
+    listings = F.to_json(F.slice("items", F.col("start") + 1, F.col("step")))
+    head = F.when((F.col("start") == 0) & (F.col("rest") != "{}"), F.expr("concat(left(rest, length(rest) - 1), ',')")).otherwise("{")
+    text = F.when(F.col("start").isNull(), F.col("body")).otherwise(F.concat(head, F.lit('"listings":'), listings, F.lit("}")))
+    parts = cut.select(*names, text.alias("body"), F.coalesce("start", F.lit(0)).alias("first_pos"))
+    dealt = parts.repartition(*SNAPSHOT_KEY, "page", "first_pos")
+    return short.unionByName(dealt.select(*short.columns))
 
 
 def snapshot_states(entries: DataFrame) -> DataFrame:

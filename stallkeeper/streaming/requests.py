@@ -4,7 +4,7 @@
 one plan.  Where that fails, halves of them are tried, down to the one request that cannot be reconciled;
 the others are answered.  A request that fails is tried again with later batches, so many times, before
 it has failed for good; an error that no request can be told to cause counts against none.  What a batch
-leaves (``outcomes``, ``waiting``, ``request_rejects``) is keyed by its id, and every path writes it.
+leaves (``outcomes``, ``waiting``, ``request_rejects``, ``request_times``) is keyed by its id.
 
 :class:`RequestJob` runs requests in a streaming query of their own, with a start and checkpoint of its own.
 It does not write the table: the events it arrives at are files that the feed's query reads as a second
@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from stallkeeper.functions.times import now_ms
 from stallkeeper.operators import parse
 from stallkeeper.operators.requests import PARTS_BY_TYPE
-from stallkeeper.plans import reconcile
+from stallkeeper.plans import counters, reconcile
 from stallkeeper.schemas import LISTING_UPDATE, REQUEST_TABLE, REQUEST_TYPES, record
 from stallkeeper.session import Cut, stored, table_cut
 from stallkeeper.streaming.table import ListingTable
@@ -147,7 +147,8 @@ class Requests:
             waiting.append(part.where(~ends))
             outcomes.append(reconcile.pending_outcomes(part.where(~ends), "last_error"))
             outcomes.append(reconcile.failed_outcomes(part.where(ends), F.col("last_error")))
-        self._write(reduce(DataFrame.unionByName, outcomes), "outcomes", batch_id)
+        ended = stored(reduce(DataFrame.unionByName, outcomes), self.path("outcomes", batch_id))
+        self._write(counters.request_times(ended, batch_id), "request_times", batch_id)
         self._write(reduce(DataFrame.unionByName, waiting), "waiting", batch_id)
         return reduce(DataFrame.unionByName, [a.events for a in done]) if done else None
 
@@ -155,12 +156,15 @@ class Requests:
         listings = cut(self.table.read_for(requests, before_batch), "listings")
         snapshots, inventories, details = responses
         market = reconcile.Market(listings, snapshots, details, inventories)
-        steps = reconcile.prepare(requests.select(*REQUEST_TABLE.names), market, self.options, self.parts_by_type, cut)
+        asked, members = reconcile.shared_work(requests.select(*REQUEST_TABLE.names), self.options)
+        asked, members = cut(asked, "asked"), cut(members, "members")
+        steps = reconcile.prepare(asked, market, self.options, self.parts_by_type, cut)
         events = cut(reconcile.events(steps, listings), "events")
-        outcomes = cut(reconcile.outcomes(steps, events, now_ms()), "outcomes")
-        pending = steps.verdicts.where(F.col("status") == "pending").select("request_id")
+        outcomes = cut(reconcile.outcomes(steps, events, now_ms(), members), "outcomes")
+        pending = outcomes.where(F.col("status") == "pending").select("request_id")
         waiting = cut(requests.join(pending, "request_id", "left_semi").select(*WAITING.names), "waiting")
-        return Answered(outcomes, waiting, reconcile.ordered_events(events))
+        written = reconcile.for_every_request(events, reconcile.newest_of(members))
+        return Answered(outcomes, waiting, reconcile.ordered_events(written))
 
     def _waiting(self, batch_id: int) -> DataFrame:
         """Requests that were still open after the last batch that looked at requests."""

@@ -195,7 +195,31 @@ def test_round_trip(spark, raw_messages):
     again = wire.Reader(LISTING_UPDATE).read(text, "j", "v")
     row = again.first()
     assert row["u"].asDict(True) == row["v"].asDict(True)
-    assert row["v_fit"] == wire.ODD  # a counter's item is looked at one by one
+    # A counter's item, text by now, is read by itself: the document needs no second reading.
+    assert row["v_fit"] == wire.SOUND
+
+
+def test_a_counters_item_costs_no_second_reading(spark, raw_messages):
+    """Its text is checked alone; what is wrong with it still rejects the message."""
+    def counter(item):
+        return envelope({"id": "1", "item": {"strangeParts": [{"score": 1, "killEater": {"id": 2, "item": item}}, {"score": 3}]}})
+
+    items = {
+        "plain": ({"defindex": 7, "name": "x", "tradable": True, "class": ["a"], "quality": {"id": 5}}, wire.SOUND),
+        "opaque": ({"tag": {"a": [1]}, "strangeParts": [{"killEater": {"item": {"defindex": "x"}}}]}, wire.SOUND),
+        "coerced": ({"defindex": "7", "level": 2.5}, wire.ODD),
+        "list for a price": ({"price": []}, wire.ODD),
+        "text": (json.dumps({"defindex": 7}), wire.SOUND),
+        "any text": ("words", wire.ODD),
+        "word": ({"defindex": "x"}, wire.BAD),
+        "object for a text": ({"name": {"a": 1}}, wire.BAD),
+        "word in a list": ({"spells": [{"defindex": "x"}]}, wire.BAD),
+        "list": ([1], wire.BAD),
+        "null": (None, wire.SOUND),
+    }
+    read = parse._read(raw_messages([counter(i) for i, _ in items.values()]), ["offset"], parse._FEED)
+    found = {r["offset"]: r["document_fit"] for r in read.collect()}
+    assert {name: found[k] for k, name in enumerate(items)} == {name: fit for name, (_, fit) in items.items()}
 
 
 def test_requests(spark, raw_messages):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -197,6 +198,35 @@ DETAIL = "listing_id string, http_status int, body string, fetched_at bigint"
 GOOD = '{"id": "x"}'
 
 
+def test_batches_by_count_or_time():
+    options = feeds.kafka_options("b", ["t"], min_offsets_per_trigger=feeds.BATCH_MESSAGES)[0]
+    assert (options["minOffsetsPerTrigger"], options["maxTriggerDelay"]) == ("10", "200ms")
+    options = feeds.kafka_options("b", ["t"], min_offsets_per_trigger=3, max_trigger_delay="1s")[0]
+    assert (options["minOffsetsPerTrigger"], options["maxTriggerDelay"]) == ("3", "1s")
+    assert not set(feeds.TRIGGERS) & set(feeds.kafka_options("b", ["t"])[0])
+    with pytest.raises(ValueError):
+        feeds.kafka_options("b", ["t"], max_trigger_delay="1s")
+
+
+def test_request_times_merge(spark):
+    """Sketches of batches merge to what all outcomes together give."""
+    rows = [(f"r{i}", "FULL" if i % 3 else "BUY_ONLY", "pending" if i == 4 else "failed" if i % 5 else "processed", 1000 + i * 7 % 50, i * 13 % 101) for i in range(90)]
+    rows.append(("r_none", "FULL", "failed", None, None))
+    df = spark.createDataFrame(rows, "request_id string, effective_type string, status string, finished_at bigint, took_ms bigint")
+    whole = counters.merged_times(counters.request_times(df)).collect()
+    parts = [counters.request_times(df.where(F.xxhash64("request_id") % 3 == k), k) for k in (-2, -1, 0, 1, 2)]
+    batches = parts[0]
+    for part in parts[1:]:
+        batches = batches.unionByName(part)
+    assert sorted(map(tuple, counters.merged_times(batches).collect())) == sorted(map(tuple, whole))
+    for kind, n, last, median, p95, p99 in whole:
+        of = sorted(r[4] for r in rows if r[1] == kind and r[2] != "pending" and r[4] is not None)
+        at = max((r for r in rows if r[1] == kind and r[2] != "pending" and r[4] is not None), key=lambda r: (r[3], r[0]))
+        assert (n, last) == (len(of), at[4])
+        assert [median, p95, p99] == [of[-(-len(of) * q // 100) - 1] for q in (50, 95, 99)]
+    assert counters.merged_times(counters.request_times(df.limit(0))).count() == 0
+
+
 def test_states_of_responses(spark):
     snapshots = spark.createDataFrame(
         [("a", 440, 0, 1, 200, '{"listings": []}'), ("a", 440, 1, 1, 429, None), ("b", 440, 0, 1, 200, "null"),
@@ -283,3 +313,67 @@ def test_frontier_stops_at_the_first_hit(spark):
     assert calls == {r: n for r, n in want.items() if n}
     states = spark.createDataFrame([("detail", k, 0, None, 1, v) for k, v in truth.items()], landing.STATES)
     assert {r.request_id: r.calls for r in worklist.calls_to_hit(steps, states).collect()} == calls
+
+
+def test_long_pages_are_cut_between_listings(spark):
+    """Parts give the same entries, and the same states, as whole pages do."""
+    def listing(i):
+        return {"intent": "sell", "steamid": f"s{i}", "details": f'a "quoted" }},{{ text, é {i}', "price": i / 4, "item": {"defindex": i, "attributes": [{"x": [1, 2]}]}}
+
+    whole = {"appid": 440, "sku": 'It"em', "createdAt": 5, "listings": [listing(i) for i in range(57)]}
+    bodies = {
+        "many": whole, "none": {"listings": []}, "absent": {"appid": 440, "sku": "x" * 900}, "null list": {"listings": None, "sku": "x" * 900},
+        "bad listing": whole | {"listings": [listing(i) for i in range(20)] + [{"offers": "x"}]},
+        "bad field": whole | {"appid": "x"}, "null listing": whole | {"listings": [None, listing(1)] * 20}, "no list": {"listings": {"a": "b" * 900}},
+        "text price": whole | {"listings": [listing(i) | {"price": str(i)} for i in range(30)]},
+    }
+    rows = [(name, 440, k % 3, 200, json.dumps(body)) for k, (name, body) in enumerate(bodies.items())]
+    rows += [("broken", 440, 0, 200, json.dumps(whole)[:-9]), ("gone", 440, 0, 404, "x" * 900), ("waits", 440, 0, None, None)]
+    landed = spark.createDataFrame(rows, "market_name string, appid int, page bigint, http_status int, body string")
+    plain, cut = landing.snapshot_entries(landed), landing.snapshot_entries(landed, split_chars=300)
+    states = {r.market_name: r.snapshot_state for r in landing.snapshot_states(plain).collect()}
+    assert states == {r.market_name: r.snapshot_state for r in landing.snapshot_states(cut).collect()}
+    assert states["many"] == "ready" and states["bad listing"] == "pending" and states["bad field"] == "pending"
+    ready = [name for name, state in states.items() if state == "ready"]
+    columns = ["market_name", "page", "pos", F.to_json("listing").alias("listing")]
+
+    def entries(df):
+        return sorted(map(str, df.where(F.col("market_name").isin(ready) & F.col("pos").isNotNull()).select(*columns).collect()))
+
+    assert entries(plain) == entries(cut) and len(entries(cut)) > 100
+    # The parts are short, and are dealt out before their listings are read.
+    parts = landing.split_pages(landed.where("market_name = 'many'"), 300)
+    assert parts.count() > 20 and parts.agg(F.max(F.length("body"))).first()[0] < 700
+    text = cut._jdf.queryExecution().executedPlan().toString()
+    assert text.rindex("from_json") < text.index("hashpartitioning(market_name")
+
+
+def test_report_follows_changes(spark):
+    """Updates, deletes, revivals and moves between items, batch by batch, against the report of the whole table."""
+    import random
+
+    from stallkeeper.operators import fold, merge
+
+    random.seed(8)
+    state, report, now = merge.empty_table(spark), reports.by_item(merge.empty_table(spark)), 0
+    for batch in range(6):
+        rows = []
+        for _ in range(25):
+            now += random.randint(0, 2)
+            item = {"defindex": random.choice([1, 2, 3]), "quality": {"id": random.choice([5, 6])} if random.random() < 0.8 else None}
+            payload = {"id": f"l{random.randint(0, 14)}", "steamid": "s", "intent": random.choice(["buy", "sell"]), "item": item}
+            rows.append({"event": random.choice(["listing-update"] * 2 + ["listing-delete"]), "payload": payload})
+        texts = [(json.dumps({"data": [r]}), "listings", 0, 100 * batch + k, now) for k, r in enumerate(rows)]
+        raw = spark.createDataFrame(texts, "value string, topic string, partition int, offset bigint, at bigint")
+        raw = raw.selectExpr("value", "topic", "partition", "offset", "timestamp_millis(at) as timestamp")
+        from stallkeeper.operators import parse
+
+        events = parse.listing_events(parse.parse_listing_messages(raw))
+        changes = spark.createDataFrame(fold.fold(fold.table_events(events, F.col("ord_time"))).collect(), fold.fold(fold.table_events(events, F.col("ord_time"))).schema)
+        after = merge.merge(state, changes)
+        report = reports.by_item_after(report, reports.item_deltas(state, changes), after)
+        state = spark.createDataFrame(after.collect(), LISTINGS)
+        report = spark.createDataFrame(report.collect(), report.schema)
+        want = {tuple(r) for r in reports.by_item(state).collect()}
+        assert {tuple(r) for r in report.collect()} == want
+    assert len(want) > 4

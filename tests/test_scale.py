@@ -111,6 +111,33 @@ def test_open_calls_read_no_body(spark, bound):
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
 
 
+def test_requests_for_the_same_share_their_work(spark, bound):
+    """Many requests for one item make the rows of one, and the events of many."""
+    one = bound.requests.where("request_id = 'r02'")
+    many = one.crossJoin(spark.range(300).withColumnRenamed("id", "n")).withColumns(
+        {"request_id": F.concat_ws("-", "request_id", "n"), "generation_timestamp": F.col("generation_timestamp") + F.col("n")}
+    ).drop("n")
+    market, found = queries.market(spark, SF_DIR), []
+    for requests in (one, many):
+        asked, members = reconcile.shared_work(requests, reconcile.Options(True))
+        steps = reconcile.prepare(asked, market, reconcile.Options(True), cut=session.table_cut(spark))
+        events = reconcile.events(steps, market.listings)
+        found.append((steps.answered.count(), steps.scans.count(), steps.stored.count(), steps.verdicts.count(), events.count()))
+        if requests is many:
+            all_events = reconcile.for_every_request(events, members)
+            assert all_events.count() == 300 * events.count()
+            assert all_events.select("request_id", "generation_timestamp").distinct().count() == 300
+            newest = reconcile.for_every_request(events, reconcile.newest_of(members))
+            assert newest.count() == events.count()
+            assert newest.select("generation_timestamp").distinct().first()[0] == many.agg(F.max("generation_timestamp")).first()[0]
+            outcomes = reconcile.outcomes(steps, events, members=members)
+            assert outcomes.count() == 300 and outcomes.select("updates", "deletes", "status").distinct().count() == 1
+    assert found[0] == found[1] and found[0][-1] > 0
+    # With a limit on age, requests made at different times are judged apart.
+    apart, _ = reconcile.shared_work(many, reconcile.Options(max_age_ms=5))
+    assert apart.count() == 300
+
+
 def test_counters_parse_once(bound):
     text = plan(counters.feed_counters(bound.messages, parse.parse_listing_messages(bound.messages)))
     scans = [line for line in text.splitlines() if "FileScan" in line]
