@@ -37,7 +37,7 @@ RUN_TERMS, RUN_BYTES = 50_000, 4 << 20
 # Rows of a run are dealt to so many tasks, each with the run's transducer.
 SALTS = 4
 # Texts cut into terms at once; their counts are combined before they are passed on.
-BYTES_AT_ONCE = 16 << 20
+BYTES_AT_ONCE = 6 << 20
 # Cells of a dense table, and its ordinals at most; cells of summed divergences held.
 CELLS, BLOCK, HELD_CELLS = 1 << 20, 4096, 4 << 20
 

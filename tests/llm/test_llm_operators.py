@@ -81,9 +81,10 @@ def test_encoding_of_every_code_point():
 def test_pre_tokens_of_every_code_point():
     path = public_tokenizers.path("byte_bpe_50k.json")
     split, counter = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str, token_counts.Counter(path)
-    for c in code_points():
-        text = f"a{c} {c}1 1{c}a's{c}  {c}"
-        assert counter.pre_tokens(text)[0] == [text[a:b] for _, (a, b) in split(text)], hex(ord(c))
+    points = code_points()
+    for start in range(0, len(points), 64):
+        text = "x".join(f"a{c} {c}1 1{c}a's{c}  {c}" for c in points[start : start + 64])
+        assert counter.pre_tokens(text)[0] == [text[a:b] for _, (a, b) in split(text)], hex(ord(points[start]))
 
 
 @pytest.fixture(scope="module")
