@@ -62,6 +62,12 @@ def table_cut(spark: SparkSession, folder: str | None = None) -> Cut:
     return lambda df, name: stored(df, f"{base}/{name}")
 
 
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a table that no one reads any more, wherever it lies."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop_path, True)
+
+
 def no_cut(df: DataFrame, name: str) -> DataFrame:
     """Leave the plan whole; right for small inputs and for inspecting plans."""
     return df
