@@ -1,18 +1,21 @@
 """Judge urls by rules, and beyond them by the labelled purity of path templates.
 
-Paths of a host form a tree.  Digits and hex runs in a segment become wildcards by shape; segments of one
-unlabelled url, which tell nothing apart, become one ``*``.  Going down, siblings whose shares of bad urls
-do not differ significantly are merged, and each node's share is smoothed towards its parent's, so a branch
-with few labels is judged like what lies above it.  Below ``DEPTH`` levels, a node goes on down its paths
-while their shares differ, however long they are, and is final once they do not.
-
-Urls are counted by host and shape first, combined before the shuffle; the levels work on those counts.
-Any number of segments stay apart.  For merging, siblings with equal counts are one entry, so a parent's
-list has one for each different pair of counts, not one for each child.
+Paths of a host form a tree.  Digits and hex runs in a segment become wildcards by shape.  Going down, the
+children of a node are dealt to bins by their share of bad urls; bins are pooled in order while their shares
+do not differ significantly, and what is left are the node's branches.  A branch of one segment keeps it, one
+of several becomes a wildcard, and its paths go on as one.  The share of a branch is smoothed towards its
+parent's, so one with few labels is judged like what lies above it; where all children are one branch they
+tell nothing, and are judged as their parent.  A node is final once its urls do not differ.  This holds at
+every level, however long paths are.
+
+Urls are counted by host and shape first, combined before the shuffle; the levels work on those counts.  A
+node's children are combined by bin before any shuffle too, so a list has BINS entries at most, however many
+children a node has.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,13 +24,10 @@ from pyspark.sql import functions as F
 from stallkeeper.llm.text import lower_ascii
 from stallkeeper.session import Cut, table_cut
 
-# Levels down to which every node is judged; deeper ones are where a node's urls still differ.
-DEPTH = 4
-# A segment stays literal if it has this many urls, or a labelled one.
-MIN_URLS = 2
-# Not looked at here any more; the plain version in the tests reads it.
-MIN_SHARE = 0.02
-# A sibling joins a branch if the z value of their bad shares is below this.
+# Bins of bad shares, of equal width in the angle whose sine squared is the share: there, shares of equal
+# weight spread alike.
+BINS = 32
+# A bin joins a branch if the z value of their bad shares is below this.
 SIMILAR = 1.96
 # Weight of the parent's share, the share assumed above all hosts, and what an unlabelled url counts as good.
 PRIOR = 4.0
@@ -84,45 +84,58 @@ def _apart(bad: Column, weight: Column, other_bad: Column, other_weight: Column,
     return (gap > 0) & (gap >= similar * spread)
 
 
-def _merged(nodes: DataFrame, similar: float) -> DataFrame:
-    """Siblings with bad shares that do not differ significantly get their shares pooled.
+def bin_borders() -> list[float]:
+    """Shares at which bins begin, but for the first; the last begins at 1."""
+    return [math.sin(math.pi / 2 * k / BINS) ** 2 for k in range(1, BINS)] + [1.0]
 
-    In the order of their shares, each sibling joins the branch before it or, if it differs from all of that
+
+def _bin(share: Column) -> Column:
+    """How many borders a share has reached."""
+    return F.size(F.filter(F.array(*map(F.lit, bin_borders())), lambda border: border <= share))
+
+
+def _branched(children: DataFrame, similar: float) -> DataFrame:
+    """Children with their branch: its number, bad urls, weight and children, and how many branches there are.
+
+    In the order of their shares, each bin joins the branch before it or, if it differs from all of that
     branch together, starts the next.
     """
-    nodes = nodes.withColumn("weight", _weight()).withColumn("share", F.col("bad") / F.col("weight"))
-    alike = nodes.groupBy("host", "template", "share", "weight").agg(F.first("bad").alias("bad"), F.count("*").alias("of"))
-    lists = alike.groupBy("host", "template").agg(
-        F.array_sort(F.collect_list(F.struct("share", "weight", "bad", "of"))).alias("siblings")
+    children = children.withColumn("weight", _weight()).withColumn("bin", _bin(F.col("bad") / F.col("weight")))
+    bins = children.groupBy("host", "template", "bin").agg(
+        F.sum("bad").alias("bad"), F.sum("weight").alias("weight"), F.count("*").alias("of")
     )
+    lists = bins.groupBy("host", "template").agg(F.array_sort(F.collect_list(F.struct("bin", "bad", "weight", "of"))).alias("bins"))
 
-    def branch(s: Column, bad: Column, weight: Column) -> list[Column]:
-        return [s["share"].alias("share"), s["weight"].alias("last"), bad.alias("bad"), weight.alias("weight")]
-
-    def start(s: Column) -> Column:
-        return F.struct(*branch(s, s["bad"] * s["of"], s["weight"] * s["of"]))
+    def joined(s: Column, t: Column) -> Column:
+        """A branch up to bin ``t``."""
+        return F.struct(t["bin"].alias("bin"), *[(s[c] + t[c]).alias(c) for c in ("bad", "weight", "of")])
 
     def step(so_far: Column, s: Column) -> Column:
         now = so_far["now"]
-        grown = F.struct(*branch(s, now["bad"] + s["bad"] * s["of"], now["weight"] + s["weight"] * s["of"]))
         return F.when(
             _apart(now["bad"], now["weight"], s["bad"], s["weight"], similar),
-            F.struct(F.array_append(so_far["done"], now).alias("done"), start(s).alias("now")),
-        ).otherwise(F.struct(so_far["done"].alias("done"), grown.alias("now")))
+            F.struct(F.array_append(so_far["done"], now).alias("done"), s.alias("now")),
+        ).otherwise(F.struct(so_far["done"].alias("done"), joined(now, s).alias("now")))
 
-    none = F.array().cast("array<struct<share:double,last:double,bad:double,weight:double>>")
+    none = F.array().cast("array<struct<bin:int,bad:double,weight:double,of:bigint>>")
     branches = F.aggregate(
-        F.slice("siblings", F.lit(2), F.size("siblings")),
-        F.struct(none.alias("done"), start(F.get("siblings", F.lit(0))).alias("now")),
+        F.slice("bins", F.lit(2), F.size("bins")),
+        F.struct(none.alias("done"), F.get("bins", F.lit(0)).alias("now")),
         step,
         lambda end: F.array_append(end["done"], end["now"]),
     )
     lists = lists.select("host", "template", branches.alias("branches"))
-    # A sibling's branch is the first that does not end before it.
-    own = F.get(F.filter("branches", lambda b: F.struct(b["share"], b["last"]) >= F.struct("share", "weight")), F.lit(0))
-    return nodes.join(lists, ["host", "template"]).withColumns(
-        {"branch_bad": own["bad"], "branch_weight": own["weight"], "branches": F.size("branches")}
-    ).drop("share", "weight")
+    # A child's branch is the first that does not end before its bin.
+    number = F.size(F.filter("branches", lambda b: b["bin"] < F.col("bin")))
+    own = F.get("branches", number)
+    return children.join(lists, ["host", "template"]).select(
+        *children.drop("weight", "bin").columns,
+        number.alias("branch"),
+        own["bad"].alias("branch_bad"),
+        own["weight"].alias("branch_weight"),
+        own["of"].alias("branch_of"),
+        F.size("branches").alias("branches"),
+    )
 
 
 def judge_urls(
@@ -131,16 +144,16 @@ def judge_urls(
     id_col: str = "page_id",
     url_col: str = "url",
     bad_words: tuple[str, ...] = BAD_WORDS,
-    depth: int = DEPTH,
+    label_col: str | None = None,
     cut: Cut | None = None,
 ) -> DataFrame:
     """(id, host, path, rule, verdict, template, purity) of every row of ``pages``.
 
     ``rules`` map a host and path prefix to ``block`` or ``allow``; the longest that fits gives the verdict.
     Other urls are judged by their template: ``block`` if its smoothed share of bad urls (``purity``)
-    reaches REJECT.  Urls that a rule blocks are bad and those it allows good; of the others, hosts with a
-    bad word in their name are bad, and the rest are unlabelled.  Below ``depth`` levels, nodes are split only
-    where their urls differ significantly.
+    reaches REJECT.  Urls that a rule blocks are bad and those it allows good; of the others those are bad or
+    good that ``label_col`` (a boolean column of ``pages``, say of what a classifier makes of their text) calls
+    so, then hosts with a bad word in their name are bad, and the rest are unlabelled.
 
     Null urls and those without ``://`` have an empty host and path and one template of their own.  Null
     ids are carried; rows that repeat count and are judged each; no rows give no rows; other columns of
@@ -148,10 +161,12 @@ def judge_urls(
     """
     cut = cut or table_cut(pages.sparkSession)
     host, path = host_and_path(pages[url_col])
-    urls = pages.select(pages[id_col].alias("id"), host.alias("host"), path.alias("path"))
+    label = F.lit(None) if label_col is None else pages[label_col]
+    urls = pages.select(pages[id_col].alias("id"), host.alias("host"), path.alias("path"), label.cast("boolean").alias("label"))
     rule, given = longest_rule(F.col("host"), F.col("path"), rules)
     named = F.arrays_overlap(F.split("host", r"[.\-]"), F.array(*map(F.lit, bad_words)).cast("array<string>"))
-    bad = F.when(given == "block", 1.0).when(given == "allow", 0.0).when(named, 1.0)
+    bad = F.when(given == "block", 1.0).when(given == "allow", 0.0)
+    bad = bad.when(F.col("label"), 1.0).when(~F.col("label"), 0.0).when(named, 1.0)
     urls = urls.select("id", "host", "path", rule.alias("rule"), given.alias("given"), bad.alias("bad"), segments(F.col("path")).alias("parts"))
 
     tree = cut(
@@ -178,34 +193,30 @@ def judge_urls(
         part = F.get("parts", F.lit(level))
         # Paths that end above this level stay where they are.
         tree = cut(tree.withColumn("part", part), f"level_{level}")
-        if level >= depth:
-            # Children can differ only if shares of shapes do, and z squared is at most their weight; other nodes are final.
-            share = F.col("bad") / _weight()
-            kinds = tree.where("part is not null").groupBy("host", "template").agg(
-                F.min(share).alias("low"), F.max(share).alias("high"), F.sum(_weight()).alias("weight")
-            )
-            kinds = kinds.where((F.col("low") < F.col("high")) & (F.col("weight") >= SIMILAR**2))
-            differ = cut(kinds.select("host", "template"), f"differ_{level}")
-            if differ.isEmpty():
-                break
-            finished.append(tree.join(differ, ["host", "template"], "left_anti").select(*judged_columns))
-            tree = tree.join(differ, ["host", "template"], "left_semi")
-        children = (
-            tree.where("part is not null")
-            .groupBy("host", "template", "part")
-            .agg(*sums, F.first("purity").alias("purity"))
+        # Children can differ only if shares of shapes do, and z squared is at most their weight; other nodes are final.
+        share = F.col("bad") / _weight()
+        kinds = tree.where("part is not null").groupBy("host", "template").agg(
+            F.min(share).alias("low"), F.max(share).alias("high"), F.sum(_weight()).alias("weight")
         )
-        literal = (F.col("n") >= MIN_URLS) | (F.col("labelled") > 0)
-        children = children.withColumn("child", F.when(literal, F.col("part")).otherwise("*"))
-        nodes = children.groupBy("host", "template", "child").agg(*sums, F.first("purity").alias("purity"))
-        smooth = (F.col("branch_bad") + PRIOR * F.col("purity")) / (F.col("branch_weight") + PRIOR)
-        if level >= depth:  # children that are one branch are as their parent
-            smooth = F.when(F.col("branches") > 1, smooth).otherwise(F.col("purity"))
-        nodes = _merged(nodes, SIMILAR).select(
-            "host", "template", "child", smooth.alias("node_purity")
+        kinds = kinds.where((F.col("low") < F.col("high")) & (F.col("weight") >= SIMILAR**2))
+        differ = cut(kinds.select("host", "template"), f"differ_{level}")
+        if differ.isEmpty():
+            break
+        finished.append(tree.join(differ, ["host", "template"], "left_anti").select(*judged_columns))
+        tree = tree.join(differ, ["host", "template"], "left_semi")
+        children = tree.where("part is not null").groupBy("host", "template", "part").agg(*sums, F.first("purity").alias("above"))
+        smooth = (F.col("branch_bad") + PRIOR * F.col("above")) / (F.col("branch_weight") + PRIOR)
+        # A segment holds no slash, so a wildcard that begins with one is like none.
+        wild = F.when(F.col("branches") == 1, "/*").otherwise(F.concat(F.lit("/*"), F.col("branch").cast("string")))
+        name = F.when(F.col("branch_of") == 1, F.col("part")).otherwise(wild)
+        nodes = _branched(children, SIMILAR).select(
+            "host",
+            "template",
+            "part",
+            name.alias("child"),
+            F.when(F.col("branches") > 1, smooth).otherwise(F.col("above")).alias("node_purity"),
         )
-        named_parts = children.select("host", "template", "part", "child").join(nodes, ["host", "template", "child"])
-        tree = tree.join(named_parts, ["host", "template", "part"], "left").select(
+        tree = tree.join(nodes, ["host", "template", "part"], "left").select(
             "host",
             "parts",
             "n",

@@ -97,10 +97,10 @@ def secret_spans(text):
     return sorted(out)
 
 
-def url_verdicts(urls, rules, depth=4):
-    """(host, path, rule, verdict, purity) of each url, by walking the tree of each host."""
+def url_verdicts(urls, rules, labels=None):
+    """(host, path, rule, verdict, purity, template) of each url, by walking the tree of each host."""
     rows = []
-    for url in urls:
+    for i, url in enumerate(urls):
         m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
         host, path = (m[1].translate(LOWER), m[2]) if m else ("", "")
         fits = []
@@ -112,54 +112,66 @@ def url_verdicts(urls, rules, depth=4):
         bad = None
         if rule:
             bad = float(rules[rule] == "block")
+        elif labels and labels[i] is not None:
+            bad = float(labels[i])
         elif set(re.split(r"[.\-]", host)) & set(url_filters.BAD_WORDS):
             bad = 1.0
-        parts = [p for p in path.split("/") if p][:depth]
-        parts = tuple(re.sub(r"\d+", "{n}", re.sub(r"(?=[0-9a-f]*[0-9])[0-9a-f]{8,}", "{x}", p)) for p in parts)
+        parts = tuple(re.sub(r"\d+", "{n}", re.sub(r"(?=[0-9a-f]*[0-9])[0-9a-f]{8,}", "{x}", p)) for p in path.split("/") if p)
         rows.append([host, path, rule, bad, parts])
 
-    purity: dict[int, float] = {}
+    purity, template = {}, {}
 
     def weights(group):
-        return (
-            sum(rows[i][3] or 0.0 for i in group),
-            sum(url_filters.UNLABELLED if rows[i][3] is None else 1.0 for i in group),
-        )
+        labelled = sum(rows[i][3] is not None for i in group)
+        return sum(rows[i][3] or 0.0 for i in group), labelled + url_filters.UNLABELLED * (len(group) - labelled)
 
-    def walk(group, level, share):
+    def bin_of(group):
+        bad, weight = weights(group)
+        return sum(border <= bad / weight for border in url_filters.bin_borders())
+
+    def walk(group, level, share, name):
         below = defaultdict(list)
         for i in group:
-            purity[i] = share
+            purity[i], template[i] = share, name
             if len(rows[i][4]) > level:
                 below[rows[i][4][level]].append(i)
-        children = defaultdict(list)
-        for part, own in below.items():
-            literal = len(own) >= url_filters.MIN_URLS and len(own) >= url_filters.MIN_SHARE * len(group)
-            children[part if literal else "*"] += own
-        branches, last = [], None
-        for child, own in sorted(children.items(), key=lambda c: (weights(c[1])[0] / weights(c[1])[1], c[0])):
-            now = weights(own)
-            if last is not None:
+        bins = defaultdict(list)
+        for part in below:
+            bins[bin_of(below[part])].append(part)
+        branches = []
+        for _, parts in sorted(bins.items()):
+            now = weights([i for p in parts for i in below[p]])
+            if branches:
+                last = weights([i for p in branches[-1] for i in below[p]])
                 pooled = (now[0] + last[0]) / (now[1] + last[1])
                 spread = (pooled * (1 - pooled) * (1 / now[1] + 1 / last[1])) ** 0.5
                 apart = abs(now[0] / now[1] - last[0] / last[1])
-            if last is None or (apart > 0 and apart >= url_filters.SIMILAR * spread):
+            if not branches or (apart > 0 and apart >= url_filters.SIMILAR * spread):
                 branches.append([])
-            branches[-1].append(own)
-            last = now
-        for branch in branches:
-            bad, weight = weights([i for own in branch for i in own])
-            for own in branch:
-                walk(own, level + 1, (bad + url_filters.PRIOR * share) / (weight + url_filters.PRIOR))
+            branches[-1] += parts
+        # Where children are one branch nothing differs here, but further down something may.
+        shapes = defaultdict(list)
+        for own in below.values():
+            for i in own:
+                shapes[rows[i][4]].append(i)
+        shares = {weights(own)[0] / weights(own)[1] for own in shapes.values()}
+        if len(shares) < 2 or sum(weights(own)[1] for own in below.values()) < url_filters.SIMILAR**2:
+            return
+        for number, parts in enumerate(branches):
+            own = [i for p in parts for i in below[p]]
+            bad, weight = weights(own)
+            node = (bad + url_filters.PRIOR * share) / (weight + url_filters.PRIOR) if len(branches) > 1 else share
+            label = parts[0] if len(parts) == 1 else "/*" if len(branches) == 1 else f"/*{number}"
+            walk(own, level + 1, node, f"{name}/{label}")
 
     hosts = defaultdict(list)
     for i, row in enumerate(rows):
         hosts[row[0]].append(i)
     for group in hosts.values():
         bad, weight = weights(group)
-        walk(group, 0, (bad + url_filters.PRIOR * url_filters.ROOT) / (weight + url_filters.PRIOR))
+        walk(group, 0, (bad + url_filters.PRIOR * url_filters.ROOT) / (weight + url_filters.PRIOR), "")
     out = []
     for i, (host, path, rule, _, _) in enumerate(rows):
         verdict = rules[rule] if rule else "block" if purity[i] >= url_filters.REJECT else "allow"
-        out.append((host, path, rule, verdict, purity[i]))
+        out.append((host, path, rule, verdict, purity[i], template[i]))
     return out
