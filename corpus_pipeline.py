@@ -7,8 +7,10 @@ than the stage at hand.
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallkeeper import session
@@ -25,11 +27,17 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return scored.where(F.col("score") >= QUALITY_LINE).select("row.*")
 
 
+def _with_texts(docs: DataFrame, row: str, text: Column) -> list[Column]:
+    """The columns of ``docs`` from a struct, with another text; ``n_chars`` follows it."""
+    changed = {"text": text, "n_chars": F.length(text)}
+    return [changed.get(c, F.col(f"{row}.`{c}`")).cast(kind).alias(c) for c, kind in docs.dtypes]
+
+
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that another document with a smaller id holds; ``n_chars`` follows."""
-    kept = line_dedup.drop_shared_lines(docs)
-    columns = [F.length("text").cast(t).alias(c) if c == "n_chars" else F.col(c) for c, t in docs.dtypes]
-    return kept.select(*columns)
+    """All documents, without lines that another document with a smaller id holds."""
+    rest = F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row")
+    kept = line_dedup.drop_shared_lines(docs.select("doc_id", "text", rest))
+    return kept.select(*_with_texts(docs, "row", F.col("text")))
 
 
 def keep_one_of_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,9 +53,10 @@ def keep_one_of_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by benchmark items."""
+    """Documents that are not contaminated by benchmark items; passages of items are cut out of those that stay."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontamination.contamination(docs, benchmark).where(~F.col("contaminated")).select("row.*")
+    kept = decontamination.contamination(docs, benchmark, clean=True).where(~F.col("contaminated"))
+    return kept.select(*_with_texts(docs, "row", F.coalesce("cleaned", "row.text")))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,8 +80,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage, over the whole ``documents`` table."""
     session.configure(spark)
-    cut = session.table_cut(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    folder = f"{session.shared_dir(spark)}/cuts/{uuid.uuid4().hex}"
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), name)
+        docs = session.stored(stage(spark, docs, sf_dir), f"{folder}/{name}")
+        # The table before has served its purpose.
+        if before:
+            session.drop(spark, before)
+        before = f"{folder}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)

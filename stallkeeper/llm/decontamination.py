@@ -32,6 +32,8 @@ SHARE = (1, 20)
 BLOCK_WORDS = 200_000
 BYTES_AT_ONCE = 4_000_000
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+# The same on characters, for Spark.
+IN_WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 Item = tuple[str, str]
 
@@ -211,7 +213,13 @@ def _automaton(block: Broadcast, window: int) -> Automaton:
 SPANS = "array<struct<start:int,end:int>>"
 
 
-def _pass(block: Broadcast, window: int, text_col: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _cleaned(text: bytes | None, spans: list[dict[str, int]], least: int) -> bytes | None:
+    """The text without spans of at least so many words; null if there are none."""
+    long = [(s["start"], s["end"]) for s in spans if s["end"] - s["start"] >= least]
+    return without_spans(text, long) if text and long else None
+
+
+def _pass(block: Broadcast, window: int, text_col: str, clean: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,6 +240,9 @@ def _pass(block: Broadcast, window: int, text_col: str) -> Callable[[Iterator[pa
                     "spans": pa.array(spans, span_type),
                     "items": pa.array(items, pa.list_(pa.string())),
                 }
+                if clean:
+                    own = texts.slice(start, end - start).to_pylist()
+                    found["cleaned"] = pa.array([_cleaned(t, s, window) for t, s in zip(own, spans, strict=True)], pa.binary())
                 # What came is passed on as it is, with the findings so far.
                 came = [c for c in part.schema.names if c not in found]
                 columns = [part.column(c) for c in came] + list(found.values())
@@ -244,7 +255,8 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words:
     """Items as (name, text), dealt by hash into blocks of about ``block_words`` words."""
     items = benchmark.select(benchmark[item_col].cast("string").alias("name"), benchmark[text_col].alias("text"))
     items = items.where("name is not null and text is not null").distinct()
-    words = items.select(F.coalesce(F.sum(F.size(F.split("text", r"\s+"))), F.lit(0))).first()[0]
+    # By the rule for words, so that no item can hold more of them than were counted.
+    words = items.select(F.coalesce(F.sum(F.regexp_count("text", F.lit(IN_WORDS))), F.lit(0))).first()[0]
     blocks = max(1, -(-words // block_words))
     return [items.where(F.pmod(F.xxhash64("name", "text"), F.lit(blocks)) == k) for k in range(blocks)]
 
@@ -259,10 +271,15 @@ def contamination(
     window: int = WINDOW,
     share: tuple[int, int] = SHARE,
     block_words: int = BLOCK_WORDS,
+    clean: bool = False,
     cut: Cut | None = None,
 ) -> DataFrame:
     """(row, n_words, n_hit, spans, items, contaminated) of every row of ``docs``.
 
+    With ``clean`` also ``cleaned``: the text without the spans of at least ``window`` words (those of shorter
+    items stay), null where there are none.  ``block_words`` bounds a block of the benchmark, but for a
+    single longer item, which is a block.
+
     ``row`` is a struct of the columns to ``carry`` (all by default), so no name can clash.  A window is
     ``window`` consecutive words of an item, or the whole of a shorter item.  ``spans`` are the word
     spans (from 0, end exclusive) inside windows, ``items`` the sorted ids (as strings) of items whose
@@ -275,19 +292,20 @@ def contamination(
     spark = docs.sparkSession
     rows = carried(docs, carry, text_col)
     came = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    schema = f"{came}, n_words bigint, spans {SPANS}, items array<string>"
+    schema = f"{came}, n_words bigint, spans {SPANS}, items array<string>" + ", cleaned binary" * clean
     none = [F.array().cast(SPANS).alias("spans"), F.array().cast("array<string>").alias("items")]
     found = rows.select("*", *none)
     blocks = item_blocks(benchmark, item_col, item_text_col, block_words)
     for k, items in enumerate(blocks):
         if k:
             cut = cut or table_cut(spark)
-            found = cut(found, f"block_{k}").drop("n_words")
+            found = cut(found, f"block_{k}").drop("n_words", "cleaned")
         # One block of items on the driver, its size bounded above.
         block = spark.sparkContext.broadcast([(r.name, r.text) for r in items.collect()])
-        found = found.mapInArrow(_pass(block, window, text_col), schema)
+        found = found.mapInArrow(_pass(block, window, text_col, clean), schema)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    out = found.select("row", "n_words", n_hit.alias("n_hit"), "spans", "items")
+    cleaned = [F.col("cleaned").cast("string").alias("cleaned")] if clean else []
+    out = found.select("row", "n_words", n_hit.alias("n_hit"), "spans", "items", *cleaned)
     return out.select("*", _contaminated(share).alias("contaminated"))
 
 

@@ -168,6 +168,21 @@ def test_spans_are_cut_out():
     assert decontamination.without_spans(text, [(1, 3)]) == b"Keep,  THREE. four"
 
 
+def test_cleaned_texts(spark):
+    """Long spans are cut out in the same pass, over several blocks too; short items' spans stay."""
+    long = " ".join(f"w{i}" for i in range(20))
+    items = [("a", long), ("b", "tiny item"), ("c", ",".join(f"v{i}" for i in range(15)))]
+    texts = [f"Before, {long}! after tiny item.", "nothing here", None, "", f"x {long} y v0 v1 v2 v3 v4 v5 v6 v7 v8 v9 v10 v11 v12 v13 v14. z", "tiny item"]
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA).selectExpr("*", "1 as cleaned", "2 as spans")
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    for words_each in (10**6, 12):
+        found = decontamination.contamination(df, benchmark, clean=True, block_words=words_each).collect()
+        got = {r.row.doc_id: r.cleaned for r in found}
+        assert got == {0: "Before, ! after tiny item.", 1: None, 2: None, 3: None, 4: "x  y . z", 5: None}
+    # Words joined by commas count as words, so blocks stay as small as they should be.
+    assert len(decontamination.item_blocks(benchmark, "item_id", "text", 12)) == 4
+
+
 def test_fingerprints(spark, docs):
     rows, df = docs
     got = fingerprints.neighbour_fingerprints(df.selectExpr("*", "1 as range", "2 as guard"), range_rows=3).collect()
@@ -368,11 +383,22 @@ def test_urls(spark):
     ]
     urls += [f"http://b.org/w{chr(97 + k % 26)}{chr(97 + k // 26)}/p" for k in range(120)] + [None, "", "no scheme/en", "://", "a://b://c"]
     rules = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
-    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string").selectExpr("*", "1 as host", "2 as n")
-    got = {r.page_id: r for r in url_filters.judge_urls(df, rules).collect()}
-    for i, want in enumerate(url_verdicts(urls, rules)):
-        assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == want[:4]
-        assert got[i].purity == pytest.approx(want[4])
+    # Rare branches, deep paths, segments that look like wildcards, and rows that repeat.
+    urls += [f"http://d.org/{random.choice('abcdefgh') * 2}/{random.choice('uvw')}/{'z/' * random.randint(0, 7)}{random.choice('mn')}" for _ in range(300)]
+    urls += ["http://d.org/*/x", "http://d.org/*0/x", "http://d.org//*0/x"] + urls[:40]
+    labels = [None if random.random() < 0.7 else len(u or "") % 3 == 0 for u in urls]
+    rows = [(None if i % 50 == 7 else i, u, label) for i, (u, label) in enumerate(zip(urls, labels, strict=True))]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, known boolean").selectExpr("*", "1 as host", "2 as n")
+    for label_col, known in (("known", labels), (None, None)):
+        found = url_filters.judge_urls(df, rules, label_col=label_col).collect()
+        want = url_verdicts(urls, rules, known)
+        got = {r.page_id: r for r in found if r.page_id is not None}
+        for i in got:
+            assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == want[i][:4]
+            assert got[i].purity == pytest.approx(want[i][4]) and got[i].template == want[i][5]
+        nameless = [(r.host, r.path, r.verdict) for r in found if r.page_id is None]
+        assert sorted(nameless) == sorted((w[0], w[1], w[3]) for i, w in enumerate(want) if i % 50 == 7)
+        assert len({t for *_, t in want}) > (10 if known else 3) and any("/*" in t for *_, t in want)
     assert url_filters.judge_urls(df.limit(0), rules).count() == 0
 
 
@@ -407,8 +433,19 @@ def test_urls_of_deep_templates(spark):
             assert r.purity > 0.9 and "/bad" in r.template
         if "/good/" in url:
             assert r.purity < 0.3 and "/good" in r.template
-    # Where nothing can differ, no level below the fourth is looked at.
-    assert {r.template for url, r in got if "j.com" in url} == {"/x/x/x/x"}
+    # Where nothing can differ, no level is looked at.
+    assert {r.template for url, r in got if "j.com" in url} == {""}
+
+
+def test_urls_of_a_host_with_many_segments(spark):
+    """Children without number are one list of a few bins; bad and good ones become two templates."""
+    rules = {f"h.com/bad{chr(97 + i)}": "block" for i in range(20)}
+    urls = [f"http://h.com/bad{chr(97 + i % 20)}{chr(97 + i // 20 % 26)}{chr(97 + i // 520)}/x" for i in range(3000)]
+    urls += [f"http://h.com/ok{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}/x" for i in range(3000)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = [(urls[r.page_id], r) for r in url_filters.judge_urls(df, rules).collect()]
+    assert {("/bad" in url, r.verdict) for url, r in got} == {(True, "block"), (False, "allow")}
+    assert len({r.template for _, r in got}) == 2 and max(r.purity for u, r in got if "/ok" in u) < 0.1
 
 
 def test_signatures_of_long_texts():

@@ -7,7 +7,8 @@ import os
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
-from plain_versions import contamination, line_dedup, near_duplicates, secret_spans, sha, url_verdicts
+from plain_versions import contamination, line_dedup, near_duplicates, secret_spans, sha, url_verdicts, words
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -52,8 +53,8 @@ def test_every_operator_is_registered():
 def test_urls(run):
     pages = pq.read_table(f"{SF_DIR}/pages.parquet", columns=["page_id", "url"]).to_pylist()
     want = url_verdicts([p["url"] for p in pages], queries.URL_RULES)
-    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in run("op2_url_filters")}
-    assert got == {p["page_id"]: w[:4] for p, w in zip(pages, want, strict=True)}
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict, r.template) for r in run("op2_url_filters")}
+    assert got == {p["page_id"]: (*w[:4], w[5]) for p, w in zip(pages, want, strict=True)}
 
 
 def test_fingerprints(run, texts):
@@ -140,7 +141,13 @@ def test_pipeline(spark, texts, tmp_path):
     items = [(r["item_id"], r["text"]) for r in pq.read_table(f"{SF_DIR}/benchmark.parquet").to_pylist()]
     before = rows("decontamination", 0)
     found = dict(zip(before, contamination(list(before.values()), items), strict=True))
-    assert set(rows("decontamination", 1)) == {d for d, (n, hit, _) in found.items() if not (hit and 20 * hit >= n)}
+    after = rows("decontamination", 1)
+    assert set(after) == {d for d, (n, hit, _) in found.items() if not (hit and 20 * hit >= n)}
+    # What stays holds no window of 13 words any more; where there was none, the text is as it was.
+    again = dict(zip(after, contamination(list(after.values()), [i for i in items if len(words(i[1])) >= 13]), strict=True))
+    assert not any(hit for _, hit, _ in again.values())
+    assert all(after[d] == before[d] for d in after if not found[d][1])
+    assert all(r.n_chars == len(r.text) for r in held["decontamination"][1].collect())
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     before = rows("bpe", 0)
     got = {r.doc_id: list(r.ids) for r in held["bpe"][1].collect()}
@@ -154,9 +161,14 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
     spark.createDataFrame([(1, "benchmark words " * 9)], "item_id int, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     for name, rows, want in (("odd", odd, 2), ("none", [], 0)):
-        docs = spark.createDataFrame(rows, schema)
+        # Columns of one's own pass through the stages, whatever their names.
+        own = {"n_lines": "7", "n_dropped": "'x'", "row": "8", "spans": "9", "cleaned": "'y'", "score": "0.5"}
+        docs = spark.createDataFrame(rows, schema).withColumns({c: F.expr(v) for c, v in own.items()})
         for stage_name, stage in corpus_pipeline.STAGES:
             path = str(tmp_path / name / stage_name)
             stage(spark, docs, str(tmp_path)).write.parquet(path)
             docs = spark.read.parquet(path)
+            if stage_name != "bpe":
+                assert docs.columns[5:] == list(own)
+                assert {tuple(map(str, r)) for r in docs.select(*own).collect()} <= {("7", "x", "8", "9", "y", "0.5")}
         assert docs.count() == want
