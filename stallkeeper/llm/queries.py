@@ -332,6 +332,17 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(repr(x) for x in row) + ")" for row in rows)
 
 
+def _sql(value) -> str:
+    """A literal of texts, numbers and lists of them."""
+    return f"[{', '.join(map(_sql, value))}]" if isinstance(value, (list, tuple)) else repr(value)
+
+
+_TEMPLATES = licenses.judged_templates(licenses.TEMPLATES, licenses.THRESHOLD, licenses.BLOCK)
+_TEMPLATE_ROWS = ",\n".join(
+    f"({k}, {_sql(t.label)}, {_sql(t.words)}, {t.need}, {t.block}, {_sql(t.apart)}::varchar[][], {_sql(t.yields_to)}::int[])"
+    for k, t in enumerate(_TEMPLATES)
+)
+
 OP8_SQL = f"""
 with docs as (
     select doc_id, {WORDS_SQL.format("text")} as words from documents
@@ -345,17 +356,20 @@ with docs as (
 ), base as (
     select doc_id, count(*) as n_base, min(pos) as first_word, max(pos) as last_word from places group by doc_id
 ), templates as (
-    select label, list_distinct({WORDS_SQL.format("text")}) as words
-    from (values {_values(licenses.TEMPLATES)}) t(label, text)
+    select * from (values {_TEMPLATE_ROWS}) t(template, label, words, need, length, apart, yields_to)
 ), blocks as (
-    select doc_id, list_slice(words, i, i + {licenses.BLOCK - 1}) as words
-    from (select doc_id, words, unnest(range(1, len(words) + 1, {licenses.BLOCK // 2})) as i from docs)
-), contained as (
-    select doc_id, label, len(list_intersect(b.words, t.words)) as overlap, len(t.words) as size
-    from blocks b, templates t
+    select doc_id, length, i, list_slice(words, i, i + length - 1) as words
+    from (select doc_id, words, length, unnest(range(1, len(words) + 1, length // 2)) as i
+          from docs, (select distinct length from templates))
+), found as (
+    select b.doc_id, b.length, b.i, t.template, t.label, t.yields_to, len(list_intersect(b.words, t.words)) / len(t.words) as share
+    from blocks b join templates t on b.length = t.length
+    where len(list_intersect(b.words, t.words)) >= t.need
+      and len(list_filter(t.apart, lambda x: not list_has_any(x, b.words))) = 0
 ), matched as (
-    select doc_id, label, max(overlap / size) as best from contained
-    where overlap >= ceil({licenses.THRESHOLD} * size) group by doc_id, label
+    select doc_id, label, max(share) as best from found f
+    where not exists (from found g where g.doc_id = f.doc_id and g.length = f.length and g.i = f.i and list_contains(f.yields_to, g.template))
+    group by doc_id, label
 ), based as (
     select doc_id, string_agg(label, ',' order by label) as labels from (select distinct doc_id, label from places) group by doc_id
 ), every as (

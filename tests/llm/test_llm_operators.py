@@ -350,8 +350,34 @@ def test_licenses(spark, docs):
     assert got[7].n_base == 2 and got[7].last_word == 3
     assert licenses.scan_licenses(docs[1]).count() == len(docs[0])
     assert licenses.scan_licenses(df.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        licenses.scan_licenses(df, templates=[("long", "word " * 40)])
+    nameless = spark.createDataFrame([(None, texts[1]), (None, texts[1]), (None, texts[3]), (1, texts[3]), (1, texts[3])], SCHEMA)
+    assert sorted((r.doc_id or 0, r.labels) for r in licenses.scan_licenses(nameless).collect()) == [
+        (0, ["bsd"]), (0, ["mit"]), (0, ["mit"]), (1, ["bsd"]), (1, ["bsd"]),
+    ]
+    assert {r.score for r in licenses.scan_licenses(df, phrases={}, templates=[("none", "...")]).collect()} == {0.0}
+
+
+def test_licenses_told_apart(spark):
+    """Notices that share most of their words have one label each; the bodies of licenses are found in long texts."""
+    around = "words of another kind " * 200
+    bodies = [(label, text) for label, text in licenses.TEMPLATES if len(text.split()) > 32]
+    texts = {
+        "licensed under the GNU General Public License, version 3": ["gpl-3"],
+        "licensed under the GNU Lesser General Public License, version 3": ["lgpl"],
+        "licensed under the GNU Lesser General Public License": ["lgpl"],
+        "licensed under a Creative Commons Attribution 4.0 International License": ["cc-by"],
+        "licensed under a Creative Commons Attribution ShareAlike 4.0 International License": ["cc-by-sa"],
+        "licensed under the GNU General": [],
+    }
+    texts |= {f"{around}{text.upper()}. {around}": [label] for label, text in bodies}
+    # A fifth of the words may be missing, no more.
+    texts |= {" ".join(bodies[0][1].split()[:-12]): [bodies[0][0]], " ".join(bodies[0][1].split()[:30]): []}
+    rows = list(enumerate(texts))
+    got = {r.doc_id: r.labels for r in licenses.scan_licenses(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {text: got[k] for k, text in rows} == texts
+    long = [("long", " ".join(f"w{i}" for i in range(300)))]
+    df = spark.createDataFrame([(1, "x " * 777 + long[0][1]), (2, "x " * 777 + " ".join(long[0][1].split()[:200]))], SCHEMA)
+    assert [r.labels for r in licenses.scan_licenses(df, templates=long).orderBy("doc_id").collect()] == [["long"], []]
 
 
 def test_secrets(spark, docs):
