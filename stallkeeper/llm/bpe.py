@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallkeeper.llm.text import lower_as_library, newer_characters, slices
+from stallkeeper.llm.text import has_newer, lower_as_library, newer_characters, slices
 
 NO_PAIR = 1 << 62
 PLACE_BITS = 32
@@ -116,7 +116,6 @@ class Vocabulary:
         self.words_ascii = re.compile(rf"{contractions}|[a-z]+|[0-9]|[^\t-\r a-z0-9]+").findall
         # The same where a text holds letters that are too new for the library: they belong to no class.
         newer = newer_characters()
-        self.has_newer = regex.compile(f"[{newer}]").search
         self.words_newer = regex.compile(
             rf"{contractions}|(?:(?![{newer}])\p{{L}})+|(?![{newer}])\p{{N}}|(?:[^{SPACES}\p{{L}}\p{{N}}]|[{newer}])+"
         ).findall
@@ -126,7 +125,7 @@ class Vocabulary:
         if text.isascii():
             return self.words_ascii(text.lower())
         plain = lower_as_library(unicodedata.normalize("NFC", text))
-        return (self.words_newer if self.has_newer(plain) else self.words_any)(plain)
+        return (self.words_newer if has_newer(plain) else self.words_any)(plain)
 
     def word_ids(self, word: str) -> list[int]:
         data = word.encode("utf-8")

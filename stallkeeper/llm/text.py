@@ -51,6 +51,15 @@ def newer_characters() -> str:
     return "".join(f"{chr(a)}-{chr(b)}" for a, b in NEWER)
 
 
+_newer = frozenset(chr(c) for a, b in NEWER for c in range(a, b + 1))
+_beyond = re.compile(f"[{chr(NEWER[0][0])}-{chr(0x10FFFF)}]").search
+
+
+def has_newer(text: str) -> bool:
+    """Whether a text holds one of :data:`NEWER`; texts below the first of them are told in one look."""
+    return _beyond(text) is not None and not _newer.isdisjoint(text)
+
+
 _has_newer_capital = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b, _ in NEWER_CAPITALS) + "]").search
 _newer_small = {c: c + away for a, b, away in NEWER_CAPITALS for c in range(a, b + 1)}
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallkeeper.llm.bpe import SPACES, byte_letters
-from stallkeeper.llm.text import newer_characters, slices
+from stallkeeper.llm.text import has_newer, newer_characters, slices
 
 NO_RANK = np.int64(1 << 40)
 
@@ -121,7 +121,6 @@ class Counter:
 
         # The same where a text holds letters that are too new for the library: they belong to no class.
         newer = newer_characters()
-        self.has_newer = regex.compile(f"[{newer}]").search
         self.split_newer = regex.compile(
             rf"{contractions}| ?(?:(?![{newer}])\p{{L}})+| ?(?:(?![{newer}])\p{{N}})+"
             rf"| ?(?:[^{SPACES}\p{{L}}\p{{N}}]|[{newer}])+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
@@ -130,7 +129,7 @@ class Counter:
     def split(self, text: str) -> list[str]:
         if text.isascii():
             return self.split_ascii(text)
-        return (self.split_newer if self.has_newer(text) else self.split_any)(text)
+        return (self.split_newer if has_newer(text) else self.split_any)(text)
 
     def pre_tokens(self, text: str) -> tuple[list[str], int]:
         """Pre-tokens of a text, and how many special strings stand between them."""
