@@ -230,7 +230,7 @@ class Tables:
 
 @lru_cache(maxsize=8)
 def _tables(spark: SparkSession, application: str, sf_dir: str) -> Tables:
-    session.configure(spark)
+    session.configure_parsing(spark)
     name = sf_dir.strip("/").replace("/", "-")
     base = f"{session.shared_dir(spark)}/market/{application}/{name}"
 

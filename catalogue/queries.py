@@ -678,4 +678,4 @@ def catalogue() -> dict[str, Query]:
 
 
 def _configured(query: Query) -> Query:
-    return lambda spark, sf_dir: query(session.configure(spark), sf_dir)
+    return lambda spark, sf_dir: query(session.configure_parsing(spark), sf_dir)
