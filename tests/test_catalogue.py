@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from catalogue import binding
 from catalogue import queries as catalogue_queries
 from check_oracles import TABLES, rows_of
 
@@ -43,3 +44,11 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_tables_are_derived_when_asked_for(spark, tmp_path):
+    """A query that reads messages waits for messages only."""
+    bound = binding.Tables(spark, "/root/testdata/sf0.001", str(tmp_path))
+    assert bound.messages.count() == 100 and [p.name for p in tmp_path.iterdir()] == ["messages"]
+    assert bound.messages is bound.messages
+    assert bound.snapshots.count() > 0 and sorted(p.name for p in tmp_path.iterdir()) == ["messages", "snapshots"]
