@@ -8,7 +8,8 @@ A :class:`Reader` reads a document once, with integers and booleans as text, and
 casts that text to the real types.  If nothing was lost, casting back gives the
 same text and no text looks like a container, which is the normal case, the
 document is sound.  Only an odd document is parsed again as a variant, checked
-value by value, and read from there.
+value by value, and read from there.  Where all that is odd lies in lists, only
+those elements that lost something are checked.
 
 The expressions are generated as SQL text from the type: one text per reader is
 much cheaper to build than thousands of Column calls.
@@ -93,24 +94,23 @@ class Reader:
         The fit is sound, odd (usable) or bad, and null where the text is no
         JSON object.  The variant is only there when the document is not sound.
         """
-        loose, typed, sound = f"{into}_loose", f"{into}_typed", f"{into}_sound"
+        loose, typed, back, plain, sound = (f"{into}_{part}" for part in ("loose", "typed", "back", "plain", "sound"))
         fit, variant = f"{into}_fit", f"{into}_variant"
         schema = T.StructType([*self.loose_type.fields, T.StructField(_CORRUPT, T.StringType())])
         options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, **_STRICT}
         root = "named_struct(" + ", ".join(f"'{f}', {loose}.`{f}`" for f in self.loose_type.names) + ")"
-        same = f"cast({typed} as {self.loose_type.simpleString()}) <=> {root}"
         steps = df.withColumn(loose, F.from_json(F.col(text), schema, options))
         steps = steps.withColumn(typed, F.expr(f"try_cast({root} as {self.dtype.simpleString()})"))
+        steps = steps.withColumn(back, F.expr(f"cast({typed} as {self.loose_type.simpleString()})"))
         steps = steps.withColumn(
-            sound,
-            F.expr(
-                f"{loose} is not null and {loose}.{_CORRUPT} is null and {same}"
-                f" and not {_holds_container_text(loose, self.dtype)}"
-            ),
+            plain,
+            F.expr(f"{loose} is not null and {loose}.{_CORRUPT} is null and not {_holds_container_text(loose, self.dtype)}"),
         )
+        steps = steps.withColumn(sound, F.expr(f"{plain} and {back} <=> {root}"))
         steps = steps.withColumn(variant, F.when(~F.col(sound), parse(F.col(text))))
         fits = (
-            f"case when {sound} then {SOUND} when {_kind_of(variant, '$')} not like 'OBJECT%' then null"
+            f"case when {sound} then {SOUND}{self._odd_elements(plain, loose, back, variant)}"
+            f" when {_kind_of(variant, '$')} not like 'OBJECT%' then null"
             f" when {variant} is null then null when {misfit(variant, self.dtype)} then {BAD} else {ODD} end"
         )
         again = read(F.col(variant), "$", self.dtype)
@@ -121,6 +121,21 @@ class Reader:
             variant,
         )
 
+    def _odd_elements(self, plain: str, loose: str, back: str, variant: str) -> str:
+        """SQL: case for documents that are sound but for elements of their lists, which alone are checked."""
+        lists = [f for f in self.dtype.fields if isinstance(f.dataType, T.ArrayType)]
+        if not lists:
+            return ""
+        rest = [f"{back}.`{f.name}` <=> {loose}.`{f.name}`" for f in self.dtype.fields if f not in lists]
+        bad = []
+        for f in lists:
+            elements = f"try_variant_get({variant}, '$.{f.name}', 'array<variant>')"
+            # Zipped, so that what is compared is worked out once for the list.
+            lost = f"zip_with({back}.`{f.name}`, {loose}.`{f.name}`, (b, l) -> not (b <=> l))"
+            odd = f"filter(zip_with({elements}, {lost}, (v, o) -> if(coalesce(o, true), v, null)), v -> v is not null)"
+            bad.append(f"coalesce(exists({odd}, v -> {misfit('v', f.dataType.elementType, 1)}), false)")
+        return f" when {' and '.join([plain, f'{variant} is not null', *rest])} then if({_any(bad)}, {BAD}, {ODD})"
+
 
 def _loose(dtype: T.DataType) -> T.DataType:
     if isinstance(dtype, T.StructType):

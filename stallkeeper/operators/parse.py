@@ -46,10 +46,10 @@ def _envelope_reason() -> Column:
     value, variant, fit = F.col("value"), F.col("document_variant"), F.col("document_fit")
     bad_envelope = F.expr(wire.misfit("document_variant", ENVELOPE))
     return F.when(
-        fit != wire.SOUND,
+        fit == wire.BAD,
         F.when(bad_envelope, "bad_envelope_field").when(~F.expr(wire.present("document_variant", "$.data")), "no_data"),
     ).otherwise(
-        F.when(fit == wire.SOUND, F.when(F.col("document.data").isNull(), "no_data"))
+        F.when(fit.isNotNull(), F.when(F.col("document.data").isNull(), "no_data"))
         .when(value.isNull(), "no_value")
         .when(~nonblank(value), "blank")
         .when(variant.isNull(), "malformed_json")

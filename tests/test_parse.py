@@ -259,3 +259,24 @@ def test_price_shapes(spark):
     assert [len(r["l"]) for r in got] == [1, 2, 0, 0, 1]
     assert [r["o"] is not None for r in got] == [True, False, False, False, True]
     assert got[4]["o"]["steam"]["raw"] == 3.0
+
+
+def test_odd_elements_alone_are_checked(spark, raw_messages):
+    """A list with one odd element is usable or not by that element, wherever it stands."""
+    sound, cut = '{"id":"a","payload":{"appid":440}}', '{"id":"b","payload":{"appid":440.7}}'
+    lost, inner = '{"id":"c","payload":{"appid":"440.7"}}', '{"id":"d","payload":{"item":{"spells":[{"id":{}}]}}}'
+    lists = [[sound, cut], [cut, "null", sound], [sound, cut, lost], [lost, sound], [sound, "7"], [cut, inner], ["null", cut]]
+    texts = ['{"data":[%s]}' % ",".join(elements) for elements in lists]
+    texts += ['{"source":1.5,"data":[%s]}' % cut, '{"source":[1],"data":[%s]}' % cut, '{"data":null,"source":{}}']
+    parsed = parse.parse_listing_messages(raw_messages(texts))
+    found = parsed.groupBy("offset").agg(
+        F.max("reject_reason").alias("why"), F.array_sort(F.collect_list("update.payload.appid")).alias("appids")
+    )
+    rows = {r.offset: (r.why, r.appids) for r in found.collect()}
+    assert rows == {
+        0: (None, [440, 440]), 1: (None, [440, 440]), 2: ("bad_field", []), 3: ("bad_field", []), 4: ("bad_field", []),
+        5: ("bad_field", []), 6: (None, [440]), 7: (None, [440]), 8: ("bad_envelope_field", []), 9: ("bad_envelope_field", []),
+    }
+    # The elements that lost nothing are left out before any is looked at.
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert "zip_with(try_variant_get(" in plan
