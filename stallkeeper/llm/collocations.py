@@ -37,10 +37,10 @@ MAX_WORDS = 3
 
 # Counters of a summary, hashes that a task combines, and bits of the bitmap.
 COUNTERS = 1 << 21
-HELD_HASHES = 3_000_000
+HELD_HASHES = 2_000_000
 BITMAP_BITS = 27
 # Words counted at once and bytes cut into words at once; together they hold fewer than 2^21 different words.
-WORDS_AT_ONCE = 1 << 20
+WORDS_AT_ONCE = 1 << 19
 BYTES_AT_ONCE = 2 << 20
 ID_BITS = 21
 # Each language's phrases are ranked in so many parts first.
@@ -85,6 +85,7 @@ class Words:
     def counted(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For n = 1, 2, 3: distinct n-grams as an array of word numbers (n columns), and their counts."""
         x, own = np.concatenate(self.parts), self.carried
+        self.parts = [x]
         word = x > 0
         singles = np.bincount(x[own:], minlength=1)
         singles[0] = 0
@@ -98,8 +99,10 @@ class Words:
             # An n-gram belongs to the slice in which it ends.
             start = max(own - n + 1, 0)
             keys, counts = np.unique(packed[start:][inside[start:]], return_counts=True)
-            columns = [keys >> ID_BITS * (n - 1 - k) & ((1 << ID_BITS) - 1) for k in range(n)]
-            yield np.stack(columns, axis=1), counts
+            columns = np.empty((len(keys), n), np.int32)
+            for k in range(n):
+                columns[:, k] = keys >> ID_BITS * (n - 1 - k) & ((1 << ID_BITS) - 1)
+            yield columns, counts
 
 
 def text_slices(text: bytes, most: int = BYTES_AT_ONCE) -> Iterator[list[bytes]]:
@@ -132,9 +135,10 @@ def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]]:
                     before = (before + words)[1 - MAX_WORDS :]
                 held[lang].add([BORDER])
             if sum(w.size for w in held.values()) > WORDS_AT_ONCE:
-                yield from held.items()
-                held = defaultdict(Words)
-    yield from held.items()
+                while held:
+                    yield held.popitem()
+    while held:
+        yield held.popitem()
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -158,11 +162,22 @@ def ngram_hashes(lang: str, words: Words, columns: np.ndarray) -> np.ndarray:
 
 def combined(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes in order, and the sums of their counts."""
+    return combined_parts([(hashes, counts)])
+
+
+def combined_parts(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`combined` of several; empties the list, so that no array is held longer than it is needed."""
+    hashes, counts = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+    parts.clear()
     if not len(hashes):
         return hashes, counts
-    order = np.argsort(hashes, kind="stable")
-    hashes, counts = hashes[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    counts = counts[order]
+    del order
+    new = np.ones(len(hashes), bool)
+    np.not_equal(hashes[1:], hashes[:-1], out=new[1:])
+    first = np.flatnonzero(new)
     return hashes[first], np.add.reduceat(counts, first)
 
 
@@ -188,9 +203,10 @@ class Summary:
             self._settle()
 
     def _settle(self) -> None:
-        parts = [(self.hashes, self.counts), *self._new]
-        self.hashes, self.counts = combined(*[np.concatenate(x) for x in zip(*parts, strict=True)])
-        self._new, self._n_new = [], 0
+        self._new.append((self.hashes, self.counts))
+        self.hashes = self.counts = None
+        self.hashes, self.counts = combined_parts(self._new)
+        self._n_new = 0
         if len(self.counts) > self.most:
             # The largest counter beyond the room: all give as much, those without rest go.
             least = int(np.partition(self.counts, len(self.counts) - self.most - 1)[len(self.counts) - self.most - 1])
@@ -228,9 +244,9 @@ def _dealt(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     """Texts to (part, content): the task's n-grams of each hash partition."""
 
     def deal(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = combined(*[np.concatenate(x) for x in zip(*held, strict=True)])
+        hashes, counts = combined_parts(held)
         part = part_of(hashes, parts)
-        borders = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
+        borders = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
         for start in range(0, len(borders) - 1, 256):
             ranges = list(zip(borders[start:], borders[start + 1 : start + 257], strict=False))
             ranges = [(a, b) for a, b in ranges if a < b]
@@ -243,9 +259,10 @@ def _dealt(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
             for columns, counts in words.counted():
                 held.append((ngram_hashes(lang, words, columns), counts))
                 n += len(counts)
+            del words, columns, counts
             if n > HELD_HASHES:
                 yield from deal(held)
-                held, n = [], 0
+                n = 0
         if n:
             yield from deal(held)
 

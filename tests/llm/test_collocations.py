@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -129,3 +130,19 @@ def test_slices_tear_nothing():
     whole = [w for words in col.text_slices(text.encode()) for w in words]
     for most in (1, 5, 64):
         assert [w for words in col.text_slices(text.encode(), most) for w in words] == whole
+
+
+def test_a_summary_holds_no_array_twice_while_it_combines():
+    """Its peak is a small multiple of what it sorts: the parts go before the sorted copies come."""
+    n = 200_000
+    rng = np.random.default_rng(1)
+    parts = [(rng.integers(0, 2**63, n, dtype=np.uint64), np.ones(n, np.int64)) for _ in range(5)]
+    summary = col.Summary(5 * n, 10)
+    tracemalloc.start()
+    for hashes, counts in parts:
+        summary.add(hashes.copy(), counts.copy())
+    del hashes, counts
+    assert len(summary.survivors()) == 0 and len(summary.counts) == 5 * n
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2.8 * 5 * n * 16
